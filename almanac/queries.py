@@ -107,6 +107,335 @@ def q_monthly_features(spark, sf_dir):
     return rounded(_features(spark, sf_dir))
 
 
+
+# ---------------------------------------------------------------- shared Spark inputs
+
+def _tables(spark, sf_dir, *names):
+    from almanac.sources.tables import read_table
+    return [read_table(spark, sf_dir, n) for n in names]
+
+
+def _monthly(spark, sf_dir):
+    from almanac.plans.features import monthly_store_sales
+    li, su, na = _tables(spark, sf_dir, "lineitem", "supplier", "nation")
+    return monthly_store_sales(li, su, na, CFG.dept)
+
+
+# ---------------------------------------------------------------- filters and splits (F1-F8)
+
+@register("filter_rows", """
+SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem
+WHERE l_quantity < 10 AND l_returnflag = 'R'
+""")
+def q_filter_rows(spark, sf_dir):
+    from almanac.operators import filter_rows
+    (li,) = _tables(spark, sf_dir, "lineitem")
+    return filter_rows(li, "l_quantity < 10 AND l_returnflag = 'R'").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+
+
+@register("monthly_sales", f"SELECT store_id, year, month, round(sales, {PLACES}) AS sales FROM ({SQL_MONTHLY}) m")
+def q_monthly_sales(spark, sf_dir):
+    return rounded(_monthly(spark, sf_dir))
+
+
+SPLIT_YM = {"year": 2000, "month": 5}
+
+
+@register("month_split_before", f"""
+SELECT store_id, year, month, round(sales, {PLACES}) AS sales FROM ({SQL_MONTHLY}) m
+WHERE year < {SPLIT_YM['year']} OR (year = {SPLIT_YM['year']} AND month <= {SPLIT_YM['month']})
+""")
+def q_month_split_before(spark, sf_dir):
+    from almanac.operators import month_split
+    return rounded(month_split(_monthly(spark, sf_dir), SPLIT_YM, "before"))
+
+
+@register("month_split_after", f"""
+SELECT store_id, year, month, round(sales, {PLACES}) AS sales FROM ({SQL_MONTHLY}) m
+WHERE year > {SPLIT_YM['year']} OR (year = {SPLIT_YM['year']} AND month > {SPLIT_YM['month']})
+""")
+def q_month_split_after(spark, sf_dir):
+    from almanac.operators import month_split
+    return rounded(month_split(_monthly(spark, sf_dir), SPLIT_YM, "after"))
+
+
+@register("split_label", f"""
+SELECT store_id, year, month, round(sales, {PLACES}) AS sales, {_label_sql()} AS train_test_val_indicator
+FROM ({SQL_MONTHLY}) m
+""")
+def q_split_label(spark, sf_dir):
+    from almanac.operators import split_label
+    s = CFG.split
+    return rounded(split_label(_monthly(spark, sf_dir), s["train_before"], s["test_after"]))
+
+
+@register("lag_complete", f"""
+WITH f AS (SELECT store_id, year, month, CASE WHEN sales > 0 THEN ln(sales) END AS sales FROM ({SQL_MONTHLY}) m),
+g AS (SELECT *, {_lag_sql('sales', [LAGS[-1]], 'store_id', 'year, month')} FROM f)
+SELECT store_id, year, month, {_round_list(['sales', f'lag_sales_{LAGS[-1]}'])}
+FROM g WHERE lag_sales_{LAGS[-1]} IS NOT NULL
+""")
+def q_lag_complete(spark, sf_dir):
+    from almanac.functions import log_cols
+    from almanac.operators import lag_complete, lag_features
+    df = lag_features(log_cols(_monthly(spark, sf_dir), ["sales"]), "sales", ["store_id"],
+                      ["year", "month"], [LAGS[-1]])
+    return rounded(lag_complete(df, f"lag_sales_{LAGS[-1]}"))
+
+
+@register("fill_missing", f"""
+WITH f AS (SELECT store_id, year, month, CASE WHEN sales > 0 THEN ln(sales) END AS sales FROM ({SQL_MONTHLY}) m),
+g AS (SELECT *, {_lag_sql('sales', [1, 2, 3], 'store_id', 'year, month')} FROM f)
+SELECT store_id, year, month, round(sales, {PLACES}) AS sales,
+       {', '.join(f'round(coalesce(lag_sales_{k}, 0.0), {PLACES}) AS lag_sales_{k}' for k in (1, 2, 3))}
+FROM g
+""")
+def q_fill_missing(spark, sf_dir):
+    from almanac.functions import log_cols
+    from almanac.operators import fill_missing, lag_features
+    df = lag_features(log_cols(_monthly(spark, sf_dir), ["sales"]), "sales", ["store_id"],
+                      ["year", "month"], [1, 2, 3])
+    return rounded(fill_missing(df, 0.0, ["lag_sales_1", "lag_sales_2", "lag_sales_3"]))
+
+
+# ---------------------------------------------------------------- reshape
+
+MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("unpivot_measures", " UNION ALL ".join(
+    f"SELECT l_orderkey, l_linenumber, '{m}' AS measure, {m} AS value FROM lineitem" for m in MEASURES))
+def q_unpivot_measures(spark, sf_dir):
+    from almanac.operators import unpivot
+    (li,) = _tables(spark, sf_dir, "lineitem")
+    return unpivot(li.select("l_orderkey", "l_linenumber", *MEASURES), ["l_orderkey", "l_linenumber"],
+                   var_name="measure", value_name="value")
+
+
+SQL_DAY_BOUNDS = "SELECT min(CAST(ts AS DATE)) AS d0, max(CAST(ts AS DATE)) AS d1 FROM events"
+SQL_DAYS = f"SELECT unnest(generate_series(1, date_diff('day', d0, d1) + 1)) AS k FROM ({SQL_DAY_BOUNDS}) b"
+SQL_DAILY = f"""SELECT user_id, event_type,
+       date_diff('day', (SELECT d0 FROM ({SQL_DAY_BOUNDS}) b), CAST(ts AS DATE)) + 1 AS k,
+       sum(value) AS v
+FROM events GROUP BY 1, 2, 3"""
+
+
+@register("unpivot_days", f"""
+WITH g AS (SELECT DISTINCT user_id, event_type FROM events),
+days AS ({SQL_DAYS}),
+s AS ({SQL_DAILY})
+SELECT g.user_id, g.event_type, 'd_' || CAST(days.k AS VARCHAR) AS day,
+       round(coalesce(s.v, 0.0), {PLACES}) AS sales
+FROM g CROSS JOIN days
+LEFT JOIN s ON s.user_id = g.user_id AND s.event_type = g.event_type AND s.k = days.k
+""")
+def q_unpivot_days(spark, sf_dir):
+    from almanac.plans.features import load_long_daily
+    long, _ = load_long_daily(spark, sf_dir)
+    return rounded(long)
+
+
+DAILY_DEPT = "purchase"
+
+
+@register("unpivot_days_monthly", f"""
+WITH b AS ({SQL_DAY_BOUNDS}),
+g AS (SELECT DISTINCT user_id FROM events WHERE event_type = '{DAILY_DEPT}'),
+months AS (SELECT DISTINCT CAST(year(dt) AS INTEGER) AS year, CAST(month(dt) AS INTEGER) AS month
+           FROM (SELECT unnest(generate_series(d0, d1, INTERVAL 1 DAY)) AS dt FROM b) c),
+s AS (SELECT user_id, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, sum(value) AS v
+      FROM events WHERE event_type = '{DAILY_DEPT}' GROUP BY 1, 2, 3)
+SELECT g.user_id, months.year, months.month, round(coalesce(s.v, 0.0), {PLACES}) AS sales
+FROM g CROSS JOIN months
+LEFT JOIN s ON s.user_id = g.user_id AND s.year = months.year AND s.month = months.month
+""")
+def q_unpivot_days_monthly(spark, sf_dir):
+    from almanac.plans.features import daily_monthly, load_long_daily
+    long, cal = load_long_daily(spark, sf_dir, DAILY_DEPT)
+    return rounded(daily_monthly(long, cal, "user_id"))
+
+
+# ---------------------------------------------------------------- joins
+
+@register("join_diff_keys", """
+SELECT l.l_orderkey, l.l_linenumber, l.l_suppkey, s.s_suppkey, s.s_name
+FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+""")
+def q_join_diff_keys(spark, sf_dir):
+    from almanac.operators import join
+    li, su = _tables(spark, sf_dir, "lineitem", "supplier")
+    out = join(li.select("l_orderkey", "l_linenumber", "l_suppkey"), su.select("s_suppkey", "s_name"),
+               {"df1_col": "l_suppkey", "df2_col": "s_suppkey"})
+    return out
+
+
+@register("join_using", """
+SELECT o.o_custkey AS custkey, o.o_orderkey, o.o_totalprice, c.c_name, c.c_mktsegment
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+""")
+def q_join_using(spark, sf_dir):
+    from almanac.operators import join
+    o, c = _tables(spark, sf_dir, "orders", "customer")
+    left = o.select(F.col("o_custkey").alias("custkey"), "o_orderkey", "o_totalprice")
+    right = c.select(F.col("c_custkey").alias("custkey"), "c_name", "c_mktsegment")
+    return join(left, right, "custkey")
+
+
+@register("join_condition", """
+SELECT o.o_orderkey, o.o_custkey, c.c_custkey, o.o_totalprice, c.c_acctbal
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey AND o.o_totalprice > 50 * c.c_acctbal
+""")
+def q_join_condition(spark, sf_dir):
+    from almanac.operators import join
+    o, c = _tables(spark, sf_dir, "orders", "customer")
+    o = o.select("o_orderkey", "o_custkey", "o_totalprice")
+    c = c.select("c_custkey", "c_acctbal")
+    return join(o, c, (o.o_custkey == c.c_custkey) & (o.o_totalprice > 50 * c.c_acctbal))
+
+
+# ---------------------------------------------------------------- aggregation (A1)
+
+GROUP_KEYS = ["l_returnflag", "l_linestatus"]
+
+
+def _group(spark, sf_dir, aggs, places):
+    from almanac.operators import group_agg
+    (li,) = _tables(spark, sf_dir, "lineitem")
+    return rounded(group_agg(li, GROUP_KEYS, aggs), places)
+
+
+@register("group_sum", """
+SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS l_quantity,
+       round(sum(l_extendedprice), 2) AS l_extendedprice
+FROM lineitem GROUP BY 1, 2
+""")
+def q_group_sum(spark, sf_dir):
+    return _group(spark, sf_dir, {"l_quantity": "sum", "l_extendedprice": "sum"}, 2)
+
+
+@register("group_avg", f"""
+SELECT l_returnflag, l_linestatus, round(avg(l_quantity), {PLACES}) AS l_quantity,
+       round(avg(l_discount), {PLACES}) AS l_discount
+FROM lineitem GROUP BY 1, 2
+""")
+def q_group_avg(spark, sf_dir):
+    return _group(spark, sf_dir, {"l_quantity": "avg", "l_discount": "mean"}, PLACES)
+
+
+@register("group_max", """
+SELECT l_returnflag, l_linestatus, max(l_extendedprice) AS l_extendedprice, max(l_quantity) AS l_quantity
+FROM lineitem GROUP BY 1, 2
+""")
+def q_group_max(spark, sf_dir):
+    return _group(spark, sf_dir, {"l_extendedprice": "max", "l_quantity": "max"}, PLACES)
+
+
+@register("group_count", """
+SELECT l_returnflag, l_linestatus, count(*) AS count FROM lineitem GROUP BY 1, 2
+""")
+def q_group_count(spark, sf_dir):
+    return _group(spark, sf_dir, {"*": "count"}, PLACES)
+
+
+# ---------------------------------------------------------------- window, scalar
+
+@register("lag_features", f"""
+WITH f AS (SELECT store_id, year, month, CASE WHEN sales > 0 THEN ln(sales) END AS sales FROM ({SQL_MONTHLY}) m),
+g AS (SELECT *, {_lag_sql('sales', LAGS, 'store_id', 'year, month')} FROM f)
+SELECT store_id, year, month, {_round_list(['sales'] + LAG_COLS)} FROM g
+""")
+def q_lag_features(spark, sf_dir):
+    from almanac.functions import log_cols
+    from almanac.operators import lag_features
+    return rounded(lag_features(log_cols(_monthly(spark, sf_dir), ["sales"]), "sales", ["store_id"],
+                                ["year", "month"], LAGS))
+
+
+@register("log_cols", f"""
+SELECT store_id, year, month, round(sales, {PLACES}) AS sales,
+       round(CASE WHEN sales > 0 THEN ln(sales) END, {PLACES}) AS log_sales
+FROM ({SQL_MONTHLY}) m
+""")
+def q_log_cols(spark, sf_dir):
+    from almanac.functions import log_cols
+    return rounded(log_cols(_monthly(spark, sf_dir), ["sales"], ["log_sales"]))
+
+
+@register("antilog_cols", f"""
+SELECT store_id, year, month, round(exp(sales), 6) AS sales, round(exp(lag_sales_1), 6) AS lag_sales_1
+FROM ({SQL_FEATURES_RAW}) x
+""")
+def q_antilog_cols(spark, sf_dir):
+    from almanac.functions import antilog_cols
+    df = _features(spark, sf_dir).select("store_id", "year", "month", "sales", "lag_sales_1")
+    return rounded(antilog_cols(df, ["sales", "lag_sales_1"]), 6)
+
+
+@register("date_stamp", f"""
+SELECT store_id, year, month, round(sales, {PLACES}) AS sales, make_date(year, month, 1) AS ds
+FROM ({SQL_MONTHLY}) m
+""")
+def q_date_stamp(spark, sf_dir):
+    from almanac.functions import date_stamp
+    return rounded(date_stamp(_monthly(spark, sf_dir), ("year", "month"), "ds"))
+
+
+# ---------------------------------------------------------------- encoding
+
+SQL_STORE_INDEX = f"""
+SELECT store_id, CAST(row_number() OVER (ORDER BY n DESC, store_id) - 1 AS DOUBLE) AS store_id_index
+FROM (SELECT store_id, count(*) AS n FROM ({SQL_FEATURES_RAW}) x GROUP BY 1) c
+"""
+
+
+@register("category_index", f"""
+SELECT f.store_id, f.year, f.month, r.store_id_index
+FROM ({SQL_FEATURES_RAW}) f JOIN ({SQL_STORE_INDEX}) r ON f.store_id = r.store_id
+""")
+def q_category_index(spark, sf_dir):
+    from almanac.operators import category_index
+    f = _features(spark, sf_dir).select("store_id", "year", "month")
+    return category_index(f, "store_id", "store_id_index")
+
+
+FEATURE_COLS = ["store_id_index", "month", "year"] + LAG_COLS
+
+
+@register("feature_array", f"""
+SELECT f.store_id, f.year, f.month,
+       [{', '.join(f'round(CAST({c} AS DOUBLE), {PLACES})' for c in FEATURE_COLS)}] AS features
+FROM ({SQL_FEATURES_RAW}) f JOIN ({SQL_STORE_INDEX}) r ON f.store_id = r.store_id
+""")
+def q_feature_array(spark, sf_dir):
+    from almanac.operators import category_index, feature_array
+    f = category_index(_features(spark, sf_dir), "store_id", "store_id_index")
+    f = feature_array(f, FEATURE_COLS)
+    return f.select("store_id", "year", "month",
+                    F.transform("features", lambda x: F.round(x, PLACES)).alias("features"))
+
+
+# ---------------------------------------------------------------- metric (A4, M9)
+
+SQL_APE = "abs((sales - lag_sales_1) / nullif(sales, 0))"
+
+
+@register("mape", f"SELECT round(100 * avg({SQL_APE}), {PLACES}) AS mape FROM ({SQL_FEATURES_RAW}) x")
+def q_mape(spark, sf_dir):
+    from almanac.functions import mape_frame
+    return rounded(mape_frame(_features(spark, sf_dir), "sales", "lag_sales_1"))
+
+
+@register("mape_by_group", f"""
+SELECT store_id, train_test_val_indicator, round(100 * avg({SQL_APE}), {PLACES}) AS mape
+FROM ({SQL_FEATURES_RAW}) x GROUP BY 1, 2
+""")
+def q_mape_by_group(spark, sf_dir):
+    from almanac.functions import mape_frame
+    return rounded(mape_frame(_features(spark, sf_dir), "sales", "lag_sales_1",
+                              ["store_id", "train_test_val_indicator"]))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q.build for name, q in REGISTRY.items()}
 
