@@ -436,6 +436,107 @@ def q_mape_by_group(spark, sf_dir):
                               ["store_id", "train_test_val_indicator"]))
 
 
+
+# ---------------------------------------------------------------- per-group model (M4-M6, A5)
+
+def _cands():
+    from almanac.plans.group_model import candidates
+    return candidates(CFG)
+
+
+def _cand_values_sql() -> str:
+    rows = ", ".join(f"({i}, CAST({c['seasonality_prior_scale']!r} AS DOUBLE))" for i, c in enumerate(_cands()))
+    return f"SELECT * FROM (VALUES {rows}) v(cand_id, scale)"
+
+
+def _group_sql_ctes() -> str:
+    """CTEs s, tr, rs, c, losses, w, tr2, rs2, eff shared by the group-model oracles."""
+    return f"""
+f AS ({SQL_FEATURES_RAW}),
+s AS (SELECT store_id, year, month, sales AS y,
+             CAST((year - {CFG.base_year}) * 12 + month - 1 AS DOUBLE) AS t,
+             train_test_val_indicator AS ind FROM f),
+tr AS (SELECT store_id, regr_intercept(y, t) AS a, regr_slope(y, t) AS b FROM s WHERE ind = 0 GROUP BY 1),
+rs AS (SELECT s.store_id, s.month, sum(s.y - (tr.a + tr.b * s.t)) AS rsum, count(*) AS n
+       FROM s JOIN tr ON s.store_id = tr.store_id WHERE s.ind = 0 GROUP BY 1, 2),
+c AS ({_cand_values_sql()}),
+v AS (SELECT s.store_id, c.cand_id, c.scale, s.y,
+             tr.a + tr.b * s.t + coalesce(rs.rsum / (rs.n + 1.0 / (c.scale * c.scale)), 0.0) AS p
+      FROM s JOIN tr ON s.store_id = tr.store_id
+      LEFT JOIN rs ON rs.store_id = s.store_id AND rs.month = s.month
+      CROSS JOIN c WHERE s.ind = 1),
+losses AS (SELECT store_id, cand_id, scale AS seasonality_prior_scale,
+                  round(100 * avg(abs((y - p) / nullif(y, 0))), {PLACES}) AS loss
+           FROM v GROUP BY 1, 2, 3),
+w AS (SELECT store_id, cand_id, seasonality_prior_scale, loss FROM (
+        SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY loss NULLS LAST, cand_id) AS rn
+        FROM losses) x WHERE rn = 1),
+tr2 AS (SELECT store_id, regr_intercept(y, t) AS a, regr_slope(y, t) AS b FROM s WHERE ind <= 1 GROUP BY 1),
+rs2 AS (SELECT s.store_id, s.month, sum(s.y - (tr2.a + tr2.b * s.t)) AS rsum, count(*) AS n
+        FROM s JOIN tr2 ON s.store_id = tr2.store_id WHERE s.ind <= 1 GROUP BY 1, 2),
+eff AS (SELECT rs2.store_id, rs2.month,
+               rs2.rsum / (rs2.n + 1.0 / (w.seasonality_prior_scale * w.seasonality_prior_scale)) AS effect
+        FROM rs2 JOIN w ON rs2.store_id = w.store_id),
+fc AS (SELECT s.store_id, s.year, s.month, s.ind, s.y,
+              tr2.a + tr2.b * s.t + coalesce(eff.effect, 0.0) AS TS_prediction
+       FROM s LEFT JOIN tr2 ON s.store_id = tr2.store_id
+       LEFT JOIN eff ON eff.store_id = s.store_id AND eff.month = s.month)"""
+
+
+def _group_losses(spark, sf_dir):
+    from almanac.plans.group_model import tune_group_losses
+    return tune_group_losses(_features(spark, sf_dir), _cands(), ["store_id"], CFG)
+
+
+@register("tune_group_losses", f"WITH {_group_sql_ctes()} SELECT * FROM losses")
+def q_tune_group_losses(spark, sf_dir):
+    return _group_losses(spark, sf_dir)
+
+
+@register("tune_group_argmin", f"WITH {_group_sql_ctes()} SELECT * FROM w")
+def q_tune_group_argmin(spark, sf_dir):
+    from almanac.plans.group_model import group_argmin
+    return group_argmin(_group_losses(spark, sf_dir), ["store_id"])
+
+
+@register("tune_mean_loss", f"""WITH {_group_sql_ctes()}
+SELECT cand_id, seasonality_prior_scale, round(avg(loss), {PLACES}) AS mean_loss FROM losses GROUP BY 1, 2""")
+def q_tune_mean_loss(spark, sf_dir):
+    from almanac.plans.group_model import tune_mean_loss
+    return rounded(tune_mean_loss(_group_losses(spark, sf_dir)))
+
+
+def _group_fit(spark, sf_dir):
+    from almanac.plans.group_model import fit_group_model, group_argmin
+    feats = _features(spark, sf_dir)
+    winners = group_argmin(_group_losses(spark, sf_dir), ["store_id"])
+    return feats, fit_group_model(feats, winners, ["store_id"], CFG)
+
+
+@register("group_fit", f"""WITH {_group_sql_ctes()}
+SELECT tr2.store_id, w.cand_id, w.seasonality_prior_scale, round(tr2.a, {PLACES}) AS intercept,
+       round(tr2.b, {PLACES}) AS slope, eff.month, round(eff.effect, {PLACES}) AS effect
+FROM tr2 LEFT JOIN w ON tr2.store_id = w.store_id JOIN eff ON eff.store_id = tr2.store_id
+""")
+def q_group_fit(spark, sf_dir):
+    _, (trend, effects) = _group_fit(spark, sf_dir)
+    return rounded(trend.join(effects, "store_id")
+                   .select("store_id", "cand_id", "seasonality_prior_scale", "intercept", "slope",
+                           "month", "effect"))
+
+
+@register("group_forecast", f"""WITH {_group_sql_ctes()}
+SELECT store_id, year, month, round(y, {PLACES}) AS sales, round(TS_prediction, {PLACES}) AS TS_prediction
+FROM fc WHERE ind = 2
+""")
+def q_group_forecast(spark, sf_dir):
+    from almanac.plans.group_model import group_forecast
+    feats, (trend, effects) = _group_fit(spark, sf_dir)
+    out = group_forecast(feats.filter(F.col("train_test_val_indicator") == 2), trend, effects,
+                         ["store_id"], "TS_prediction", CFG)
+    return rounded(out.select("store_id", "year", "month", "sales", "TS_prediction"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q.build for name, q in REGISTRY.items()}
 
