@@ -1,0 +1,88 @@
+"""End-to-end forecasting run: features -> fit every model -> score -> losses -> select -> export.
+
+The monthly feature frame is the only input every model reads. It is small (one row per
+store and month) but sits on top of a full line-item scan, so it is checkpointed once into
+the session's checkpoint folder: models and scoring reuse it, and a lost executor never
+forces the large scan again.
+"""
+
+from __future__ import annotations
+
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from almanac.plans import group_model, selection, trees
+from almanac.plans.features import load_monthly_features
+from almanac.session import cut_lineage
+from almanac.sources.config import RunConfig
+from almanac.sources.sinks import write_forecasts
+
+# Models whose predictions SQL can reproduce (used by the oracle-checked selection queries).
+SQL_MODELS = ("TS", "LAST_MONTH", "LAST_YEAR")
+ALL_MODELS = ("RF", "GBT", "TS")
+
+
+def naive_scorer(name: str, lag_col: str):
+    """Baseline forecaster: the lagged actual value (last month / same month last year)."""
+    return name, lambda df: df.withColumn(f"{name}_prediction", F.col(lag_col))
+
+
+def fit_group_scorer(features: DataFrame, cfg: RunConfig, name: str = "TS"):
+    losses = group_model.tune_group_losses(features, group_model.candidates(cfg), ["store_id"], cfg)
+    winners = group_model.group_argmin(losses, ["store_id"])
+    trend, effects = group_model.fit_group_model(features, winners, ["store_id"], cfg)
+    return name, lambda df: group_model.group_forecast(df, trend, effects, ["store_id"],
+                                                       f"{name}_prediction", cfg)
+
+
+def fit_tree_scorer(frame: DataFrame, kind: str, cfg: RunConfig):
+    model, _, _ = trees.tune_tree(frame, kind, cfg)
+    return kind, model.transform
+
+
+def fit_all(frame: DataFrame, models=ALL_MODELS, cfg: RunConfig = RunConfig(),
+            concurrent: bool = True) -> list[tuple[str, object]]:
+    """Fit every requested model (M7); each fit submits its own Spark jobs, run side by side."""
+    def fit(name):
+        if name in trees.ESTIMATORS:
+            return fit_tree_scorer(frame, name, cfg)
+        if name == "TS":
+            return fit_group_scorer(frame, cfg)
+        if name == "LAST_MONTH":
+            return naive_scorer(name, "lag_sales_1")
+        if name == "LAST_YEAR":
+            return naive_scorer(name, f"lag_sales_{cfg.lags[-1]}")
+        raise ValueError(f"unknown model {name!r}")
+
+    if not concurrent:
+        return [fit(m) for m in models]
+    with ThreadPoolExecutor(max_workers=len(models)) as pool:
+        return list(pool.map(fit, models))
+
+
+def prepare(spark: SparkSession, sf_dir: str, cfg: RunConfig = RunConfig(),
+            checkpoint: bool = True) -> DataFrame:
+    """Model-ready monthly frame (store index + feature vector), lineage cut if asked."""
+    features = load_monthly_features(spark, sf_dir, cfg)
+    if checkpoint:
+        features = cut_lineage(features)
+    return trees.model_frame(features, cfg)
+
+
+def run(spark: SparkSession, sf_dir: str, cfg: RunConfig = RunConfig(), models=ALL_MODELS,
+        select_on: str = "test", out_path: str | None = None, fmt: str = "csv") -> dict:
+    frame = prepare(spark, sf_dir, cfg)
+    scorers = fit_all(frame, models, cfg)
+    names = [n for n, _ in scorers]
+    scored = selection.score_all(frame, scorers)
+    losses = selection.model_losses(scored, names)
+    best = selection.best_model(losses, select_on)
+    export = selection.forecast_export(selection.best_predictions(scored, names, best))
+    result = {"losses": losses, "best": best, "forecasts": export, "scored": scored}
+    if out_path:
+        winner = best.first().model_name  # one aggregated row
+        out = export.withColumnRenamed("prediction", f"{winner}_prediction").drop("model_name")
+        write_forecasts(out, f"{out_path}/{winner}_{cfg.dept}_forecasts", fmt)
+    return result

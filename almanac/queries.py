@@ -455,7 +455,7 @@ def _group_sql_ctes() -> str:
 f AS ({SQL_FEATURES_RAW}),
 s AS (SELECT store_id, year, month, sales AS y,
              CAST((year - {CFG.base_year}) * 12 + month - 1 AS DOUBLE) AS t,
-             train_test_val_indicator AS ind FROM f),
+             train_test_val_indicator AS ind, lag_sales_1, lag_sales_{LAGS[-1]} AS lag_last FROM f),
 tr AS (SELECT store_id, regr_intercept(y, t) AS a, regr_slope(y, t) AS b FROM s WHERE ind = 0 GROUP BY 1),
 rs AS (SELECT s.store_id, s.month, sum(s.y - (tr.a + tr.b * s.t)) AS rsum, count(*) AS n
        FROM s JOIN tr ON s.store_id = tr.store_id WHERE s.ind = 0 GROUP BY 1, 2),
@@ -480,7 +480,20 @@ eff AS (SELECT rs2.store_id, rs2.month,
 fc AS (SELECT s.store_id, s.year, s.month, s.ind, s.y,
               tr2.a + tr2.b * s.t + coalesce(eff.effect, 0.0) AS TS_prediction
        FROM s LEFT JOIN tr2 ON s.store_id = tr2.store_id
-       LEFT JOIN eff ON eff.store_id = s.store_id AND eff.month = s.month)"""
+       LEFT JOIN eff ON eff.store_id = s.store_id AND eff.month = s.month),
+sc AS (SELECT s.store_id, s.year, s.month, s.ind, s.y, fc.TS_prediction,
+              s.lag_sales_1 AS LAST_MONTH_prediction, s.lag_last AS LAST_YEAR_prediction
+       FROM s JOIN fc ON fc.store_id = s.store_id AND fc.year = s.year AND fc.month = s.month),
+lng AS (SELECT store_id, year, month, ind, y, 0 AS position, 'TS' AS model_name, TS_prediction AS prediction FROM sc
+        UNION ALL SELECT store_id, year, month, ind, y, 1, 'LAST_MONTH', LAST_MONTH_prediction FROM sc
+        UNION ALL SELECT store_id, year, month, ind, y, 2, 'LAST_YEAR', LAST_YEAR_prediction FROM sc),
+spl AS (SELECT *, 'train' AS split FROM lng WHERE ind IN (0, 1)
+        UNION ALL SELECT *, 'validation' FROM lng WHERE ind = 1
+        UNION ALL SELECT *, 'test' FROM lng WHERE ind = 2),
+ml AS (SELECT model_name, position, split, round(100 * avg(abs((y - prediction) / nullif(y, 0))), {PLACES}) AS loss
+       FROM spl GROUP BY 1, 2, 3),
+best AS (SELECT model_name, position, loss FROM ml WHERE split = 'test'
+         ORDER BY loss NULLS LAST, position LIMIT 1)"""
 
 
 def _group_losses(spark, sf_dir):
@@ -537,6 +550,92 @@ def q_group_forecast(spark, sf_dir):
     return rounded(out.select("store_id", "year", "month", "sales", "TS_prediction"))
 
 
+
+# ---------------------------------------------------------------- scoring and selection
+
+def _scored(spark, sf_dir, models):
+    from almanac.plans import pipeline, selection
+    frame = pipeline.prepare(spark, sf_dir, CFG, checkpoint=False)
+    scorers = pipeline.fit_all(frame, models, CFG)
+    names = [n for n, _ in scorers]
+    return selection.score_all(frame, scorers), names
+
+
+def _sql_selection(spark, sf_dir):
+    from almanac.plans import pipeline, selection
+    scored, names = _scored(spark, sf_dir, pipeline.SQL_MODELS)
+    losses = selection.model_losses(scored, names)
+    best = selection.best_model(losses, "test")
+    return scored, names, losses, best
+
+
+@register("model_losses", f"WITH {_group_sql_ctes()} SELECT * FROM ml")
+def q_model_losses(spark, sf_dir):
+    _, _, losses, _ = _sql_selection(spark, sf_dir)
+    return losses
+
+
+@register("best_model", f"WITH {_group_sql_ctes()} SELECT * FROM best")
+def q_best_model(spark, sf_dir):
+    _, _, _, best = _sql_selection(spark, sf_dir)
+    return best
+
+
+@register("best_predictions", f"""WITH {_group_sql_ctes()}
+SELECT lng.store_id, lng.year, lng.month, lng.ind AS train_test_val_indicator, round(lng.y, {PLACES}) AS sales,
+       lng.model_name, round(lng.prediction, {PLACES}) AS prediction
+FROM lng JOIN best ON lng.model_name = best.model_name
+""")
+def q_best_predictions(spark, sf_dir):
+    from almanac.plans import selection
+    scored, names, _, best = _sql_selection(spark, sf_dir)
+    return rounded(selection.best_predictions(scored, names, best))
+
+
+@register("forecast_export", f"""WITH {_group_sql_ctes()}
+SELECT lng.store_id, lng.year, lng.month, round(exp(lng.y), 6) AS sales, lng.model_name,
+       round(exp(lng.prediction), 6) AS prediction
+FROM lng JOIN best ON lng.model_name = best.model_name
+WHERE lng.ind = 2 ORDER BY 1, 2, 3
+""")
+def q_forecast_export(spark, sf_dir):
+    from almanac.plans import selection
+    scored, names, _, best = _sql_selection(spark, sf_dir)
+    return rounded(selection.forecast_export(selection.best_predictions(scored, names, best)), 6)
+
+
+def _tree_forecast(spark, sf_dir, kind):
+    from almanac.plans import pipeline
+    scored, _ = _scored(spark, sf_dir, (kind,))
+    return rounded(scored.filter(F.col("train_test_val_indicator") == 2)
+                   .select("store_id", "year", "month", "sales", f"{kind}_prediction"))
+
+
+@register("rf_forecast")
+def q_rf_forecast(spark, sf_dir):
+    return _tree_forecast(spark, sf_dir, "RF")
+
+
+@register("gbt_forecast")
+def q_gbt_forecast(spark, sf_dir):
+    return _tree_forecast(spark, sf_dir, "GBT")
+
+
+@register("score_all_models")
+def q_score_all_models(spark, sf_dir):
+    from almanac.plans import pipeline
+    scored, names = _scored(spark, sf_dir, pipeline.ALL_MODELS)
+    return rounded(scored.select("store_id", "year", "month", "train_test_val_indicator", "sales",
+                                 *[f"{n}_prediction" for n in names]))
+
+
+@register("best_model_all")
+def q_best_model_all(spark, sf_dir):
+    from almanac.plans import pipeline, selection
+    scored, names = _scored(spark, sf_dir, pipeline.ALL_MODELS)
+    return selection.best_model(selection.model_losses(scored, names), "test")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q.build for name, q in REGISTRY.items()}
 
