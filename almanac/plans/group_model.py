@@ -27,7 +27,7 @@ LABEL = "train_test_val_indicator"
 PLACES = 8
 
 
-def candidates(cfg: RunConfig = RunConfig(), method: str = "spread") -> list[dict]:
+def candidates(cfg: RunConfig = RunConfig(), method: str = "random") -> list[dict]:
     """Candidate parameter sets for the group model (additive seasonality only)."""
     grid = candidate_grid(cfg.hp_space_group, cfg.max_evals, method, cfg.seed)
     for c in grid:

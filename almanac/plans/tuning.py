@@ -31,11 +31,12 @@ def full_grid(space: dict) -> list[dict]:
     return [dict(zip(names, combo)) for combo in itertools.product(*axes)]
 
 
-def candidate_grid(space: dict, limit: int, method: str = "spread", seed: int = 42) -> list[dict]:
+def candidate_grid(space: dict, limit: int, method: str = "random", seed: int = 42) -> list[dict]:
     """At most ``limit`` candidates.
 
+    ``random`` (default): a seeded sample without replacement, in grid order. With a handful
+    of trials a sequential optimiser draws its first points at random too.
     ``spread``: rows ``floor(i * size / limit)`` of the full grid, so the picks span it evenly.
-    ``random``: a seeded sample without replacement, in grid order.
     """
     grid = full_grid(space)
     if limit <= 0 or len(grid) <= limit:

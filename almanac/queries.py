@@ -496,9 +496,17 @@ best AS (SELECT model_name, position, loss FROM ml WHERE split = 'test'
          ORDER BY loss NULLS LAST, position LIMIT 1)"""
 
 
-def _group_losses(spark, sf_dir):
+def _model_features(spark, sf_dir):
+    """Feature frame for the model queries, checkpointed once: every tuning, fitting and scoring
+    step then reads the small materialised frame instead of re-running the fact-table scan."""
+    from almanac.session import cut_lineage
+    return cut_lineage(_features(spark, sf_dir))
+
+
+def _group_losses(spark, sf_dir, feats=None):
     from almanac.plans.group_model import tune_group_losses
-    return tune_group_losses(_features(spark, sf_dir), _cands(), ["store_id"], CFG)
+    feats = _model_features(spark, sf_dir) if feats is None else feats
+    return tune_group_losses(feats, _cands(), ["store_id"], CFG)
 
 
 @register("tune_group_losses", f"WITH {_group_sql_ctes()} SELECT * FROM losses")
@@ -521,8 +529,8 @@ def q_tune_mean_loss(spark, sf_dir):
 
 def _group_fit(spark, sf_dir):
     from almanac.plans.group_model import fit_group_model, group_argmin
-    feats = _features(spark, sf_dir)
-    winners = group_argmin(_group_losses(spark, sf_dir), ["store_id"])
+    feats = _model_features(spark, sf_dir)
+    winners = group_argmin(_group_losses(spark, sf_dir, feats), ["store_id"])
     return feats, fit_group_model(feats, winners, ["store_id"], CFG)
 
 
@@ -555,7 +563,7 @@ def q_group_forecast(spark, sf_dir):
 
 def _scored(spark, sf_dir, models):
     from almanac.plans import pipeline, selection
-    frame = pipeline.prepare(spark, sf_dir, CFG, checkpoint=False)
+    frame = pipeline.prepare(spark, sf_dir, CFG, checkpoint=True)
     scorers = pipeline.fit_all(frame, models, CFG)
     names = [n for n, _ in scorers]
     return selection.score_all(frame, scorers), names
