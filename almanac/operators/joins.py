@@ -15,6 +15,8 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     The proof is a ``limit(max_rows + 1).count()``, which stops reading once the bound is
     exceeded. Above the bound the frame is returned unhinted and Spark/AQE pick a shuffle join.
     """
+    if max_rows <= 0:
+        return df
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 

@@ -37,7 +37,7 @@ def store_map(supplier: DataFrame, nation: DataFrame) -> DataFrame:
 
 
 def monthly_store_sales(lineitem: DataFrame, supplier: DataFrame, nation: DataFrame,
-                        dept: str = "R") -> DataFrame:
+                        dept: str = "R", broadcast_rows: int = STORE_MAP_BROADCAST_ROWS) -> DataFrame:
     """``(store_id, year int, month int, sales double)``: department sales per store and month.
 
     The department filter and the column projection reach the parquet scan. Two physical
@@ -54,7 +54,7 @@ def monthly_store_sales(lineitem: DataFrame, supplier: DataFrame, nation: DataFr
                      F.month("l_shipdate").alias("month"),
                      "l_quantity"))
     stores = store_map(supplier, nation)
-    hinted = bounded_broadcast(stores, STORE_MAP_BROADCAST_ROWS)
+    hinted = bounded_broadcast(stores, broadcast_rows)
     if hinted is not stores:
         joined = items.join(hinted, items.l_suppkey == hinted.s_suppkey)
         return (joined.groupBy("store_id", "year", "month")

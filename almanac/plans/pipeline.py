@@ -21,7 +21,7 @@ from almanac.sources.sinks import write_forecasts
 
 # Models whose predictions SQL can reproduce (used by the oracle-checked selection queries).
 SQL_MODELS = ("TS", "LAST_MONTH", "LAST_YEAR")
-ALL_MODELS = ("RF", "GBT", "TS")
+ALL_MODELS = ("RF", "GBT", "TS", "FOURIER")
 
 
 def naive_scorer(name: str, lag_col: str):
@@ -37,6 +37,15 @@ def fit_group_scorer(features: DataFrame, cfg: RunConfig, name: str = "TS"):
                                                        f"{name}_prediction", cfg)
 
 
+def fit_fourier_scorer(features: DataFrame, cfg: RunConfig, name: str = "FOURIER"):
+    """Grouped-map model: its predictions come back keyed by (store, year, month) and are
+    joined onto the scored rows (left join on the full key, one row per key on each side)."""
+    from almanac.plans.fourier import fourier_forecast
+    preds = fourier_forecast(features, cfg, prediction_col=f"{name}_prediction").select(
+        "store_id", "year", "month", f"{name}_prediction")
+    return name, lambda df: df.join(preds, ["store_id", "year", "month"], "left")
+
+
 def fit_tree_scorer(frame: DataFrame, kind: str, cfg: RunConfig):
     model, _, _ = trees.tune_tree(frame, kind, cfg)
     return kind, model.transform
@@ -50,6 +59,8 @@ def fit_all(frame: DataFrame, models=ALL_MODELS, cfg: RunConfig = RunConfig(),
             return fit_tree_scorer(frame, name, cfg)
         if name == "TS":
             return fit_group_scorer(frame, cfg)
+        if name == "FOURIER":
+            return fit_fourier_scorer(frame, cfg)
         if name == "LAST_MONTH":
             return naive_scorer(name, "lag_sales_1")
         if name == "LAST_YEAR":

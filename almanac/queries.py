@@ -644,6 +644,13 @@ def q_best_model_all(spark, sf_dir):
     return selection.best_model(selection.model_losses(scored, names), "test")
 
 
+
+@register("group_fit_fourier")
+def q_group_fit_fourier(spark, sf_dir):
+    from almanac.plans.fourier import fourier_forecast
+    return rounded(fourier_forecast(_model_features(spark, sf_dir), CFG))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q.build for name, q in REGISTRY.items()}
 
