@@ -73,18 +73,23 @@ def fit_all(frame: DataFrame, models=ALL_MODELS, cfg: RunConfig = RunConfig(),
         return list(pool.map(fit, models))
 
 
+def needs_vectors(models) -> bool:
+    return any(m in trees.ESTIMATORS for m in models)
+
+
 def prepare(spark: SparkSession, sf_dir: str, cfg: RunConfig = RunConfig(),
-            checkpoint: bool = True) -> DataFrame:
-    """Model-ready monthly frame (store index + feature vector), lineage cut if asked."""
+            checkpoint: bool = True, vectors: bool = True) -> DataFrame:
+    """Monthly feature frame, lineage cut if asked; with ``vectors`` also the store index and
+    feature vector the tree learners need (SQL-form models do without)."""
     features = load_monthly_features(spark, sf_dir, cfg)
     if checkpoint:
         features = cut_lineage(features)
-    return trees.model_frame(features, cfg)
+    return trees.model_frame(features, cfg) if vectors else features
 
 
 def run(spark: SparkSession, sf_dir: str, cfg: RunConfig = RunConfig(), models=ALL_MODELS,
         select_on: str = "test", out_path: str | None = None, fmt: str = "csv") -> dict:
-    frame = prepare(spark, sf_dir, cfg)
+    frame = prepare(spark, sf_dir, cfg, vectors=needs_vectors(models))
     scorers = fit_all(frame, models, cfg)
     names = [n for n, _ in scorers]
     scored = selection.score_all(frame, scorers)

@@ -52,7 +52,7 @@ def space_for(kind: str, cfg: RunConfig) -> dict:
 
 
 def tune_tree(frame: DataFrame, kind: str = "RF", cfg: RunConfig = RunConfig(),
-              label_col: str = "sales", parallelism: int = 4):
+              label_col: str = "sales", parallelism: int = 8):
     """Returns ``(model fitted on labels 0-1, [(cand_id, params, validation MAPE)], best id)``.
 
     ``frame`` should be small and reused (the monthly feature frame); it is cached here for

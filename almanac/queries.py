@@ -563,7 +563,7 @@ def q_group_forecast(spark, sf_dir):
 
 def _scored(spark, sf_dir, models):
     from almanac.plans import pipeline, selection
-    frame = pipeline.prepare(spark, sf_dir, CFG, checkpoint=True)
+    frame = pipeline.prepare(spark, sf_dir, CFG, checkpoint=True, vectors=pipeline.needs_vectors(models))
     scorers = pipeline.fit_all(frame, models, CFG)
     names = [n for n, _ in scorers]
     return selection.score_all(frame, scorers), names

@@ -26,10 +26,14 @@ _DEFAULTS = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "almanac") -> SparkSession:
+                app_name: str = "almanac", driver_memory: str | None = None) -> SparkSession:
+    """Session with the defaults above filled in. ``driver_memory`` only takes effect when
+    this call launches the JVM (local mode: the driver heap is the whole cluster's memory)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     for key, value in _DEFAULTS.items():
         builder = builder.config(key, value)
     if shuffle_partitions:

@@ -1,7 +1,7 @@
 """Time the headline queries at one scale factor and print ONE JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-     BENCH_QUERIES (comma list, default HEADLINE).
+     BENCH_QUERIES (comma list, default HEADLINE), BENCH_DRIVER_MEMORY (default 16g).
 Each query is fully executed into Spark's ``noop`` sink (every row produced, nothing
 collected to the driver); the time includes planning and any size checks the plan runs.
 """
@@ -37,7 +37,9 @@ def main() -> None:
     from almanac.queries import REGISTRY
     from almanac.session import get_session
 
-    spark = get_session(f"local[{cpus}]", cpus, app_name="almanac-bench")
+    # local mode: the driver heap is all the memory the "cluster" has
+    spark = get_session(f"local[{cpus}]", cpus, app_name="almanac-bench",
+                        driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
     timings: dict[str, float] = {}
     for name in names:
         t0 = time.perf_counter()
