@@ -4,10 +4,10 @@ from almanac.operators.filters import (TRAIN, VALIDATION, TEST, filter_rows, lag
 from almanac.operators.reshape import unpivot
 from almanac.operators.joins import join, bounded_broadcast
 from almanac.operators.aggregate import group_agg
-from almanac.operators.window import lag_features, lag_names
+from almanac.operators.window import lag_features, lag_names, fill_month_gaps
 from almanac.operators.encode import category_index, assemble, feature_array, vector_as_array
 
 __all__ = ["TRAIN", "VALIDATION", "TEST", "filter_rows", "lag_complete", "month_split",
            "split_on_month", "split_label", "fill_missing", "drop_vectors", "before_month",
            "after_month", "unpivot", "join", "bounded_broadcast", "group_agg", "lag_features",
-           "lag_names", "category_index", "assemble", "feature_array", "vector_as_array"]
+           "lag_names", "fill_month_gaps", "category_index", "assemble", "feature_array", "vector_as_array"]

@@ -21,3 +21,21 @@ def lag_features(df: DataFrame, input_col: str, part_cols: list[str], order_cols
     src = F.col(input_col).cast(cast) if cast else F.col(input_col)
     cols = [F.lag(src, int(k)).over(w).alias(name) for k, name in zip(lags, lag_names(input_col, lags))]
     return df.select("*", *cols)
+
+
+def fill_month_gaps(df: DataFrame, keys: list[str], year_col: str = "year",
+                    month_col: str = "month") -> DataFrame:
+    """Add the missing calendar months of each group's span (other columns null), so that
+    :func:`lag_features` afterwards counts months instead of rows.
+
+    Per group the span is ``sequence(first, last)`` month index, exploded on the executors;
+    its size is the group's month span, not its row count. The original rows are left-joined
+    back on the full key, so none is dropped or duplicated.
+    """
+    keys = list(keys)
+    idx = F.col(year_col) * 12 + F.col(month_col) - 1
+    bounds = df.groupBy(*keys).agg(F.min(idx).alias("_lo"), F.max(idx).alias("_hi"))
+    spine = (bounds.select(*keys, F.explode(F.sequence("_lo", "_hi")).alias("_i"))
+             .select(*keys, F.floor(F.col("_i") / 12).cast("int").alias(year_col),
+                     (F.col("_i") % 12 + 1).cast("int").alias(month_col)))
+    return spine.join(df, keys + [year_col, month_col], "left")

@@ -651,6 +651,39 @@ def q_group_fit_fourier(spark, sf_dir):
     return rounded(fourier_forecast(_model_features(spark, sf_dir), CFG))
 
 
+
+@register("month_spine", f"""
+WITH m AS ({SQL_MONTHLY}),
+b AS (SELECT store_id, min(year * 12 + month - 1) AS lo, max(year * 12 + month - 1) AS hi FROM m GROUP BY 1),
+sp AS (SELECT store_id, unnest(generate_series(lo, hi)) AS i FROM b),
+g AS (SELECT sp.store_id, CAST(sp.i // 12 AS INTEGER) AS year, CAST(sp.i % 12 + 1 AS INTEGER) AS month,
+             CASE WHEN m.sales > 0 THEN ln(m.sales) END AS sales
+      FROM sp LEFT JOIN m ON m.store_id = sp.store_id AND m.year = CAST(sp.i // 12 AS INTEGER)
+                          AND m.month = CAST(sp.i % 12 + 1 AS INTEGER)),
+l AS (SELECT *, {_lag_sql('sales', [1, LAGS[-1]], 'store_id', 'year, month')} FROM g)
+SELECT store_id, year, month, {_round_list(['sales', 'lag_sales_1', f'lag_sales_{LAGS[-1]}'])} FROM l
+""")
+def q_month_spine(spark, sf_dir):
+    from almanac.functions import log_cols
+    from almanac.operators import fill_month_gaps, lag_features
+    full = fill_month_gaps(log_cols(_monthly(spark, sf_dir), ["sales"]), ["store_id"])
+    return rounded(lag_features(full, "sales", ["store_id"], ["year", "month"], [1, LAGS[-1]]))
+
+
+@register("feature_vector", f"""
+SELECT f.store_id, f.year, f.month,
+       [{', '.join(f'round(CAST({c} AS DOUBLE), {PLACES})' for c in FEATURE_COLS)}] AS features
+FROM ({SQL_FEATURES_RAW}) f JOIN ({SQL_STORE_INDEX}) r ON f.store_id = r.store_id
+""")
+def q_feature_vector(spark, sf_dir):
+    """E2 + E3: the MLlib vector the tree learners see, turned back into an array."""
+    from almanac.operators import assemble, category_index, vector_as_array
+    f = assemble(category_index(_features(spark, sf_dir), "store_id", "store_id_index"), FEATURE_COLS)
+    f = vector_as_array(f, "features")
+    return f.select("store_id", "year", "month",
+                    F.transform("features", lambda x: F.round(x, PLACES)).alias("features"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q.build for name, q in REGISTRY.items()}
 

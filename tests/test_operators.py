@@ -238,3 +238,16 @@ def test_encode_and_drop_vectors(spark):
     assert "features" not in drop_vectors(vec).columns
     fa = feature_array(idx, ["s_index", "x"])
     assert dict(fa.dtypes)["features"] == "array<double>"
+
+
+def test_fill_month_gaps_then_calendar_lag(spark):
+    from almanac.operators import fill_month_gaps
+    df = spark.createDataFrame([("a", 2000, 11, 1.0), ("a", 2001, 2, 4.0), ("b", 2000, 1, 7.0)],
+                               "k string, year int, month int, v double")
+    full = fill_month_gaps(df, ["k"])
+    rows = sorted((r.k, r.year, r.month, r.v) for r in full.collect())
+    assert rows == [("a", 2000, 11, 1.0), ("a", 2000, 12, None), ("a", 2001, 1, None),
+                    ("a", 2001, 2, 4.0), ("b", 2000, 1, 7.0)]
+    lagged = lag_features(full, "v", ["k"], ["year", "month"], [3])
+    got = {(r.k, r.year, r.month): r.lag_v_3 for r in lagged.collect()}
+    assert got[("a", 2001, 2)] == 1.0
