@@ -12,13 +12,15 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only after proving ``df`` has at most ``max_rows`` rows.
 
-    The proof is a ``limit(max_rows + 1).count()``, which stops reading once the bound is
-    exceeded. Above the bound the frame is returned unhinted and Spark/AQE pick a shuffle join.
+    The proof is an exact ``count()``: every task counts its own rows (no column is decoded
+    for a plain scan) and only one partial count per task is shuffled. A ``limit(n).count()``
+    would instead funnel up to ``n`` rows per task through a single partition. Above the bound
+    the frame is returned unhinted and Spark / AQE plan a shuffle join.
+    Meant for dimension-side frames; the fact side is never checked.
     """
     if max_rows <= 0:
         return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def join(df1: DataFrame, df2: DataFrame, on: str | list[str] | dict | Column,

@@ -18,6 +18,7 @@ from almanac.functions.metrics import mape
 from almanac.operators.encode import assemble, category_index
 from almanac.operators.window import lag_names
 from almanac.plans.tuning import candidate_grid
+from almanac.session import ensure_checkpoint_dir
 from almanac.sources.config import RunConfig
 
 LABEL = "train_test_val_indicator"
@@ -52,12 +53,14 @@ def space_for(kind: str, cfg: RunConfig) -> dict:
 
 
 def tune_tree(frame: DataFrame, kind: str = "RF", cfg: RunConfig = RunConfig(),
-              label_col: str = "sales", parallelism: int = 8):
-    """Returns ``(model fitted on labels 0-1, [(cand_id, params, validation MAPE)], best id)``.
+              label_col: str = "sales", parallelism: int = 8, refit_max_label: int = 1):
+    """Returns ``(model refitted on labels <= refit_max_label, [(cand_id, params, validation
+    MAPE)], best id)``. ``refit_max_label=0`` refits on the training slice only.
 
     ``frame`` should be small and reused (the monthly feature frame); it is cached here for
     the duration of the tuning and released afterwards.
     """
+    ensure_checkpoint_dir(frame.sparkSession)  # node-id cache checkpoints go to shared storage
     pred = f"{kind}_prediction"
     est = make_estimator(kind, label_col, pred, cfg.seed)
     grid = candidate_grid(space_for(kind, cfg), cfg.max_evals, "random", cfg.seed)
@@ -76,7 +79,7 @@ def tune_tree(frame: DataFrame, kind: str = "RF", cfg: RunConfig = RunConfig(),
         losses = [(i, grid[i], loss) for i, loss in scored]
         ranked = sorted(losses, key=lambda x: (x[2] is None, x[2] if x[2] is not None else 0.0, x[0]))
         best = ranked[0][0]
-        model = est.copy(maps[best]).fit(frame.filter(F.col(LABEL) <= 1))
+        model = est.copy(maps[best]).fit(frame.filter(F.col(LABEL) <= refit_max_label))
     finally:
         train.unpersist()
         valid.unpersist()
