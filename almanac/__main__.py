@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import argparse
 
-from almanac.plans import pipeline
+from almanac.plans import runner
 from almanac.session import get_session
 from almanac.sources.config import RunConfig, load_config
 
@@ -19,7 +19,7 @@ def main(argv=None) -> None:
     ap.add_argument("--data", required=True, help="folder holding <table>.parquet")
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
     ap.add_argument("--config", help="run config JSON (split points, lags, spaces, max_evals)")
-    ap.add_argument("--models", default=",".join(pipeline.ALL_MODELS))
+    ap.add_argument("--models", default=",".join(runner.ALL_MODELS))
     ap.add_argument("--select-on", default="test", choices=["test", "validation"])
     ap.add_argument("--format", default="csv", choices=["csv", "parquet"])
     ap.add_argument("--master", default=None, help="only for local runs, e.g. local[8]")
@@ -27,7 +27,7 @@ def main(argv=None) -> None:
 
     cfg = load_config(args.config) if args.config else RunConfig()
     spark = get_session(args.master)
-    res = pipeline.run(spark, args.data, cfg, models=tuple(args.models.split(",")),
+    res = runner.run(spark, args.data, cfg, models=tuple(args.models.split(",")),
                        select_on=args.select_on, out_path=args.out, fmt=args.format)
     res["losses"].orderBy("position", "split").show(truncate=False)
     res["best"].show(truncate=False)

@@ -71,7 +71,7 @@ def monthly_features(monthly: DataFrame, cfg: RunConfig = RunConfig(),
 
     Output: ``store_id, year, month, sales (ln), lag_sales_1..k, ds, train_test_val_indicator``.
     Lags are taken over the whole series before labelling, so test rows see actual earlier
-    months (one-step-ahead features), as in the reference pipeline.
+    months (one-step-ahead features), as the surveyed design does.
     """
     df = log_cols(monthly, ["sales"])
     df = lag_features(df, "sales", ["store_id"], ["year", "month"], cfg.lags)

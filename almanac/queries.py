@@ -562,16 +562,16 @@ def q_group_forecast(spark, sf_dir):
 # ---------------------------------------------------------------- scoring and selection
 
 def _scored(spark, sf_dir, models):
-    from almanac.plans import pipeline, selection
-    frame = pipeline.prepare(spark, sf_dir, CFG, checkpoint=True, vectors=pipeline.needs_vectors(models))
-    scorers = pipeline.fit_all(frame, models, CFG)
+    from almanac.plans import runner, selection
+    frame = runner.prepare(spark, sf_dir, CFG, checkpoint=True, vectors=runner.needs_vectors(models))
+    scorers = runner.fit_all(frame, models, CFG)
     names = [n for n, _ in scorers]
     return selection.score_all(frame, scorers), names
 
 
 def _sql_selection(spark, sf_dir):
-    from almanac.plans import pipeline, selection
-    scored, names = _scored(spark, sf_dir, pipeline.SQL_MODELS)
+    from almanac.plans import runner, selection
+    scored, names = _scored(spark, sf_dir, runner.SQL_MODELS)
     losses = selection.model_losses(scored, names)
     best = selection.best_model(losses, "test")
     return scored, names, losses, best
@@ -612,8 +612,18 @@ def q_forecast_export(spark, sf_dir):
     return rounded(selection.forecast_export(selection.best_predictions(scored, names, best)), 6)
 
 
+@register("best_model_validation", f"""WITH {_group_sql_ctes()}
+SELECT model_name, position, loss FROM ml WHERE split = 'validation' ORDER BY loss NULLS LAST, position LIMIT 1
+""")
+def q_best_model_validation(spark, sf_dir):
+    """Selection on the validation slice: the test slice stays unseen by the choice."""
+    from almanac.plans import selection
+    _, _, losses, _ = _sql_selection(spark, sf_dir)
+    return selection.best_model(losses, "validation")
+
+
 def _tree_forecast(spark, sf_dir, kind):
-    from almanac.plans import pipeline
+    from almanac.plans import runner
     scored, _ = _scored(spark, sf_dir, (kind,))
     return rounded(scored.filter(F.col("train_test_val_indicator") == 2)
                    .select("store_id", "year", "month", "sales", f"{kind}_prediction"))
@@ -631,16 +641,16 @@ def q_gbt_forecast(spark, sf_dir):
 
 @register("score_all_models")
 def q_score_all_models(spark, sf_dir):
-    from almanac.plans import pipeline
-    scored, names = _scored(spark, sf_dir, pipeline.ALL_MODELS)
+    from almanac.plans import runner
+    scored, names = _scored(spark, sf_dir, runner.ALL_MODELS)
     return rounded(scored.select("store_id", "year", "month", "train_test_val_indicator", "sales",
                                  *[f"{n}_prediction" for n in names]))
 
 
 @register("best_model_all")
 def q_best_model_all(spark, sf_dir):
-    from almanac.plans import pipeline, selection
-    scored, names = _scored(spark, sf_dir, pipeline.ALL_MODELS)
+    from almanac.plans import runner, selection
+    scored, names = _scored(spark, sf_dir, runner.ALL_MODELS)
     return selection.best_model(selection.model_losses(scored, names), "test")
 
 

@@ -18,7 +18,7 @@ ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
 HEADLINE = [
-    "monthly_features",      # scan + join + aggregate + window: the feature pipeline
+    "monthly_features",      # scan + join + aggregate + window: the feature stage
     "unpivot_days_monthly",  # pivot -> unpivot -> calendar join -> monthly roll-up
     "unpivot_measures",      # wide-to-long over the whole fact table
     "join_diff_keys",        # fact-to-dimension join, full output

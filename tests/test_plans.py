@@ -147,19 +147,19 @@ def test_fourier_recovers_seasonal_series(spark):
 
 
 def test_tree_tuning_deterministic(spark):
-    from almanac.plans import pipeline, trees
+    from almanac.plans import runner, trees
     cfg = RunConfig(max_evals=2, hp_space_rf={"maxDepth": ["quniform", "int", 3, 4, 1],
                                               "numTrees": ["quniform", "int", 4, 5, 1]})
-    frame = pipeline.prepare(spark, SF_SMALL, cfg).cache()
+    frame = runner.prepare(spark, SF_SMALL, cfg).cache()
     _, l1, b1 = trees.tune_tree(frame, "RF", cfg)
     _, l2, b2 = trees.tune_tree(frame, "RF", cfg)
     assert l1 == l2 and b1 == b2 and len(l1) == 2
 
 
-def test_pipeline_run_writes_forecasts(spark):
-    from almanac.plans import pipeline
+def test_run_writes_forecasts(spark):
+    from almanac.plans import runner
     out = tempfile.mkdtemp(prefix="almanac-out-")
-    res = pipeline.run(spark, SF_SMALL, CFG, models=pipeline.SQL_MODELS, out_path=out)
+    res = runner.run(spark, SF_SMALL, CFG, models=runner.SQL_MODELS, out_path=out)
     winner = res["best"].first().model_name
     path = os.path.join(out, f"{winner}_{CFG.dept}_forecasts")
     back = spark.read.option("header", "true").csv(path)
@@ -184,3 +184,19 @@ def test_read_csv_schema_and_inferred(spark, tmp_path):
     assert inferred.dtypes == [("id", "string"), ("d_1", "int"), ("d_2", "int")]
     typed = read_csv(spark, str(p), "id string, d_1 double, d_2 double")
     assert typed.dtypes[1] == ("d_1", "double") and typed.count() == 2
+
+
+def test_group_model_composite_keys(spark):
+    cands = [{"seasonality_prior_scale": s} for s in (0.5, 2.0)]
+    one = group_model.tune_group_losses(_series(spark), cands, ["store_id"], CFG)
+    two = group_model.tune_group_losses(_series(spark).withColumn("dept", F.lit("D1")), cands,
+                                        ["store_id", "dept"], CFG)
+    a = {(r.store_id, r.cand_id): r.loss for r in one.collect()}
+    b = {(r.store_id, r.cand_id): r.loss for r in two.collect() if r.dept == "D1"}
+    assert a == b and len(a) == 2
+
+
+def test_mape_negative_labels(spark):
+    from almanac.functions import mape
+    df = spark.createDataFrame([(-2.0, -1.0), (-4.0, -5.0)], "y double, p double")
+    assert abs(mape(df, "y", "p") - 37.5) < 1e-12
