@@ -10,13 +10,14 @@ For each group (store) on its monthly log series ``y`` over a month axis ``t``:
 
 Tuning evaluates every candidate for every group in ONE job: validation rows are expanded
 by the (config-bounded) candidate list, losses are aggregated per (group, candidate), the
-winner per group is ``min(struct(loss, cand_id))``. All steps are aggregates and equi-joins
-on the group key; a group is at most one row per month, so no task holds an unbounded group.
+winner per group is ``min(struct(loss, cand_id))``. Every step is a window, aggregate or
+join on the group key, so the series is shuffled once by that key and each later stage reuses
+the partitioning; a group is at most one row per month, so no task holds an unbounded group.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from almanac.functions.scalar import ape, month_index
@@ -55,29 +56,36 @@ def series(features: DataFrame, keys: list[str], cfg: RunConfig = RunConfig(),
                            F.col(LABEL).alias("ind"))
 
 
-def fit_trend(s: DataFrame, keys: list[str]) -> DataFrame:
-    return s.groupBy(*keys).agg(F.regr_intercept("y", "t").alias("intercept"),
-                                F.regr_slope("y", "t").alias("slope"))
+def fit_columns(s: DataFrame, keys: list[str], fit: Column) -> DataFrame:
+    """Add the fit of each group on its ``fit`` rows as window columns:
 
+    ``n_fit`` (fit rows in the group), ``intercept`` / ``slope`` (least squares on the fit
+    rows) and, per group and calendar month, ``rsum`` (sum of trend residuals) and ``n``
+    (fit rows in that month).
 
-def residual_sums(s: DataFrame, trend: DataFrame, keys: list[str]) -> DataFrame:
-    """Per (group, calendar month): sum of trend residuals and row count."""
-    r = s.join(trend, keys).select(*keys, "month",
-                                   (F.col("y") - (F.col("intercept") + F.col("slope") * F.col("t"))).alias("r"))
-    return r.groupBy(*keys, "month").agg(F.sum("r").alias("rsum"), F.count(F.lit(1)).alias("n"))
+    Both windows are partitioned by the group key first, so the frame is shuffled at most
+    once (not at all when it is already hash-partitioned by the key); the (key, month)
+    window reuses that partitioning and only sorts.
+    """
+    wg = Window.partitionBy(*keys)
+    wgm = Window.partitionBy(*keys, "month")
+    y_fit, t_fit = F.when(fit, F.col("y")), F.when(fit, F.col("t"))
+    s = s.select("*", F.count(F.when(fit, 1)).over(wg).alias("n_fit"),
+                 F.regr_intercept(y_fit, t_fit).over(wg).alias("intercept"),
+                 F.regr_slope(y_fit, t_fit).over(wg).alias("slope"))
+    resid = F.when(fit, F.col("y") - (F.col("intercept") + F.col("slope") * F.col("t")))
+    return s.select("*", F.sum(resid).over(wgm).alias("rsum"),
+                    F.count(F.when(fit, 1)).over(wgm).alias("n"))
 
 
 def tune_group_losses(features: DataFrame, cands: list[dict], keys: list[str] = ("store_id",),
                       cfg: RunConfig = RunConfig()) -> DataFrame:
     """``keys, cand_id, seasonality_prior_scale, loss``: validation MAPE (log scale, rounded to
-    8 places before any ranking) of every candidate fitted on the training rows of every group."""
+    8 places before any ranking) of every candidate fitted on the training rows of every
+    group. Groups without training rows get no loss row."""
     keys = list(keys)
-    s = series(features, keys, cfg)
-    train = s.filter(F.col("ind") == 0)
-    valid = s.filter(F.col("ind") == 1)
-    trend = fit_trend(train, keys)
-    sums = residual_sums(train, trend, keys)
-    v = (valid.join(trend, keys).join(sums, keys + ["month"], "left")
+    s = fit_columns(series(features, keys, cfg), keys, F.col("ind") == 0)
+    v = (s.filter((F.col("ind") == 1) & (F.col("n_fit") > 0))
          .select(*keys, "y", "t", "intercept", "slope", "rsum", "n",
                  F.explode(_cand_array(cands)).alias("c")))
     pred = (F.col("intercept") + F.col("slope") * F.col("t")
@@ -102,36 +110,47 @@ def group_argmin(losses: DataFrame, keys: list[str] = ("store_id",)) -> DataFram
 
 
 def fit_group_model(features: DataFrame, winners: DataFrame, keys: list[str] = ("store_id",),
-                    cfg: RunConfig = RunConfig(), max_label: int = 1) -> tuple[DataFrame, DataFrame]:
-    """Refit each group on rows with label <= ``max_label`` using its winning parameters.
+                    cfg: RunConfig = RunConfig(), max_label: int = 1) -> DataFrame:
+    """Refit each group on rows with label <= ``max_label`` with its winning parameters.
 
-    Returns ``(trend, effects)``: ``keys, cand_id, seasonality_prior_scale, intercept, slope``
-    and ``keys, month, effect``. The model is data, not a pickled object.
+    The model is data, one row per group: ``keys, cand_id, seasonality_prior_scale,
+    intercept, slope, effects`` where ``effects[m-1]`` is the effect of calendar month m
+    (null for a month the group never had). A group without a winner keeps its trend and
+    gets no month effects.
     """
     keys = list(keys)
-    s = series(features, keys, cfg).filter(F.col("ind") <= max_label)
-    trend = fit_trend(s, keys).join(winners.select(*keys, "cand_id", "seasonality_prior_scale"), keys, "left")
-    sums = residual_sums(s, trend.select(*keys, "intercept", "slope"), keys)
-    effects = (sums.join(winners.select(*keys, "seasonality_prior_scale"), keys)
-               .select(*keys, "month",
-                       (F.col("rsum") / (F.col("n") + _lam(F.col("seasonality_prior_scale")))).alias("effect")))
-    return trend, effects
-
-
-def group_forecast(features: DataFrame, trend: DataFrame, effects: DataFrame,
-                   keys: list[str] = ("store_id",), prediction_col: str = "TS_prediction",
-                   cfg: RunConfig = RunConfig()) -> DataFrame:
+    s = fit_columns(series(features, keys, cfg), keys, F.col("ind") <= max_label)
+    s = s.filter(F.col("ind") <= max_label).join(
+        winners.select(*keys, "cand_id", "seasonality_prior_scale"), keys, "left")
+    effect = F.col("rsum") / (F.col("n") + _lam(F.col("seasonality_prior_scale")))
+    return (s.groupBy(*keys)
+            .agg(F.max("cand_id").alias("cand_id"),
+                 F.max("seasonality_prior_scale").alias("seasonality_prior_scale"),
+                 F.max("intercept").alias("intercept"), F.max("slope").alias("slope"),
+                 F.array(*[F.max(F.when(F.col("month") == m, effect)) for m in range(1, 13)]).alias("effects")))
+
+
+def model_effects(model: DataFrame, keys: list[str] = ("store_id",)) -> DataFrame:
+    """Long form of the month effects: ``keys, month, effect`` for the months a group has."""
+    keys = list(keys)
+    return (model.select(*keys, F.posexplode("effects").alias("pos", "effect"))
+            .filter(F.col("effect").isNotNull())
+            .select(*keys, (F.col("pos") + 1).alias("month"), "effect"))
+
+
+def group_forecast(features: DataFrame, model: DataFrame, keys: list[str] = ("store_id",),
+                   prediction_col: str = "TS_prediction", cfg: RunConfig = RunConfig()) -> DataFrame:
     """Add ``prediction_col`` to every feature row (null where the group has no model).
 
-    The rows keep their identity: coefficients are joined on the group key (left joins), so
-    no row is dropped or duplicated.
+    One left join on the group key against a one-row-per-group model: rows are neither
+    dropped nor duplicated, and both sides share the key partitioning.
     """
     keys = list(keys)
     t = month_index(F.col("year"), F.col("month"), cfg.base_year)
-    out = (features.join(trend.select(*keys, "intercept", "slope"), keys, "left")
-           .join(effects, keys + ["month"], "left"))
-    pred = F.col("intercept") + F.col("slope") * t + F.coalesce(F.col("effect"), F.lit(0.0))
-    return out.withColumn(prediction_col, pred).drop("intercept", "slope", "effect")
+    out = features.join(model.select(*keys, F.col("intercept").alias("_a"), F.col("slope").alias("_b"),
+                                     F.col("effects").alias("_e")), keys, "left")
+    pred = F.col("_a") + F.col("_b") * t + F.coalesce(F.element_at("_e", F.col("month")), F.lit(0.0))
+    return out.withColumn(prediction_col, pred).drop("_a", "_b", "_e")
 
 
 def tune_fit_forecast(features: DataFrame, cfg: RunConfig = RunConfig(), keys=("store_id",),
@@ -139,5 +158,5 @@ def tune_fit_forecast(features: DataFrame, cfg: RunConfig = RunConfig(), keys=("
     """Tune, refit on train + validation, and score every row."""
     losses = tune_group_losses(features, candidates(cfg), keys, cfg)
     winners = group_argmin(losses, keys)
-    trend, effects = fit_group_model(features, winners, keys, cfg)
-    return group_forecast(features, trend, effects, keys, prediction_col, cfg)
+    model = fit_group_model(features, winners, keys, cfg)
+    return group_forecast(features, model, keys, prediction_col, cfg)

@@ -32,8 +32,8 @@ def naive_scorer(name: str, lag_col: str):
 def fit_group_scorer(features: DataFrame, cfg: RunConfig, name: str = "TS"):
     losses = group_model.tune_group_losses(features, group_model.candidates(cfg), ["store_id"], cfg)
     winners = group_model.group_argmin(losses, ["store_id"])
-    trend, effects = group_model.fit_group_model(features, winners, ["store_id"], cfg)
-    return name, lambda df: group_model.group_forecast(df, trend, effects, ["store_id"],
+    model = group_model.fit_group_model(features, winners, ["store_id"], cfg)
+    return name, lambda df: group_model.group_forecast(df, model, ["store_id"],
                                                        f"{name}_prediction", cfg)
 
 

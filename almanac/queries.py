@@ -540,8 +540,9 @@ SELECT tr2.store_id, w.cand_id, w.seasonality_prior_scale, round(tr2.a, {PLACES}
 FROM tr2 LEFT JOIN w ON tr2.store_id = w.store_id JOIN eff ON eff.store_id = tr2.store_id
 """)
 def q_group_fit(spark, sf_dir):
-    _, (trend, effects) = _group_fit(spark, sf_dir)
-    return rounded(trend.join(effects, "store_id")
+    from almanac.plans.group_model import model_effects
+    _, model = _group_fit(spark, sf_dir)
+    return rounded(model.join(model_effects(model), "store_id")
                    .select("store_id", "cand_id", "seasonality_prior_scale", "intercept", "slope",
                            "month", "effect"))
 
@@ -552,8 +553,8 @@ FROM fc WHERE ind = 2
 """)
 def q_group_forecast(spark, sf_dir):
     from almanac.plans.group_model import group_forecast
-    feats, (trend, effects) = _group_fit(spark, sf_dir)
-    out = group_forecast(feats.filter(F.col("train_test_val_indicator") == 2), trend, effects,
+    feats, model = _group_fit(spark, sf_dir)
+    out = group_forecast(feats.filter(F.col("train_test_val_indicator") == 2), model,
                          ["store_id"], "TS_prediction", CFG)
     return rounded(out.select("store_id", "year", "month", "sales", "TS_prediction"))
 

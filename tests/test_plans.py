@@ -86,8 +86,8 @@ def test_group_argmin_tie_lowest_candidate_and_missing_group(spark):
     losses = group_model.tune_group_losses(_series(spark), cands, ["store_id"], CFG)
     winners = {r.store_id: r.cand_id for r in group_model.group_argmin(losses).collect()}
     assert winners == {"A": 0}          # B has no training rows: no loss, no winner
-    trend, effects = group_model.fit_group_model(_series(spark), group_model.group_argmin(losses))
-    fc = group_model.group_forecast(_series(spark), trend, effects)
+    model = group_model.fit_group_model(_series(spark), group_model.group_argmin(losses))
+    fc = group_model.group_forecast(_series(spark), model)
     assert fc.count() == len(_series_rows())          # rows are neither dropped nor duplicated
     b = fc.filter("store_id = 'B'").collect()
     assert all(r.TS_prediction is None for r in b)
