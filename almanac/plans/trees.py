@@ -52,6 +52,27 @@ def space_for(kind: str, cfg: RunConfig) -> dict:
     return cfg.hp_space_rf if kind == "RF" else cfg.hp_space_gbt
 
 
+ROW_KEYS = ["store_id", "year", "month"]
+ROWS_PER_PARTITION = 50_000
+
+
+# Fewest input partitions per learner: deep forests gain from spreading the per-level split
+# statistics; shallow boosted trees run many small jobs and gain nothing on small frames.
+MIN_FIT_PARTITIONS = {"RF": 4, "GBT": 1}
+
+
+def spread_for_fit(frame: DataFrame, min_partitions: int = 1, keys: list[str] = ROW_KEYS) -> DataFrame:
+    """Hash-partition the (small, reused) training frame by its row key and sort within
+    partitions. Tree learners aggregate per-node split statistics through the input
+    partitions; one partition would push every level through a single task. The sort makes
+    per-partition bootstrap sampling, and so the fitted trees, repeatable for a seed.
+    """
+    spark = frame.sparkSession
+    rows = frame.count()
+    n = max(1, min(spark.sparkContext.defaultParallelism, max(min_partitions, rows // ROWS_PER_PARTITION)))
+    return frame.repartition(n, *keys).sortWithinPartitions(*keys)
+
+
 def tune_tree(frame: DataFrame, kind: str = "RF", cfg: RunConfig = RunConfig(),
               label_col: str = "sales", parallelism: int = 8, refit_max_label: int = 1):
     """Returns ``(model refitted on labels <= refit_max_label, [(cand_id, params, validation
@@ -65,7 +86,8 @@ def tune_tree(frame: DataFrame, kind: str = "RF", cfg: RunConfig = RunConfig(),
     est = make_estimator(kind, label_col, pred, cfg.seed)
     grid = candidate_grid(space_for(kind, cfg), cfg.max_evals, "random", cfg.seed)
     maps = [{est.getParam(k): v for k, v in cand.items()} for cand in grid]
-    train = frame.filter(F.col(LABEL) == 0).persist()
+    spread = MIN_FIT_PARTITIONS.get(kind, 1)
+    train = spread_for_fit(frame.filter(F.col(LABEL) == 0), spread).persist()
     valid = frame.filter(F.col(LABEL) == 1).persist()
     fits = est.fitMultiple(train, maps)
 
@@ -79,7 +101,7 @@ def tune_tree(frame: DataFrame, kind: str = "RF", cfg: RunConfig = RunConfig(),
         losses = [(i, grid[i], loss) for i, loss in scored]
         ranked = sorted(losses, key=lambda x: (x[2] is None, x[2] if x[2] is not None else 0.0, x[0]))
         best = ranked[0][0]
-        model = est.copy(maps[best]).fit(frame.filter(F.col(LABEL) <= refit_max_label))
+        model = est.copy(maps[best]).fit(spread_for_fit(frame.filter(F.col(LABEL) <= refit_max_label), spread))
     finally:
         train.unpersist()
         valid.unpersist()
