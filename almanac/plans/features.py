@@ -130,18 +130,26 @@ def wide_daily(events: DataFrame, start, n_days: int, ids=("user_id", "event_typ
 
 def load_long_daily(spark: SparkSession, sf_dir: str, dept: str | None = None):
     """Wide daily events -> optional department filter -> unpivot to ``(ids, day, sales)``.
-    Returns ``(long, calendar)``."""
+    Returns ``(long, calendar, n_days)``."""
     events = read_table(spark, sf_dir, "events")
     start, n = day_range(events)
     wide = wide_daily(events, start, n)
     if dept is not None:
         wide = wide.filter(F.col("event_type") == F.lit(dept))
     long = unpivot(wide, ["user_id", "event_type"], var_name="day", value_name="sales")
-    return long, calendar(spark, start, n)
+    return long, calendar(spark, start, n), n
 
 
-def daily_monthly(long: DataFrame, cal: DataFrame, key: str = "user_id") -> DataFrame:
-    """Join the calendar on ``day = d`` and sum sales per (key, year, month)."""
-    cal = bounded_broadcast(cal.select("d", "year", "month"), SMALL_DIM_ROWS)
+def daily_monthly(long: DataFrame, cal: DataFrame, key: str = "user_id",
+                  n_days: int | None = None) -> DataFrame:
+    """Join the calendar on ``day = d`` and sum sales per (key, year, month).
+
+    The calendar is ``spark.range(n_days)``: when ``n_days`` is given its size is known
+    exactly and the broadcast needs no counting job; otherwise it is counted first."""
+    cal = cal.select("d", "year", "month")
+    if n_days is not None:
+        cal = F.broadcast(cal) if n_days <= SMALL_DIM_ROWS else cal
+    else:
+        cal = bounded_broadcast(cal, SMALL_DIM_ROWS)
     joined = long.join(cal, long.day == cal.d)
     return joined.groupBy(key, "year", "month").agg(F.sum("sales").alias("sales"))

@@ -13,6 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from almanac.operators.filters import month_split
 from almanac.plans import group_model, selection, trees
 from almanac.plans.features import load_monthly_features
 from almanac.session import cut_lineage
@@ -52,8 +53,13 @@ def fit_tree_scorer(frame: DataFrame, kind: str, cfg: RunConfig):
 
 
 def fit_all(frame: DataFrame, models=ALL_MODELS, cfg: RunConfig = RunConfig(),
-            concurrent: bool = True) -> list[tuple[str, object]]:
-    """Fit every requested model (M7); each fit submits its own Spark jobs, run side by side."""
+            concurrent: bool = True, cutoff: dict | None = None) -> list[tuple[str, object]]:
+    """Fit every requested model (M7); each fit submits its own Spark jobs, run side by side.
+
+    Learners only ever fit on labels 0-1. ``cutoff={"year": y, "month": m}`` additionally
+    hides every row after that month from fitting (the scorers still apply to all rows)."""
+    if cutoff is not None:
+        frame = month_split(frame, cutoff, "before")
     def fit(name):
         if name in trees.ESTIMATORS:
             return fit_tree_scorer(frame, name, cfg)

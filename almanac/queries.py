@@ -232,7 +232,7 @@ LEFT JOIN s ON s.user_id = g.user_id AND s.event_type = g.event_type AND s.k = d
 """)
 def q_unpivot_days(spark, sf_dir):
     from almanac.plans.features import load_long_daily
-    long, _ = load_long_daily(spark, sf_dir)
+    long, _, _ = load_long_daily(spark, sf_dir)
     return rounded(long)
 
 
@@ -252,8 +252,8 @@ LEFT JOIN s ON s.user_id = g.user_id AND s.year = months.year AND s.month = mont
 """)
 def q_unpivot_days_monthly(spark, sf_dir):
     from almanac.plans.features import daily_monthly, load_long_daily
-    long, cal = load_long_daily(spark, sf_dir, DAILY_DEPT)
-    return rounded(daily_monthly(long, cal, "user_id"))
+    long, cal, n_days = load_long_daily(spark, sf_dir, DAILY_DEPT)
+    return rounded(daily_monthly(long, cal, "user_id", n_days))
 
 
 # ---------------------------------------------------------------- joins

@@ -200,3 +200,24 @@ def test_mape_negative_labels(spark):
     from almanac.functions import mape
     df = spark.createDataFrame([(-2.0, -1.0), (-4.0, -5.0)], "y double, p double")
     assert abs(mape(df, "y", "p") - 37.5) < 1e-12
+
+
+def test_fit_all_cutoff_hides_later_rows(spark):
+    from almanac.plans import runner
+    frame = runner.prepare(spark, SF_SMALL, CFG, vectors=False)
+    full = dict(runner.fit_all(frame, ("TS",), CFG, concurrent=False))["TS"](frame)
+    cut = dict(runner.fit_all(frame, ("TS",), CFG, concurrent=False,
+                              cutoff={"year": 1999, "month": 6}))["TS"](frame)
+    assert full.count() == cut.count() == frame.count()
+    a = {(r.store_id, r.year, r.month): r.TS_prediction for r in full.collect()}
+    b = {(r.store_id, r.year, r.month): r.TS_prediction for r in cut.collect()}
+    assert a != b          # later training / validation months no longer shape the model
+
+
+def test_daily_path_calendar(spark):
+    from almanac.plans.features import daily_monthly, load_long_daily
+    long, cal, n = load_long_daily(spark, SF_SMALL, "purchase")
+    assert cal.count() == n and long.select("day").distinct().count() == n
+    a = {tuple(r) for r in daily_monthly(long, cal, "user_id", n).collect()}
+    b = {tuple(r) for r in daily_monthly(long, cal, "user_id").collect()}
+    assert a == b and len(a) > 0
