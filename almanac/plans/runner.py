@@ -49,7 +49,7 @@ def fit_fourier_scorer(features: DataFrame, cfg: RunConfig, name: str = "FOURIER
 
 def fit_tree_scorer(frame: DataFrame, kind: str, cfg: RunConfig):
     model, _, _ = trees.tune_tree(frame, kind, cfg)
-    return kind, model.transform
+    return kind, trees.scorer(model, f"{kind}_prediction")
 
 
 def fit_all(frame: DataFrame, models=ALL_MODELS, cfg: RunConfig = RunConfig(),

@@ -29,10 +29,26 @@ def feature_cols(cfg: RunConfig = RunConfig()) -> list[str]:
 
 
 def model_frame(features: DataFrame, cfg: RunConfig = RunConfig()) -> DataFrame:
-    """Index the store, assemble the feature vector. Rows with a null feature are skipped
-    (a zero-sales month has a null log and cannot be a tree input)."""
+    """Index the store, assemble the feature vector, flag complete rows.
+
+    Every row is kept. ``features_ok`` is false where a feature is null (a zero-sales month
+    has a null log): such rows are left out of fitting and get a null tree prediction.
+    """
     df = category_index(features, "store_id", "store_id_index")
-    return assemble(df, feature_cols(cfg), "features", handle_invalid="skip")
+    cols = feature_cols(cfg)
+    ok = F.lit(True)
+    for c in cols:
+        ok = ok & F.col(c).isNotNull()
+    df = df.withColumn("features_ok", ok)
+    return assemble(df, cols, "features", handle_invalid="keep")
+
+
+def scorer(model, prediction_col: str):
+    """Model transform that leaves rows with incomplete features unpredicted (null)."""
+    def apply(df: DataFrame) -> DataFrame:
+        out = model.transform(df)
+        return out.withColumn(prediction_col, F.when(F.col("features_ok"), F.col(prediction_col)))
+    return apply
 
 
 ESTIMATORS = {"RF": RandomForestRegressor, "GBT": GBTRegressor}
@@ -87,8 +103,9 @@ def tune_tree(frame: DataFrame, kind: str = "RF", cfg: RunConfig = RunConfig(),
     grid = candidate_grid(space_for(kind, cfg), cfg.max_evals, "random", cfg.seed)
     maps = [{est.getParam(k): v for k, v in cand.items()} for cand in grid]
     spread = MIN_FIT_PARTITIONS.get(kind, 1)
-    train = spread_for_fit(frame.filter(F.col(LABEL) == 0), spread).persist()
-    valid = frame.filter(F.col(LABEL) == 1).persist()
+    usable = frame.filter(F.col("features_ok"))
+    train = spread_for_fit(usable.filter(F.col(LABEL) == 0), spread).persist()
+    valid = usable.filter(F.col(LABEL) == 1).persist()
     fits = est.fitMultiple(train, maps)
 
     def one(_):
@@ -101,7 +118,7 @@ def tune_tree(frame: DataFrame, kind: str = "RF", cfg: RunConfig = RunConfig(),
         losses = [(i, grid[i], loss) for i, loss in scored]
         ranked = sorted(losses, key=lambda x: (x[2] is None, x[2] if x[2] is not None else 0.0, x[0]))
         best = ranked[0][0]
-        model = est.copy(maps[best]).fit(spread_for_fit(frame.filter(F.col(LABEL) <= refit_max_label), spread))
+        model = est.copy(maps[best]).fit(spread_for_fit(usable.filter(F.col(LABEL) <= refit_max_label), spread))
     finally:
         train.unpersist()
         valid.unpersist()

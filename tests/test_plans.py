@@ -221,3 +221,18 @@ def test_daily_path_calendar(spark):
     a = {tuple(r) for r in daily_monthly(long, cal, "user_id", n).collect()}
     b = {tuple(r) for r in daily_monthly(long, cal, "user_id").collect()}
     assert a == b and len(a) > 0
+
+
+def test_tree_rows_with_null_features_kept_unpredicted(spark):
+    from almanac.plans import runner, trees
+    cfg = RunConfig(max_evals=1, hp_space_rf={"maxDepth": ["quniform", "int", 3, 3, 1],
+                                              "numTrees": ["quniform", "int", 3, 3, 1]})
+    feats = runner.prepare(spark, SF_SMALL, cfg, vectors=False)
+    # blank one feature on a few rows: they must stay in the output with a null prediction
+    holed = feats.withColumn("lag_sales_3", F.when(F.col("month") == 7, F.lit(None)).otherwise(F.col("lag_sales_3")))
+    frame = trees.model_frame(holed, cfg)
+    model, _, _ = trees.tune_tree(frame, "RF", cfg)
+    out = trees.scorer(model, "RF_prediction")(frame)
+    assert out.count() == feats.count()
+    assert all(r.RF_prediction is None for r in out.filter("month = 7").collect())
+    assert all(r.RF_prediction is not None for r in out.filter("month != 7").collect())
