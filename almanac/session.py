@@ -12,14 +12,18 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Defaults that hold from local[8] up to a large cluster: AQE re-plans joins from runtime
-# sizes, coalesces small shuffle partitions and splits skewed ones.
-_DEFAULTS = {
+# SQL defaults that hold from local[8] up to a large cluster: AQE re-plans joins from runtime
+# sizes, coalesces small shuffle partitions and splits skewed ones. Applied only where the
+# submitter (spark-submit --conf, spark-defaults.conf, the builder) did not set a value.
+_SQL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+}
+# Static settings for sessions this module launches: no web UI, no console progress bars.
+_STATIC = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -27,18 +31,26 @@ _DEFAULTS = {
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "almanac", driver_memory: str | None = None) -> SparkSession:
-    """Session with the defaults above filled in. ``driver_memory`` only takes effect when
-    this call launches the JVM (local mode: the driver heap is the whole cluster's memory)."""
+    """Get or create the session, then fill in missing SQL defaults.
+
+    ``master``, ``shuffle_partitions`` and ``driver_memory`` are for local runs and tests;
+    ``driver_memory`` only takes effect when this call launches the JVM (local mode: the driver
+    heap is the whole cluster's memory). Values the cluster configured are never overridden.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     if driver_memory:
         builder = builder.config("spark.driver.memory", driver_memory)
-    for key, value in _DEFAULTS.items():
+    for key, value in _STATIC.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
+    configured = spark.sparkContext.getConf()
+    for key, value in _SQL_DEFAULTS.items():
+        if not configured.contains(key):
+            spark.conf.set(key, value)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
