@@ -624,7 +624,6 @@ def q_best_model_validation(spark, sf_dir):
 
 
 def _tree_forecast(spark, sf_dir, kind):
-    from almanac.plans import runner
     scored, _ = _scored(spark, sf_dir, (kind,))
     return rounded(scored.filter(F.col("train_test_val_indicator") == 2)
                    .select("store_id", "year", "month", "sales", f"{kind}_prediction"))

@@ -7,7 +7,6 @@ import os
 import tempfile
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from almanac.plans import group_model, selection
