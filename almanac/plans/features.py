@@ -29,9 +29,11 @@ SMALL_DIM_ROWS = 100_000
 
 
 def store_map(supplier: DataFrame, nation: DataFrame) -> DataFrame:
-    """``(s_suppkey, store_id)``: every supplier with the name of its nation."""
-    nat = bounded_broadcast(nation.select("n_nationkey", F.col("n_name").alias("store_id")),
-                            SMALL_DIM_ROWS)
+    """``(s_suppkey, store_id)``: every supplier with the name of its nation.
+
+    No hint on the nation side: the planner broadcasts it by its own size threshold (file
+    statistics), and AQE re-checks at run time; a count job here would add nothing."""
+    nat = nation.select("n_nationkey", F.col("n_name").alias("store_id"))
     sup = supplier.select("s_suppkey", "s_nationkey")
     return sup.join(nat, sup.s_nationkey == nat.n_nationkey).select("s_suppkey", "store_id")
 

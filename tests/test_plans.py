@@ -235,3 +235,22 @@ def test_tree_rows_with_null_features_kept_unpredicted(spark):
     assert out.count() == feats.count()
     assert all(r.RF_prediction is None for r in out.filter("month = 7").collect())
     assert all(r.RF_prediction is not None for r in out.filter("month != 7").collect())
+
+
+def test_tree_tuning_matches_independent_fits(spark):
+    """Brute force: refit every candidate on its own and score the validation slice."""
+    from pyspark.ml.regression import RandomForestRegressor
+    from almanac.functions import mape
+    from almanac.plans import runner, trees
+    cfg = RunConfig(max_evals=3, hp_space_rf={"maxDepth": ["quniform", "int", 2, 6, 1],
+                                              "numTrees": ["quniform", "int", 3, 6, 1]})
+    frame = runner.prepare(spark, SF_SMALL, cfg).cache()
+    _, losses, best = trees.tune_tree(frame, "RF", cfg)
+    usable = frame.filter("features_ok")
+    train = trees.spread_for_fit(usable.filter(f"{LABEL} = 0"), trees.MIN_FIT_PARTITIONS["RF"])
+    valid = usable.filter(f"{LABEL} = 1")
+    for cand_id, params, loss in losses:
+        m = RandomForestRegressor(featuresCol="features", labelCol="sales", predictionCol="p",
+                                  seed=cfg.seed, **params).fit(train)
+        assert abs(mape(m.transform(valid), "sales", "p") - loss) < 1e-9
+    assert best == min(losses, key=lambda x: (x[2], x[0]))[0]
