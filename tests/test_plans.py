@@ -254,3 +254,17 @@ def test_tree_tuning_matches_independent_fits(spark):
                                   seed=cfg.seed, **params).fit(train)
         assert abs(mape(m.transform(valid), "sales", "p") - loss) < 1e-9
     assert best == min(losses, key=lambda x: (x[2], x[0]))[0]
+
+
+def test_command_line_run(spark, tmp_path, capsys):
+    from almanac.__main__ import main
+    cfg_path = tmp_path / "run.json"
+    cfg_path.write_text(json.dumps({"dept": "R", "max_evals": 2}))
+    out = tmp_path / "out"
+    main(["--data", SF_SMALL, "--out", str(out), "--config", str(cfg_path),
+          "--models", "TS,LAST_MONTH", "--select-on", "validation", "--format", "parquet"])
+    written = [p.name for p in out.iterdir()]
+    assert len(written) == 1 and written[0].endswith("_R_forecasts")
+    back = spark.read.parquet(str(out / written[0]))
+    assert back.count() > 0 and back.columns[:4] == ["store_id", "year", "month", "sales"]
+    assert "model_name" in capsys.readouterr().out
