@@ -251,3 +251,26 @@ def test_fill_month_gaps_then_calendar_lag(spark):
     lagged = lag_features(full, "v", ["k"], ["year", "month"], [3])
     got = {(r.k, r.year, r.month): r.lag_v_3 for r in lagged.collect()}
     assert got[("a", 2001, 2)] == 1.0
+
+
+def test_stages_in_ml_pipeline(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StringIndexer
+    from almanac.stages import Stage
+    wide = spark.createDataFrame([("s1", "F", 1, 2, 3), ("s2", "F", 4, 5, 6), ("s3", "X", 7, 8, 9)],
+                                 "store_id string, dept_id string, d_1 bigint, d_2 bigint, d_3 bigint")
+    cal = spark.createDataFrame([("d_1", 2020, 1), ("d_2", 2020, 1), ("d_3", 2020, 2)],
+                                "d string, year int, month int")
+    model = Pipeline(stages=[
+        Stage(filter_rows, "dept_id = 'F'"),
+        Stage(unpivot, ["store_id", "dept_id"]),
+        Stage(join, cal, {"df1_col": "day", "df2_col": "d"}),
+        Stage(group_agg, ["store_id", "year", "month"], {"sales": "sum"}),
+        Stage(log_cols, ["sales"]),
+        Stage(lag_features, "sales", ["store_id"], ["year", "month"], [1]),
+        StringIndexer(inputCol="store_id", outputCol="store_id_index"),
+    ]).fit(wide)
+    out = {(r.store_id, r.month): (round(r.sales, 9), r.lag_sales_1) for r in model.transform(wide).collect()}
+    assert set(out) == {("s1", 1), ("s1", 2), ("s2", 1), ("s2", 2)}
+    assert out[("s1", 1)][0] == round(math.log(3), 9) and out[("s1", 1)][1] is None
+    assert round(out[("s2", 2)][1], 9) == round(math.log(9), 9)
