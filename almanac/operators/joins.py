@@ -25,7 +25,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 
 def join(df1: DataFrame, df2: DataFrame, on: str | list[str] | dict | Column,
          how: str = "inner") -> DataFrame:
-    """Join in the three reference forms.
+    """Join with the key given in one of three forms.
 
     * ``str`` / ``list[str]``: USING join, one key column in the output.
     * ``dict`` ``{"df1_col": a, "df2_col": b}``: equi-join, both keys kept.

@@ -1,6 +1,6 @@
 """Feature plans: monthly store series and the wide-daily (pivot -> unpivot) path.
 
-Reference notions mapped onto the star-schema tables:
+Forecasting notions mapped onto the star-schema tables:
 
 * store        = ``nation.n_name`` reached through ``l_suppkey -> s_nationkey``
 * department   = ``l_returnflag``

@@ -102,7 +102,9 @@ def run(spark: SparkSession, sf_dir: str, cfg: RunConfig = RunConfig(), models=A
     losses = selection.model_losses(scored, names)
     best = selection.best_model(losses, select_on)
     export = selection.forecast_export(selection.best_predictions(scored, names, best))
-    result = {"losses": losses, "best": best, "forecasts": export, "scored": scored}
+    result = {"losses": losses, "best": best, "forecasts": export, "scored": scored,
+              # rows a model could not score (null prediction), per model: lazy, for reporting
+              "unscored": selection.unscored(scored, names)}
     if out_path:
         winner = best.first().model_name  # one aggregated row
         out = export.withColumnRenamed("prediction", f"{winner}_prediction").drop("model_name")

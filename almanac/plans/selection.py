@@ -4,7 +4,7 @@
 Every model adds one ``{name}_prediction`` column to the same rows, so scoring all models
 is a chain of column additions, not a join per model. Losses for every (model, split) come
 from ONE aggregation over an exploded (model, prediction) view; the winner is
-``min(struct(loss, position))`` — the first model wins a tie, as in the reference.
+``min(struct(loss, position))`` — the first model wins a tie.
 """
 
 from __future__ import annotations
@@ -50,6 +50,15 @@ def _split_col() -> F.Column:
     return F.explode(F.filter(F.array(*arr), lambda x: x.isNotNull())).alias("split")
 
 
+def unscored(scored: DataFrame, names: list[str], keys: list[str] = ("store_id",)) -> DataFrame:
+    """``model_name, keys..., rows``: rows each model left without a prediction (a group with
+    no training rows, a row with an incomplete feature vector), counted per group."""
+    keys = list(keys)
+    long = _long(scored, names, keys)
+    return (long.filter(F.col("prediction").isNull())
+            .groupBy("model_name", *keys).agg(F.count(F.lit(1)).alias("rows")))
+
+
 def model_losses(scored: DataFrame, names: list[str], label_col: str = "sales") -> DataFrame:
     """``model_name, position, split, loss``: MAPE per model on train (labels 0-1),
     validation (1) and test (2), all from one partial+final aggregate."""
@@ -62,7 +71,7 @@ def model_losses(scored: DataFrame, names: list[str], label_col: str = "sales")
 def best_model(losses: DataFrame, split: str = "test") -> DataFrame:
     """One row ``model_name, position, loss``: lowest loss on ``split``; first model wins ties.
 
-    ``split='test'`` reproduces the reference rule (optimistic: the test slice also picks the
+    ``split='test'`` is the surveyed rule (optimistic: the test slice also picks the
     model); ``split='validation'`` selects on validation and leaves the test slice unseen.
     """
     w = F.min(F.struct(F.col("loss").isNull().alias("missing"), "loss", "position", "model_name")).alias("w")

@@ -9,7 +9,7 @@ def write_forecasts(df: DataFrame, path: str, fmt: str = "parquet", mode: str =
                     partition_by: list[str] | None = None) -> None:
     """Write a forecast frame (one file per task; ordered frames keep their range order).
 
-    ``fmt='csv'`` writes a header CSV like the reference's export; parquet is the default.
+    ``fmt='csv'`` writes a header CSV (one file per task); parquet is the default.
     """
     writer = df.write.mode(mode)
     if partition_by:

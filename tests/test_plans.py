@@ -268,3 +268,9 @@ def test_command_line_run(spark, tmp_path, capsys):
     back = spark.read.parquet(str(out / written[0]))
     assert back.count() > 0 and back.columns[:4] == ["store_id", "year", "month", "sales"]
     assert "model_name" in capsys.readouterr().out
+
+
+def test_unscored_report(spark):
+    sc = _scored(spark).withColumn("B_prediction", F.when(F.col("month") <= 2, F.lit(None)).otherwise(F.col("B_prediction")))
+    rows = {(r.model_name, r.store_id): r.rows for r in selection.unscored(sc, ["A", "B"]).collect()}
+    assert rows == {("B", "s"): 2}
