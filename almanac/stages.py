@@ -6,8 +6,8 @@
     from almanac import operators as ops, functions as fn
 
     model = Pipeline(stages=[
-        Stage(ops.filter_rows, "dept_id = 'FOODS_1'"),
-        Stage(ops.unpivot, ["id", "item_id", "dept_id", "cat_id", "store_id", "state_id"]),
+        Stage(ops.filter_rows, "dept_id = 'D1'"),
+        Stage(ops.unpivot, ["item_id", "dept_id", "store_id"]),
         Stage(ops.join, calendar, {"df1_col": "day", "df2_col": "d"}),
         Stage(ops.group_agg, ["store_id", "year", "month"], {"sales": "sum"}),
         Stage(fn.log_cols, ["sales"]),
