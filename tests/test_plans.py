@@ -274,3 +274,25 @@ def test_unscored_report(spark):
     sc = _scored(spark).withColumn("B_prediction", F.when(F.col("month") <= 2, F.lit(None)).otherwise(F.col("B_prediction")))
     rows = {(r.model_name, r.store_id): r.rows for r in selection.unscored(sc, ["A", "B"]).collect()}
     assert rows == {("B", "s"): 2}
+
+
+def test_store_sales_hot_supplier(spark):
+    """One supplier holds a third of the line items: both physical shapes agree, and the
+    shuffle-join shape aggregates per (supplier, month) before its join."""
+    import datetime as dt
+    from almanac.plans.features import monthly_store_sales
+    rows = []
+    for i in range(3000):
+        supp = 1 if i % 3 == 0 else 2 + (i % 50)
+        rows.append((supp, float(1 + i % 7), "R", dt.datetime(1996 + i % 3, 1 + i % 12, 1 + i % 28)))
+    li = spark.createDataFrame(rows, "l_suppkey bigint, l_quantity double, l_returnflag string, l_shipdate timestamp_ntz")
+    su = spark.createDataFrame([(k, k % 5) for k in range(1, 60)], "s_suppkey bigint, s_nationkey int")
+    na = spark.createDataFrame([(k, f"N{k}") for k in range(5)], "n_nationkey int, n_name string")
+    small = monthly_store_sales(li, su, na, "R")
+    large = monthly_store_sales(li, su, na, "R", broadcast_rows=0)
+    assert {tuple(r) for r in small.collect()} == {tuple(r) for r in large.collect()}
+    plan = large._jdf.queryExecution().executedPlan().toString()
+    join_at = min(i for i in (plan.find("SortMergeJoin"), plan.find("BroadcastHashJoin"), plan.find("ShuffledHashJoin")) if i >= 0)
+    assert plan.rfind("partial_sum") > join_at   # the pre-aggregation sits below (after, in text) the join
+    total = sum(r[1] for r in rows)
+    assert abs(sum(r.sales for r in large.collect()) - total) < 1e-6
