@@ -108,9 +108,10 @@ def day_names(n_days: int) -> list[str]:
 def calendar(spark: SparkSession, start, n_days: int) -> DataFrame:
     """``(d, date, year, month)`` for ``d_1..d_n`` starting at ``start``; built by ``range``
     on the executors, sized by the data's own day span."""
+    first = F.lit(start) if start is not None else F.lit(None).cast("date")
     return (spark.range(n_days)
             .select(F.concat(F.lit("d_"), (F.col("id") + 1).cast("string")).alias("d"),
-                    F.date_add(F.lit(start), F.col("id").cast("int")).alias("date"))
+                    F.date_add(first, F.col("id").cast("int")).alias("date"))
             .select("d", "date", F.year("date").alias("year"), F.month("date").alias("month")))
 
 
@@ -131,10 +132,18 @@ def wide_daily(events: DataFrame, start, n_days: int, ids=("user_id", "event_typ
 
 
 def load_long_daily(spark: SparkSession, sf_dir: str, dept: str | None = None):
+    """:func:`long_daily` over the ``events`` table."""
+    return long_daily(spark, read_table(spark, sf_dir, "events"), dept)
+
+
+def long_daily(spark: SparkSession, events: DataFrame, dept: str | None = None):
     """Wide daily events -> optional department filter -> unpivot to ``(ids, day, sales)``.
-    Returns ``(long, calendar, n_days)``."""
-    events = read_table(spark, sf_dir, "events")
+    Returns ``(long, calendar, n_days)``; an empty stream gives an empty long frame."""
     start, n = day_range(events)
+    if n == 0:
+        empty = events.select("user_id", "event_type", F.lit(None).cast("string").alias("day"),
+                              F.lit(None).cast("double").alias("sales")).limit(0)
+        return empty, calendar(spark, None, 0), 0
     wide = wide_daily(events, start, n)
     if dept is not None:
         wide = wide.filter(F.col("event_type") == F.lit(dept))

@@ -296,3 +296,13 @@ def test_store_sales_hot_supplier(spark):
     assert plan.rfind("partial_sum") > join_at   # the pre-aggregation sits below (after, in text) the join
     total = sum(r[1] for r in rows)
     assert abs(sum(r.sales for r in large.collect()) - total) < 1e-6
+
+
+def test_daily_path_empty_events(spark):
+    from almanac.plans.features import daily_monthly, long_daily
+    from almanac.sources.tables import read_table
+    events = read_table(spark, SF_SMALL, "events").limit(0)
+    long, cal, n = long_daily(spark, events, "purchase")
+    assert n == 0 and long.count() == 0 and cal.count() == 0
+    assert long.columns == ["user_id", "event_type", "day", "sales"]
+    assert daily_monthly(long, cal, "user_id", n).count() == 0
