@@ -59,12 +59,14 @@ def unscored(scored: DataFrame, names: list[str], keys: list[str] = ("store_id",
             .groupBy("model_name", *keys).agg(F.count(F.lit(1)).alias("rows")))
 
 
-def model_losses(scored: DataFrame, names: list[str], label_col: str = "sales") -> DataFrame:
-    """``model_name, position, split, loss``: MAPE per model on train (labels 0-1),
-    validation (1) and test (2), all from one partial+final aggregate."""
-    long = _long(scored, names, [label_col, LABEL])
+def model_losses(scored: DataFrame, names: list[str], label_col: str = "sales",
+                 by: list[str] = ()) -> DataFrame:
+    """``model_name, position, split, [by...], loss``: MAPE per model on train (labels 0-1),
+    validation (1) and test (2), optionally per group ``by``, from one partial+final aggregate."""
+    by = list(by)
+    long = _long(scored, names, [label_col, LABEL] + by)
     return (long.select("*", _split_col())
-            .groupBy("model_name", "position", "split")
+            .groupBy("model_name", "position", "split", *by)
             .agg(F.round(mape_col(F.col(label_col), F.col("prediction")), PLACES).alias("loss")))
 
 

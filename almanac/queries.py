@@ -492,6 +492,9 @@ spl AS (SELECT *, 'train' AS split FROM lng WHERE ind IN (0, 1)
         UNION ALL SELECT *, 'test' FROM lng WHERE ind = 2),
 ml AS (SELECT model_name, position, split, round(100 * avg(abs((y - prediction) / nullif(y, 0))), {PLACES}) AS loss
        FROM spl GROUP BY 1, 2, 3),
+mls AS (SELECT model_name, position, split, store_id,
+               round(100 * avg(abs((y - prediction) / nullif(y, 0))), {PLACES}) AS loss
+        FROM spl GROUP BY 1, 2, 3, 4),
 best AS (SELECT model_name, position, loss FROM ml WHERE split = 'test'
          ORDER BY loss NULLS LAST, position LIMIT 1)"""
 
@@ -584,6 +587,13 @@ def q_model_losses(spark, sf_dir):
     return losses
 
 
+@register("model_losses_by_store", f"WITH {_group_sql_ctes()} SELECT * FROM mls")
+def q_model_losses_by_store(spark, sf_dir):
+    from almanac.plans import runner, selection
+    scored, names = _scored(spark, sf_dir, runner.SQL_MODELS)
+    return selection.model_losses(scored, names, by=["store_id"])
+
+
 @register("best_model", f"WITH {_group_sql_ctes()} SELECT * FROM best")
 def q_best_model(spark, sf_dir):
     _, _, _, best = _sql_selection(spark, sf_dir)
