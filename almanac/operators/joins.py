@@ -23,14 +23,33 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def salted_join(big: DataFrame, small: DataFrame, keys: list[str], buckets: int,
+                how: str = "inner", seed: int = 42) -> DataFrame:
+    """Equi-join that spreads every key of ``big`` over ``buckets`` tasks.
+
+    Each ``big`` row draws a salt in ``[0, buckets)``; ``small`` is replicated once per salt.
+    A key holding a third of ``big`` -- even as identical copies of one row -- is then split
+    over ``buckets`` tasks instead of one. ``how`` is ``inner`` or ``left`` (``big`` on the
+    left). Every ``big`` row meets exactly one copy of each partner whatever its salt, so the
+    result does not depend on the drawn values (a retried task may draw others safely).
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("salted_join supports inner and left joins")
+    salt = F.floor(F.rand(seed) * buckets).cast("int")
+    b = big.withColumn("_salt", salt)
+    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    return b.join(s, list(keys) + ["_salt"], how).drop("_salt")
+
+
 def join(df1: DataFrame, df2: DataFrame, on: str | list[str] | dict | Column,
-         how: str = "inner") -> DataFrame:
+         how: str = "inner", salt_buckets: int | None = None) -> DataFrame:
     """Join with the key given in one of three forms.
 
     * ``str`` / ``list[str]``: USING join, one key column in the output.
     * ``dict`` ``{"df1_col": a, "df2_col": b}``: equi-join, both keys kept.
     * ``Column``: any boolean condition (equi or theta).
-    Missing key columns raise at analysis time.
+    Missing key columns raise at analysis time. ``salt_buckets`` (USING form, inner/left)
+    routes the join through :func:`salted_join` for a skewed ``df1``.
     """
     if isinstance(on, dict):
         left, right = on["df1_col"], on["df2_col"]
@@ -43,4 +62,6 @@ def join(df1: DataFrame, df2: DataFrame, on: str | list[str] | dict | Column,
         for k in keys:
             if k not in df1.columns or k not in df2.columns:
                 raise ValueError(f"join column {k!r} missing on one side")
+        if salt_buckets:
+            return salted_join(df1, df2, keys, salt_buckets, how)
     return df1.join(df2, on, how)

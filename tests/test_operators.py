@@ -4,6 +4,7 @@ import math
 
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 from pyspark.testing import assertDataFrameEqual
 
 from almanac.functions import antilog_cols, date_stamp, log_cols
@@ -274,3 +275,21 @@ def test_stages_in_ml_pipeline(spark):
     assert set(out) == {("s1", 1), ("s1", 2), ("s2", 1), ("s2", 2)}
     assert out[("s1", 1)][0] == round(math.log(3), 9) and out[("s1", 1)][1] is None
     assert round(out[("s2", 2)][1], 9) == round(math.log(9), 9)
+
+
+def test_salted_join_equals_plain_join_under_copies(spark):
+    from almanac.operators import salted_join
+    # a third of the big side is one repeated row of a hot key
+    big = spark.createDataFrame([("hot", 1)] * 300 + [(f"k{i % 20}", i) for i in range(600)],
+                                "k string, v bigint")
+    small = spark.createDataFrame([("hot", "H")] + [(f"k{i}", f"K{i}") for i in range(15)],
+                                  "k string, name string")
+    for how in ("inner", "left"):
+        plain = sorted(tuple(r) for r in big.join(small, "k", how).collect())
+        salted = sorted(tuple(r) for r in join(big, small, "k", how, salt_buckets=8).collect())
+        assert plain == salted
+    per_salt = (big.withColumn("s", F.floor(F.rand(42) * 8)).filter("k = 'hot'")
+                .groupBy("s").count().collect())
+    assert len(per_salt) == 8 and max(r["count"] for r in per_salt) < 100
+    with pytest.raises(ValueError):
+        salted_join(big, small, ["k"], 4, "full")
