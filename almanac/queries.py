@@ -282,6 +282,19 @@ def q_join_using(spark, sf_dir):
     return join(left, right, "custkey")
 
 
+@register("join_salted", """
+SELECT o.o_custkey AS custkey, o.o_orderkey, o.o_totalprice, c.c_name, c.c_mktsegment
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+""")
+def q_join_salted(spark, sf_dir):
+    """The USING join with the order side salted over 16 buckets (skew-safe shape)."""
+    from almanac.operators import join
+    o, c = _tables(spark, sf_dir, "orders", "customer")
+    left = o.select(F.col("o_custkey").alias("custkey"), "o_orderkey", "o_totalprice")
+    right = c.select(F.col("c_custkey").alias("custkey"), "c_name", "c_mktsegment")
+    return join(left, right, "custkey", salt_buckets=16)
+
+
 @register("join_condition", """
 SELECT o.o_orderkey, o.o_custkey, c.c_custkey, o.o_totalprice, c.c_acctbal
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey AND o.o_totalprice > 50 * c.c_acctbal
