@@ -107,7 +107,6 @@ def q_monthly_features(spark, sf_dir):
     return rounded(_features(spark, sf_dir))
 
 
-
 # ---------------------------------------------------------------- shared Spark inputs
 
 def _tables(spark, sf_dir, *names):
