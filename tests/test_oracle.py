@@ -56,3 +56,12 @@ def test_query_matches_duckdb(spark, duck, name):
     assert sorted(rel.columns) == cols
     assert len(srows) == len(drows)
     assert all(_close(a, b) for a, b in zip(srows, drows))
+
+
+def test_entry_contract(spark):
+    import __spark_entry__ as entry_mod
+    df = entry_mod.entry(spark)
+    assert df.columns[:4] == ["store_id", "year", "month", "sales"]
+    assert df.count() > 0
+    qs, sqls = entry_mod.queries(), entry_mod.oracle_sql()
+    assert set(sqls) <= set(qs) and len(qs) >= 40
