@@ -30,12 +30,18 @@ def fill_month_gaps(df: DataFrame, keys: list[str], year_col: str = "year",
 
     Per group the span is ``sequence(first, last)`` month index, exploded on the executors;
     its size is the group's month span, not its row count. The original rows are left-joined
-    back on the full key, so none is dropped or duplicated.
+    back on the full key, so none is dropped or duplicated; rows with a null key, year or
+    month are kept as they are.
     """
     keys = list(keys)
+    placed = F.lit(True)
+    for c in keys + [year_col, month_col]:
+        placed = placed & F.col(c).isNotNull()
+    rows, unplaced = df.filter(placed), df.filter(~placed)
     idx = F.col(year_col) * 12 + F.col(month_col) - 1
-    bounds = df.groupBy(*keys).agg(F.min(idx).alias("_lo"), F.max(idx).alias("_hi"))
+    bounds = rows.groupBy(*keys).agg(F.min(idx).alias("_lo"), F.max(idx).alias("_hi"))
     spine = (bounds.select(*keys, F.explode(F.sequence("_lo", "_hi")).alias("_i"))
-             .select(*keys, F.floor(F.col("_i") / 12).cast("int").alias(year_col),
-                     (F.col("_i") % 12 + 1).cast("int").alias(month_col)))
-    return spine.join(df, keys + [year_col, month_col], "left")
+             .select(*keys, F.floor(F.col("_i") / 12).cast(df.schema[year_col].dataType).alias(year_col),
+                     (F.col("_i") % 12 + 1).cast(df.schema[month_col].dataType).alias(month_col)))
+    # rows without a full key cannot sit on the spine: they pass through unchanged
+    return spine.join(rows, keys + [year_col, month_col], "left").unionByName(unplaced)

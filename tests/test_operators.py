@@ -293,3 +293,13 @@ def test_salted_join_equals_plain_join_under_copies(spark):
     assert len(per_salt) == 8 and max(r["count"] for r in per_salt) < 100
     with pytest.raises(ValueError):
         salted_join(big, small, ["k"], 4, "full")
+
+
+def test_fill_month_gaps_keeps_rows_without_full_key(spark):
+    from almanac.operators import fill_month_gaps
+    df = spark.createDataFrame([("a", 2000, 1, 1.0), ("a", 2000, 3, 3.0), ("a", None, 5, 9.0),
+                                (None, 2000, 2, 7.0), ("b", 2001, None, 4.0)],
+                               "k string, year int, month int, v double")
+    out = sorted((r.k or "", r.year or 0, r.month or 0, r.v) for r in fill_month_gaps(df, ["k"]).collect())
+    assert out == [("", 2000, 2, 7.0), ("a", 0, 5, 9.0), ("a", 2000, 1, 1.0), ("a", 2000, 2, None),
+                   ("a", 2000, 3, 3.0), ("b", 2001, 0, 4.0)]
