@@ -306,3 +306,8 @@ def test_daily_path_empty_events(spark):
     assert n == 0 and long.count() == 0 and cal.count() == 0
     assert long.columns == ["user_id", "event_type", "day", "sales"]
     assert daily_monthly(long, cal, "user_id", n).count() == 0
+
+
+def test_example_config_is_the_default():
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    assert load_config(os.path.join(here, "examples", "run.json")) == RunConfig()
