@@ -30,6 +30,7 @@ def main(argv=None) -> None:
     res = runner.run(spark, args.data, cfg, models=tuple(args.models.split(",")),
                        select_on=args.select_on, out_path=args.out, fmt=args.format)
     res["losses"].orderBy("position", "split").show(truncate=False)
+    print(f"best model, selected on the {res['selected_on']} slice:")
     res["best"].show(truncate=False)
 
 

@@ -103,6 +103,7 @@ def run(spark: SparkSession, sf_dir: str, cfg: RunConfig = RunConfig(), models=A
     best = selection.best_model(losses, select_on)
     export = selection.forecast_export(selection.best_predictions(scored, names, best))
     result = {"losses": losses, "best": best, "forecasts": export, "scored": scored,
+              "selected_on": select_on,
               # rows a model could not score (null prediction), per model: lazy, for reporting
               "unscored": selection.unscored(scored, names)}
     if out_path:

@@ -267,7 +267,8 @@ def test_command_line_run(spark, tmp_path, capsys):
     assert len(written) == 1 and written[0].endswith("_R_forecasts")
     back = spark.read.parquet(str(out / written[0]))
     assert back.count() > 0 and back.columns[:4] == ["store_id", "year", "month", "sales"]
-    assert "model_name" in capsys.readouterr().out
+    printed = capsys.readouterr().out
+    assert "model_name" in printed and "selected on the validation slice" in printed
 
 
 def test_unscored_report(spark):
