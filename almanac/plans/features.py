@@ -17,7 +17,7 @@ from almanac.functions.scalar import date_stamp, log_cols
 from almanac.operators.filters import lag_complete, split_label, fill_missing
 from almanac.operators.joins import bounded_broadcast
 from almanac.operators.reshape import unpivot
-from almanac.operators.window import lag_features, lag_names
+from almanac.operators.window import fill_month_gaps, lag_features, lag_names
 from almanac.sources.config import RunConfig
 from almanac.sources.tables import read_table
 
@@ -73,8 +73,11 @@ def monthly_features(monthly: DataFrame, cfg: RunConfig = RunConfig(),
 
     Output: ``store_id, year, month, sales (ln), lag_sales_1..k, ds, train_test_val_indicator``.
     Lags are taken over the whole series before labelling, so test rows see actual earlier
-    months (one-step-ahead features), as the surveyed design does.
+    months (one-step-ahead features), as the surveyed design does. They count rows unless
+    ``cfg.calendar_lags``, which first inserts the missing months (null sales).
     """
+    if cfg.calendar_lags:
+        monthly = fill_month_gaps(monthly, ["store_id"])
     df = log_cols(monthly, ["sales"])
     df = lag_features(df, "sales", ["store_id"], ["year", "month"], cfg.lags)
     if drop_incomplete:

@@ -14,6 +14,8 @@ class RunConfig:
     train_before: tuple[int, int] = (2000, 0)
     test_after: tuple[int, int] = (2000, 11)
     base_year: int = 1995
+    # True: fill missing months (null sales) before the lags, so lag k is k calendar months
+    calendar_lags: bool = False
     max_evals: int = 5
     seed: int = 42
     hp_space_rf: dict = field(default_factory=lambda: {

@@ -312,3 +312,24 @@ def test_daily_path_empty_events(spark):
 def test_example_config_is_the_default():
     here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     assert load_config(os.path.join(here, "examples", "run.json")) == RunConfig()
+
+
+def test_calendar_lags_run(spark):
+    from almanac.plans import runner
+    from almanac.plans.features import load_monthly_features
+    from almanac.plans.features import monthly_store_sales
+    from almanac.sources.tables import read_table
+    cfg = RunConfig(calendar_lags=True, lags=(1, 2, 3))
+    rows = load_monthly_features(spark, SF_SMALL, cfg).collect()
+    li, su, na = (read_table(spark, SF_SMALL, n) for n in ("lineitem", "supplier", "nation"))
+    actual = {(r.store_id, r.year * 12 + r.month - 1): math.log(r.sales)
+              for r in monthly_store_sales(li, su, na, "R").collect()}
+    for r in rows:
+        i = r.year * 12 + r.month - 1
+        for k in (1, 2, 3):
+            want = actual.get((r.store_id, i - k))
+            got = r[f"lag_sales_{k}"]
+            assert (got is None and want is None) or abs(got - want) < 1e-9
+    assert len(rows) > 0
+    res = runner.run(spark, SF_SMALL, cfg, models=("TS", "LAST_MONTH"))
+    assert res["best"].count() == 1
