@@ -333,3 +333,16 @@ def test_calendar_lags_run(spark):
     assert len(rows) > 0
     res = runner.run(spark, SF_SMALL, cfg, models=("TS", "LAST_MONTH"))
     assert res["best"].count() == 1
+
+
+def test_tree_speculative_refit_same_result(spark):
+    from almanac.plans import runner, trees
+    cfg = RunConfig(max_evals=2, hp_space_rf={"maxDepth": ["quniform", "int", 3, 4, 1],
+                                              "numTrees": ["quniform", "int", 4, 5, 1]})
+    frame = runner.prepare(spark, SF_SMALL, cfg).cache()
+    m1, l1, b1 = trees.tune_tree(frame, "RF", cfg)
+    m2, l2, b2 = trees.tune_tree(frame, "RF", cfg, refit="speculative")
+    assert l1 == l2 and b1 == b2
+    p1 = [r.RF_prediction for r in m1.transform(frame).orderBy("store_id", "year", "month").collect()]
+    p2 = [r.RF_prediction for r in m2.transform(frame).orderBy("store_id", "year", "month").collect()]
+    assert p1 == p2
