@@ -97,7 +97,7 @@ def spread_for_fit(frame: DataFrame, min_partitions: int = 1, keys: list[str] =
 
 def tune_tree(frame: DataFrame, kind: str = "RF", cfg: RunConfig = RunConfig(),
               label_col: str = "sales", parallelism: int = 8, refit_max_label: int = 1,
-              refit: str = "after"):
+              refit: str | None = None):
     """Returns ``(model refitted on labels <= refit_max_label, [(cand_id, params, validation
     MAPE)], best id)``. ``refit_max_label=0`` refits on the training slice only.
 
@@ -109,6 +109,7 @@ def tune_tree(frame: DataFrame, kind: str = "RF", cfg: RunConfig = RunConfig(),
     ``frame`` should be small and reused (the monthly feature frame); the slices are cached for
     the duration of the tuning and released afterwards.
     """
+    refit = refit or cfg.tree_refit
     if refit not in ("after", "speculative"):
         raise ValueError("refit must be 'after' or 'speculative'")
     ensure_checkpoint_dir(frame.sparkSession)  # node-id cache checkpoints go to shared storage
@@ -135,11 +136,11 @@ def tune_tree(frame: DataFrame, kind: str = "RF", cfg: RunConfig = RunConfig(),
             jobs += [(refit_one, i) for i in range(len(maps))]
         with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(jobs)))) as pool:
             done = list(pool.map(lambda job: job[0](job[1]), jobs))
-        losses = sorted((i, grid[i], v) for kind_, i, v in done if kind_ == "loss")
+        losses = sorted((i, grid[i], v) for tag, i, v in done if tag == "loss")
         ranked = sorted(losses, key=lambda x: (x[2] is None, x[2] if x[2] is not None else 0.0, x[0]))
         best = ranked[0][0]
         if refit == "speculative":
-            model = next(v for kind_, i, v in done if kind_ == "model" and i == best)
+            model = next(v for tag, i, v in done if tag == "model" and i == best)
         else:
             model = est.copy(maps[best]).fit(full)
     finally:
