@@ -98,7 +98,9 @@ def run(spark: SparkSession, sf_dir: str, cfg: RunConfig = RunConfig(), models=A
     frame = prepare(spark, sf_dir, cfg, vectors=needs_vectors(models))
     scorers = fit_all(frame, models, cfg)
     names = [n for n, _ in scorers]
-    scored = selection.score_all(frame, scorers)
+    # one materialisation of every prediction: the loss table, the winner, the export and the
+    # report all read it, so no model (e.g. the grouped-map fit) runs more than once
+    scored = cut_lineage(selection.score_all(frame, scorers))
     losses = selection.model_losses(scored, names)
     best = selection.best_model(losses, select_on)
     export = selection.forecast_export(selection.best_predictions(scored, names, best))
