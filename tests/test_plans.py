@@ -346,3 +346,25 @@ def test_tree_speculative_refit_same_result(spark):
     p1 = [r.RF_prediction for r in m1.transform(frame).orderBy("store_id", "year", "month").collect()]
     p2 = [r.RF_prediction for r in m2.transform(frame).orderBy("store_id", "year", "month").collect()]
     assert p1 == p2
+
+
+def test_fourier_spark_matches_per_group_brute_force(spark):
+    """The grouped map over all stores equals the same per-group fit run locally per store."""
+    import pandas as pd
+    from almanac.functions.scalar import month_index
+    from almanac.plans import fourier
+    from almanac.plans.features import load_monthly_features
+    feats = load_monthly_features(spark, SF_SMALL, CFG)
+    got = {(r.store_id, r.year, r.month): r.FOURIER_prediction
+           for r in fourier.fourier_forecast(feats, CFG).collect()}
+    cands = candidate_grid(fourier.DEFAULT_SPACE, CFG.max_evals, "random", CFG.seed)
+    fn = fourier.make_group_fn(cands, ["store_id"], 5, 3, "FOURIER_prediction")
+    pdf = feats.select("store_id", "year", "month", LABEL, F.col("sales").alias("y"),
+                       month_index(F.col("year"), F.col("month"), CFG.base_year).alias("t")).toPandas()
+    want = {}
+    for _, g in pdf.groupby("store_id"):
+        out = fn(g.reset_index(drop=True))
+        for r in out.itertuples():
+            want[(r.store_id, r.year, r.month)] = r.FOURIER_prediction
+    assert set(got) == set(want) and len(got) == feats.count()
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
