@@ -149,7 +149,9 @@ def group_forecast(features: DataFrame, model: DataFrame, keys: list[str] = ("st
     t = month_index(F.col("year"), F.col("month"), cfg.base_year)
     out = features.join(model.select(*keys, F.col("intercept").alias("_a"), F.col("slope").alias("_b"),
                                      F.col("effects").alias("_e")), keys, "left")
-    pred = F.col("_a") + F.col("_b") * t + F.coalesce(F.element_at("_e", F.col("month")), F.lit(0.0))
+    # the month effect only for a valid calendar month (element_at errors on index 0)
+    effect = F.when(F.col("month").between(1, 12), F.element_at("_e", F.col("month")))
+    pred = F.col("_a") + F.col("_b") * t + F.coalesce(effect, F.lit(0.0))
     return out.withColumn(prediction_col, pred).drop("_a", "_b", "_e")
 
 

@@ -368,3 +368,14 @@ def test_fourier_spark_matches_per_group_brute_force(spark):
             want[(r.store_id, r.year, r.month)] = r.FOURIER_prediction
     assert set(got) == set(want) and len(got) == feats.count()
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_group_forecast_invalid_month_gets_trend_only(spark):
+    cands = [{"seasonality_prior_scale": 1.0}]
+    losses = group_model.tune_group_losses(_series(spark), cands, ["store_id"], CFG)
+    model = group_model.fit_group_model(_series(spark), group_model.group_argmin(losses))
+    odd = spark.createDataFrame([("A", 1999, 0, 1.0, 2), ("A", 1999, 13, 1.0, 2), ("A", 1999, None, 1.0, 2)],
+                                f"store_id string, year int, month int, sales double, {LABEL} int")
+    out = group_model.group_forecast(odd, model).collect()
+    assert len(out) == 3
+    assert all(r.TS_prediction is not None for r in out if r.month is not None)
