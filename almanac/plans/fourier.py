@@ -51,8 +51,9 @@ def changepoints_for(t_train: np.ndarray, n: int) -> np.ndarray:
 
 def fit_ridge(X: np.ndarray, y: np.ndarray, n_cp: int, cps: float, sps: float) -> np.ndarray:
     pen = np.zeros(X.shape[1])
-    pen[2:2 + n_cp] = 1.0 / (cps * cps)
-    pen[2 + n_cp:] = 1.0 / (sps * sps)
+    # a prior scale of 0 pins those terms to 0: a very large, finite penalty
+    pen[2:2 + n_cp] = 1.0 / max(cps * cps, 1e-12)
+    pen[2 + n_cp:] = 1.0 / max(sps * sps, 1e-12)
     A = X.T @ X + np.diag(pen)
     return np.linalg.lstsq(A, X.T @ y, rcond=None)[0]
 

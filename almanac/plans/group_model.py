@@ -45,7 +45,8 @@ def _cand_array(cands: list[dict]) -> Column:
 
 
 def _lam(scale: Column) -> Column:
-    return F.lit(1.0) / (scale * scale)
+    """Shrinkage ``1 / scale**2``; a scale of 0 gives null, i.e. no month effect at all."""
+    return F.try_divide(F.lit(1.0), scale * scale)
 
 
 def series(features: DataFrame, keys: list[str], cfg: RunConfig = RunConfig(),

@@ -379,3 +379,12 @@ def test_group_forecast_invalid_month_gets_trend_only(spark):
     out = group_model.group_forecast(odd, model).collect()
     assert len(out) == 3
     assert all(r.TS_prediction is not None for r in out if r.month is not None)
+
+
+def test_zero_prior_scale_means_no_month_effect(spark):
+    cands = [{"seasonality_prior_scale": 0.0}]
+    losses = group_model.tune_group_losses(_series(spark), cands, ["store_id"], CFG)
+    assert losses.count() == 1
+    model = group_model.fit_group_model(_series(spark), group_model.group_argmin(losses))
+    row = model.filter("store_id = 'A'").first()
+    assert all(e is None for e in row.effects)
