@@ -4,23 +4,58 @@ from __future__ import annotations
 
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Above this many distinct labels the index is built without a label list on the driver.
+DRIVER_LABELS_MAX = 1_000_000
+
+
 def category_index(df: DataFrame, input_col: str, output_col: str | None = None,
-                   fit_on: DataFrame | None = None) -> DataFrame:
+                   fit_on: DataFrame | None = None, method: str = "auto") -> DataFrame:
     """Index a string column, most frequent label first (ties alphabetical); result double.
 
-    Fitting aggregates label counts on the executors; only the distinct labels reach the
-    driver, which is bounded by the number of categories, not rows.
+    ``method="mllib"``: StringIndexer; label counts are aggregated on the executors and the
+    distinct labels (the model) live on the driver. ``method="distributed"``: the same index
+    from a global sort with per-partition offsets, nothing but one offset per partition on the
+    driver. ``"auto"`` counts the distinct labels and picks mllib up to ``DRIVER_LABELS_MAX``.
+    Unseen labels get the next index (mllib) or null (distributed).
     """
     output_col = output_col or f"{input_col}_index"
-    model = StringIndexer(inputCol=input_col, outputCol=output_col,
-                          handleInvalid="keep").fit(fit_on if fit_on is not None else df)
+    src = fit_on if fit_on is not None else df
+    if method == "auto":
+        n = src.select(input_col).distinct().count()
+        method = "mllib" if n <= DRIVER_LABELS_MAX else "distributed"
+    if method == "distributed":
+        return df.join(distributed_label_index(src, input_col, output_col), input_col, "left")
+    if method != "mllib":
+        raise ValueError(f"unknown method {method!r}")
+    model = StringIndexer(inputCol=input_col, outputCol=output_col, handleInvalid="keep").fit(src)
     return model.transform(df)
 
 
+def distributed_label_index(src: DataFrame, input_col: str, output_col: str) -> DataFrame:
+    """``input_col, output_col``: rank of each non-null label by (count desc, label asc), 0-based.
+
+    The label counts are sorted globally (range partitioning), each row is tagged with its
+    partition and position, and the frame is checkpointed so the tags are fixed. Per-partition
+    sizes (one row per partition) give each partition's offset; index = offset + position.
+    """
+    from almanac.session import cut_lineage  # local import: session depends on nothing here
+    counts = (src.filter(F.col(input_col).isNotNull())
+              .groupBy(input_col).agg(F.count(F.lit(1)).alias("_n")))
+    ranked = counts.orderBy(F.desc("_n"), F.asc(input_col))
+    tagged = cut_lineage(ranked.select(
+        input_col, F.spark_partition_id().alias("_p"),
+        (F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)).alias("_pos")))
+    sizes = tagged.groupBy("_p").agg(F.count(F.lit(1)).alias("_size"))
+    # one row per partition: a global window over them is bounded by the partition count
+    offsets = sizes.select("_p", (F.sum("_size").over(Window.orderBy("_p")) - F.col("_size")).alias("_off"))
+    return (tagged.join(F.broadcast(offsets), "_p")
+            .select(input_col, (F.col("_off") + F.col("_pos")).cast("double").alias(output_col)))
+
+
 def assemble(df: DataFrame, cols: list[str], output_col: str = "features",
              handle_invalid: str = "error") -> DataFrame:
     """ML vector of ``cols`` (for MLlib learners). Nulls raise unless ``handle_invalid='skip'``."""

@@ -303,3 +303,19 @@ def test_fill_month_gaps_keeps_rows_without_full_key(spark):
     out = sorted((r.k or "", r.year or 0, r.month or 0, r.v) for r in fill_month_gaps(df, ["k"]).collect())
     assert out == [("", 2000, 2, 7.0), ("a", 0, 5, 9.0), ("a", 2000, 1, 1.0), ("a", 2000, 2, None),
                    ("a", 2000, 3, 3.0), ("b", 2001, 0, 4.0)]
+
+
+def test_distributed_label_index_matches_string_indexer(spark):
+    rows = [(f"L{i % 37}",) for i in range(2000)] + [(f"L{i}",) for i in range(37, 60)] + [(None,)]
+    df = spark.createDataFrame(rows, "s string").repartition(7)
+    mllib = {r.s: r.s_index for r in category_index(df, "s", method="mllib").collect() if r.s is not None}
+    # keep several range partitions so the per-partition offsets are exercised
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        idx = category_index(df, "s", method="distributed")
+        dist = {r.s: r.s_index for r in idx.collect() if r.s is not None}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert mllib == dist and sorted(dist.values()) == [float(i) for i in range(60)]
+    auto = {r.s: r.s_index for r in category_index(df, "s").collect() if r.s is not None}
+    assert auto == mllib
