@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm import htmltext, langid, warc
+from almanac.llm import htmltext, jaccard, langid, warc
 from almanac.llm.util import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +61,14 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+# -------------------------------------------------------------------------------- 7 N-gram Jaccard join
+
+@register("op7_jaccard_join")
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 5-word shingle sets have a Jaccard similarity of 0.75 or more."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 # -------------------------------------------------------------------------------- 10 HTML extraction
 
 @register("op10_html_extraction")

@@ -8,8 +8,9 @@ return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from almanac.llm import langid
+from almanac.llm import jaccard, langid
 from almanac.llm.queries import held_out
 from almanac.llm.util import materialise, table
 
@@ -20,7 +21,19 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return langid.identify(docs, model).filter("lang_pred <> 'und'").select(*docs.columns)
 
 
-STAGES = [("language ID", language_stage)]
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of copies and near copies stays: the one of smallest id.
+
+    Rows without an id and texts without words are in no group and stay.
+    """
+    found = jaccard.jaccard_components(docs)
+    drop = found.filter("component_id < doc_id").select(F.col("doc_id").alias("__copy")).distinct()
+    kept = docs.join(drop, F.col("doc_id") == F.col("__copy"), "left_anti")
+    # rows repeated under one id: one of them stays
+    return kept.filter("doc_id IS NULL").unionByName(kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
+
+
+STAGES = [("language ID", language_stage), ("near duplicates", near_duplicate_stage)]
 ORACLE_SQL = None
 
 
