@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm import htmltext, jaccard, langid, warc
+from almanac.llm import ann, htmltext, jaccard, langid, warc
 from almanac.llm.util import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,6 +69,14 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+# -------------------------------------------------------------------------------- 8 nearest neighbours
+
+@register("op8_nearest_neighbours")
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    return ann.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
 # -------------------------------------------------------------------------------- 10 HTML extraction
 
 @register("op10_html_extraction")
