@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm import ann, htmltext, jaccard, langid, warc
+from almanac.llm import ann, htmltext, jaccard, langid, license, mixing, pieces, spotsigs, urltree, warc
 from almanac.llm.util import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,37 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+# -------------------------------------------------------------------------------- 2 source mix
+
+@register("op2_source_mix", mixing.oracle_sql())
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the corpus's tokens, drawn with rates raked to source, language and topic targets."""
+    drawn = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
+    return drawn.select("doc_id", "source", "lang", F.col("mix_topic").alias("topic"),
+                        F.col("mix_tokens").alias("tokens"), F.round("mix_rate", 9).alias("rate"))
+
+
+# -------------------------------------------------------------------------------- 3 licence scan
+
+@register("op3_license_scan")
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph of every document that is predicted to be of a licence family."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license.scan(docs, license.train(docs))
+
+
+# -------------------------------------------------------------------------------- 4 URL filter
+
+URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
+             ("org", "/fr/", "allow"))
+
+
+@register("op4_url_filter", urltree.oracle_sql(URL_RULES))
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict for every page's url: the longest fitting rule's, else the template tree's."""
+    return urltree.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 # -------------------------------------------------------------------------------- 5 language ID
 
 def held_out(key: str = "doc_id"):
@@ -61,6 +92,15 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+# -------------------------------------------------------------------------------- 6 SentencePiece
+
+@register("op6_piece_sampling")
+def op6_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled pieces of every document, with their number and whether they decode to its text."""
+    coded = pieces.encode(table(spark, sf_dir, "documents"))
+    return coded.select("doc_id", F.size("pieces").alias("n_pieces"), "pieces", "lossless")
+
+
 # -------------------------------------------------------------------------------- 7 N-gram Jaccard join
 
 @register("op7_jaccard_join")
@@ -77,6 +117,14 @@ def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0)
 
 
+# -------------------------------------------------------------------------------- 9 fingerprints
+
+@register("op9_fingerprints", spotsigs.ORACLE_SQL)
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SpotSigs fingerprint of every text and of its edited text, with their likeness."""
+    return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
+
+
 # -------------------------------------------------------------------------------- 10 HTML extraction
 
 @register("op10_html_extraction")

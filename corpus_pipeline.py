@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm import jaccard, langid
+from almanac.llm import jaccard, langid, mixing, pieces
 from almanac.llm.queries import held_out
 from almanac.llm.util import materialise, table
 
@@ -33,7 +33,18 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return kept.filter("doc_id IS NULL").unionByName(kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
 
 
-STAGES = [("language ID", language_stage), ("near duplicates", near_duplicate_stage)]
+def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Half of the tokens, drawn with rates raked to the source, language and topic targets."""
+    return mixing.mix(docs).select(*docs.columns)
+
+
+def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sampled pieces of every remaining document."""
+    return pieces.encode(docs, keep=("doc_id", "lang", "source"))
+
+
+STAGES = [("language ID", language_stage), ("near duplicates", near_duplicate_stage), ("source mix", mix_stage),
+          ("piece encoding", encode_stage)]
 ORACLE_SQL = None
 
 
