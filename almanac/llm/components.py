@@ -1,9 +1,9 @@
 """Connected components of an edge table by alternating large-star and small-star steps.
 
-Every step is a minimum per node and a join; a hub's edges are salted so that no task holds them
-all. Edges never reach the driver, which only sees one count per round. Before the first round each
-partition replaces its own edges by the stars of its local components, which keeps the edge table
-no larger than the nodes that occur in it.
+First each task replaces its share of the edges (at most ``CONTRACT_EDGES``) by the stars of their
+components; as many tasks do so as the edge count asks for. If there is more than one share, star steps
+follow: each is a minimum per node and a join, with a hub's edges salted so that no task holds them all.
+Edges never reach the driver, which only sees one count per round.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from almanac.llm.util import materialise
 
 _SALTS = 8
+#: Edges that one task contracts.
+CONTRACT_EDGES = 500_000
 
 
 def _contract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -60,11 +62,13 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter("u < v").distinct()
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, max_rounds: int = 60, share: int = CONTRACT_EDGES) -> DataFrame:
     """``node, component`` (least node id) for every node with an edge; ``edges`` has long ``u`` and ``v``."""
-    pairs = edges.filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    now = materialise(pairs.repartition("u").mapInPandas(_contract, "u long, v long"), "edges")
-    for _ in range(max_rounds):
+    pairs = materialise(edges.filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), "edges")
+    shares = -(-pairs.count() // share)
+    dealt = pairs.coalesce(1) if shares <= 1 else pairs.repartition(shares, "u")
+    now = materialise(dealt.mapInPandas(_contract, "u long, v long"), "edges")
+    for _ in range(max_rounds if shares > 1 else 0):
         # finished when every node hangs on one node that hangs on none
         parents = now.select("u").distinct()
         broken = now.groupBy("v").agg(F.count("*").alias("n")).join(
@@ -73,6 +77,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             break
         now = materialise(_star(_star(now, True), False), "edges")
     else:
-        raise RuntimeError("components did not settle")
+        if shares > 1:
+            raise RuntimeError("components did not settle")
     return now.select(F.col("v").alias("node"), F.col("u").alias("component")).unionByName(
         now.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct())
