@@ -10,13 +10,17 @@ from __future__ import annotations
 import argparse
 
 from almanac.plans import runner
+from almanac.plans.features import load_wide_features
 from almanac.session import get_session
 from almanac.sources.config import RunConfig, load_config
 
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="almanac")
-    ap.add_argument("--data", required=True, help="folder holding <table>.parquet")
+    ap.add_argument("--data", help="folder holding <table>.parquet")
+    ap.add_argument("--wide", help="wide daily table (CSV with header or parquet) instead of --data")
+    ap.add_argument("--calendar", help="calendar table (d, date) for --wide")
+    ap.add_argument("--where", help="filter on the wide table, e.g. dept_id = 'R'")
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
     ap.add_argument("--config", help="run config JSON (split points, lags, spaces, max_evals)")
     ap.add_argument("--models", default=",".join(runner.ALL_MODELS))
@@ -27,8 +31,11 @@ def main(argv=None) -> None:
 
     cfg = load_config(args.config) if args.config else RunConfig()
     spark = get_session(args.master)
+    if bool(args.wide) == bool(args.data) or bool(args.wide) != bool(args.calendar):
+        ap.error("give --data, or --wide with --calendar")
+    features = load_wide_features(spark, args.wide, args.calendar, cfg, args.where) if args.wide else None
     res = runner.run(spark, args.data, cfg, models=tuple(args.models.split(",")),
-                       select_on=args.select_on, out_path=args.out, fmt=args.format)
+                     select_on=args.select_on, out_path=args.out, fmt=args.format, features=features)
     res["losses"].orderBy("position", "split").show(truncate=False)
     print(f"best model, selected on the {res['selected_on']} slice:")
     res["best"].show(truncate=False)

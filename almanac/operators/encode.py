@@ -2,40 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-# Above this many distinct labels the index is built without a label list on the driver.
-DRIVER_LABELS_MAX = 1_000_000
-
-
 def category_index(df: DataFrame, input_col: str, output_col: str | None = None,
-                   fit_on: DataFrame | None = None, method: str = "auto") -> DataFrame:
+                   fit_on: DataFrame | None = None) -> DataFrame:
     """Index a string column, most frequent label first (ties alphabetical); result double.
 
-    ``method="mllib"``: StringIndexer; label counts are aggregated on the executors and the
-    distinct labels (the model) live on the driver. ``method="distributed"``: the same index
-    from a global sort with per-partition offsets, nothing but one offset per partition on the
-    driver. ``"auto"`` counts the distinct labels and picks mllib up to ``DRIVER_LABELS_MAX``.
-    Unseen labels get the next index (mllib) or null (distributed).
+    The labels are counted in one aggregate, sorted on the executors and joined back; no label list
+    reaches the driver. Null labels and labels unseen in ``fit_on`` get a null index. ``df`` is read
+    twice (counts, join): give a checkpointed frame where it stands on a large scan.
     """
     output_col = output_col or f"{input_col}_index"
-    src = fit_on if fit_on is not None else df
-    if method == "auto":
-        n = src.select(input_col).distinct().count()
-        method = "mllib" if n <= DRIVER_LABELS_MAX else "distributed"
-    if method == "distributed":
-        return df.join(distributed_label_index(src, input_col, output_col), input_col, "left")
-    if method != "mllib":
-        raise ValueError(f"unknown method {method!r}")
-    model = StringIndexer(inputCol=input_col, outputCol=output_col, handleInvalid="keep").fit(src)
-    return model.transform(df)
+    index = label_index(fit_on if fit_on is not None else df, input_col, output_col)
+    return df.join(index, input_col, "left").select(*df.columns, output_col)
 
 
-def distributed_label_index(src: DataFrame, input_col: str, output_col: str) -> DataFrame:
+def label_index(src: DataFrame, input_col: str, output_col: str) -> DataFrame:
     """``input_col, output_col``: rank of each non-null label by (count desc, label asc), 0-based.
 
     The label counts are sorted globally (range partitioning), each row is tagged with its

@@ -1,44 +1,40 @@
-"""Joins (J1-J3) and a size-checked broadcast."""
+"""Joins (J1-J3) and a join that salts hot keys."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side is copied to every executor; beyond this many rows the shuffle join is used.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after proving ``df`` has at most ``max_rows`` rows.
-
-    The proof is an exact ``count()``: every task counts its own rows (no column is decoded
-    for a plain scan) and only one partial count per task is shuffled. A ``limit(n).count()``
-    would instead funnel up to ``n`` rows per task through a single partition. Above the bound
-    the frame is returned unhinted and Spark / AQE plan a shuffle join.
-    Meant for dimension-side frames; the fact side is never checked.
-    """
-    if max_rows <= 0:
-        return df
-    return F.broadcast(df) if df.count() <= max_rows else df
+def hot_keys(df: DataFrame, keys: list[str], share: float) -> DataFrame:
+    """Keys that hold more than ``share`` of the rows: at most ``1 / share`` of them."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_total"))
+    # the total is one row, so its broadcast is bounded
+    return counts.join(F.broadcast(total), F.col("_n") > share * F.col("_total")).select(*keys)
 
 
 def salted_join(big: DataFrame, small: DataFrame, keys: list[str], buckets: int,
-                how: str = "inner", seed: int = 42) -> DataFrame:
-    """Equi-join that spreads every key of ``big`` over ``buckets`` tasks.
-
-    Each ``big`` row draws a salt in ``[0, buckets)``; ``small`` is replicated once per salt.
-    A key holding a third of ``big`` -- even as identical copies of one row -- is then split
-    over ``buckets`` tasks instead of one. ``how`` is ``inner`` or ``left`` (``big`` on the
-    left). Every ``big`` row meets exactly one copy of each partner whatever its salt, so the
-    result does not depend on the drawn values (a retried task may draw others safely).
+                how: str = "inner", share: float = 0.01) -> DataFrame:
+    """Equi-join that spreads the hot keys of ``big`` over ``buckets`` tasks.
+
+    Only keys with more than ``share`` of the rows are salted, and only their partners in ``small``
+    are replicated. ``big`` is checkpointed first: the salt is taken from a row's place in the
+    checkpoint, so identical copies of one row spread too and a rerun task draws the same salts.
+    Prefer AQE's skew join where Spark can split the partition by itself. ``how`` is ``inner`` or
+    ``left`` (``big`` on the left).
     """
+    from almanac.session import cut_lineage  # local import: session depends on nothing here
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
-    salt = F.floor(F.rand(seed) * buckets).cast("int")
-    b = big.withColumn("_salt", salt)
-    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return b.join(s, list(keys) + ["_salt"], how).drop("_salt")
+    big = cut_lineage(big)
+    hot = F.broadcast(hot_keys(big, keys, share).withColumn("_hot", F.lit(True)))  # at most 1 / share rows
+    place = F.pmod(F.monotonically_increasing_id(), F.lit(buckets)).cast("int")
+    b = big.withColumn("_place", place).join(hot, keys, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), F.col("_place")).otherwise(0)).drop("_place", "_hot")
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+    s = small.join(hot, keys, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
+    columns = list(keys) + [c for c in big.columns if c not in keys] + [c for c in small.columns if c not in keys]
+    return b.join(s, list(keys) + ["_salt"], how).select(*columns)
 
 
 def join(df1: DataFrame, df2: DataFrame, on: str | list[str] | dict | Column,

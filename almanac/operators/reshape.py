@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def unpivot(df: DataFrame, ids: list[str], values: list[str] | None = None,
@@ -10,8 +11,9 @@ def unpivot(df: DataFrame, ids: list[str], values: list[str] | None = None,
     """Turn every non-id column (or ``values``) into rows ``(ids..., var_name, value_name)``.
 
     All value columns must share one type: Spark would silently widen int + double, so a
-    mixed set raises instead. Null values are kept. Catalyst plans this as one ``Expand``
-    (no shuffle) and pushes id-column filters below it into the scan.
+    mixed set raises instead. Null values are kept. The values of a row are exploded from one array
+    by position and named by looking the position up, so the plan stays one ``Generate`` (no
+    shuffle) however many columns there are; filters on id columns reach the scan.
     """
     ids = list(ids)
     bad = [c for c in ids if not c or c not in df.columns]
@@ -23,4 +25,6 @@ def unpivot(df: DataFrame, ids: list[str], values: list[str] | None = None,
     types = {t for c, t in df.dtypes if c in values}
     if len(types) != 1:
         raise TypeError(f"all unpivoted columns must have one type, found {sorted(types)}")
-    return df.unpivot(ids, values, var_name, value_name)
+    names = F.array(*[F.lit(c) for c in values])
+    long = df.select(*ids, F.posexplode(F.array(*[F.col(f"`{c}`") for c in values])).alias("_pos", value_name))
+    return long.select(*ids, F.element_at(names, F.col("_pos") + 1).alias(var_name), value_name)

@@ -28,20 +28,27 @@ def fill_month_gaps(df: DataFrame, keys: list[str], year_col: str = "year",
     """Add the missing calendar months of each group's span (other columns null), so that
     :func:`lag_features` afterwards counts months instead of rows.
 
-    Per group the span is ``sequence(first, last)`` month index, exploded on the executors;
-    its size is the group's month span, not its row count. The original rows are left-joined
-    back on the full key, so none is dropped or duplicated; rows with a null key, year or
-    month are kept as they are.
+    Every row is followed by the months up to the next row of its group (``lead`` over the month
+    index), exploded on the executors: one pass over ``df`` and no join. Rows with a null key, year
+    or month are kept as they are.
     """
     keys = list(keys)
+    idx = F.col(year_col) * 12 + F.col(month_col) - 1
     placed = F.lit(True)
     for c in keys + [year_col, month_col]:
         placed = placed & F.col(c).isNotNull()
-    rows, unplaced = df.filter(placed), df.filter(~placed)
-    idx = F.col(year_col) * 12 + F.col(month_col) - 1
-    bounds = rows.groupBy(*keys).agg(F.min(idx).alias("_lo"), F.max(idx).alias("_hi"))
-    spine = (bounds.select(*keys, F.explode(F.sequence("_lo", "_hi")).alias("_i"))
-             .select(*keys, F.floor(F.col("_i") / 12).cast(df.schema[year_col].dataType).alias(year_col),
-                     (F.col("_i") % 12 + 1).cast(df.schema[month_col].dataType).alias(month_col)))
-    # rows without a full key cannot sit on the spine: they pass through unchanged
-    return spine.join(rows, keys + [year_col, month_col], "left").unionByName(unplaced)
+    # unplaced rows form groups of their own and get no gap
+    after = F.lead(idx).over(Window.partitionBy(*keys, placed).orderBy(idx))
+    steps = F.when(placed & (after > idx), F.sequence(F.lit(0), (after - idx - 1).cast("int"))).otherwise(F.array(F.lit(0)))
+    spread = df.withColumn("_steps", steps).withColumn("_i", idx).withColumn("_k", F.explode("_steps"))
+    at = F.col("_i") + F.col("_k")
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    cols = []
+    for c in df.columns:
+        if c == year_col:
+            cols.append(F.when(F.col("_k") > 0, F.floor(at / 12)).otherwise(F.col(c)).cast(kinds[c]).alias(c))
+        elif c == month_col:
+            cols.append(F.when(F.col("_k") > 0, at % 12 + 1).otherwise(F.col(c)).cast(kinds[c]).alias(c))
+        else:
+            cols.append(F.col(c) if c in keys else F.when(F.col("_k") == 0, F.col(c)).alias(c))
+    return spread.select(*cols)

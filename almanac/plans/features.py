@@ -10,24 +10,17 @@ Forecasting notions mapped onto the star-schema tables:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from almanac.functions.scalar import date_stamp, log_cols
 from almanac.operators.filters import lag_complete, split_label, fill_missing
-from almanac.operators.joins import bounded_broadcast
 from almanac.operators.reshape import unpivot
 from almanac.operators.window import fill_month_gaps, lag_features, lag_names
 from almanac.sources.config import RunConfig
+from almanac.sources.csv import read_csv
 from almanac.sources.tables import read_table
 
-# Above this many (supplier -> store) rows the store map is not broadcast; the line items are
-# then pre-aggregated per supplier and month and meet the map in a shuffle join.
-STORE_MAP_BROADCAST_ROWS = 2_000_000
-# Dimension bound for nation-sized tables and the calendar.
-SMALL_DIM_ROWS = 100_000
-
-
 def store_map(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     """``(s_suppkey, store_id)``: every supplier with the name of its nation.
 
@@ -39,48 +32,45 @@ def store_map(supplier: DataFrame, nation: DataFrame) -> DataFrame:
 
 
 def monthly_store_sales(lineitem: DataFrame, supplier: DataFrame, nation: DataFrame,
-                        dept: str = "R", broadcast_rows: int = STORE_MAP_BROADCAST_ROWS) -> DataFrame:
+                        dept: str = "R") -> DataFrame:
     """``(store_id, year int, month int, sales double)``: department sales per store and month.
 
-    The department filter and the column projection reach the parquet scan. Two physical
-    shapes, chosen by a row-count bound on the store map:
-
-    * small map: broadcast it, join map-side, one partial+final aggregate (one shuffle of
-      per-task partial sums);
-    * large map: pre-aggregate line items per (supplier, year, month) first, so a hot
-      supplier becomes at most one row per month per task before the shuffle join.
+    The department filter and the column projection reach the parquet scan. Line items are summed
+    per (supplier, year, month) first, so a hot supplier becomes at most one row per month and task;
+    the store map meets those sums in a join whose form Spark picks from the sizes.
     """
     items = (lineitem.filter(F.col("l_returnflag") == F.lit(dept))
              .select("l_suppkey",
                      F.year("l_shipdate").alias("year"),
                      F.month("l_shipdate").alias("month"),
                      "l_quantity"))
-    stores = store_map(supplier, nation)
-    hinted = bounded_broadcast(stores, broadcast_rows)
-    if hinted is not stores:
-        joined = items.join(hinted, items.l_suppkey == hinted.s_suppkey)
-        return (joined.groupBy("store_id", "year", "month")
-                .agg(F.sum("l_quantity").alias("sales")))
     pre = (items.groupBy("l_suppkey", "year", "month")
            .agg(F.sum("l_quantity").alias("qty")))
+    stores = store_map(supplier, nation)
     joined = pre.join(stores, pre.l_suppkey == stores.s_suppkey)
     return joined.groupBy("store_id", "year", "month").agg(F.sum("qty").alias("sales"))
 
 
 def monthly_features(monthly: DataFrame, cfg: RunConfig = RunConfig(),
                      drop_incomplete: bool = True) -> DataFrame:
-    """log sales, lags over (year, month) per store, drop incomplete rows, date stamp, label.
-
-    Output: ``store_id, year, month, sales (ln), lag_sales_1..k, ds, train_test_val_indicator``.
-    Lags are taken over the whole series before labelling, so test rows see actual earlier
-    months (one-step-ahead features), as the surveyed design does. They count rows unless
-    ``cfg.calendar_lags``, which first inserts the missing months (null sales).
+    """log sales, lags over (year, month) per group, drop the start of each series, date stamp, label.
+
+    ``monthly`` holds ``cfg.keys, year, month, sales``. Output: those (sales as ln),
+    ``lag_sales_1..k, ds, train_test_val_indicator``. Lags are taken over the whole series before
+    labelling, so test rows see actual earlier months (one-step-ahead features), as the surveyed
+    design does. They count rows, and rows whose longest lag is null go, unless ``cfg.calendar_lags``:
+    then the missing months are inserted first (null sales) and only the first ``max(lags)`` months of
+    a group go; a later month stays even if a month it looks back to is missing.
     """
+    keys = list(cfg.keys)
     if cfg.calendar_lags:
-        monthly = fill_month_gaps(monthly, ["store_id"])
+        monthly = fill_month_gaps(monthly, keys)
     df = log_cols(monthly, ["sales"])
-    df = lag_features(df, "sales", ["store_id"], ["year", "month"], cfg.lags)
-    if drop_incomplete:
+    df = lag_features(df, "sales", keys, ["year", "month"], cfg.lags)
+    if drop_incomplete and cfg.calendar_lags:
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("year", "month"))
+        df = df.withColumn("_place", place).filter(F.col("_place") > max(cfg.lags)).drop("_place")
+    elif drop_incomplete:
         df = lag_complete(df, lag_names("sales", cfg.lags)[-1])
     df = date_stamp(df, ("year", "month"), "ds")
     return split_label(df, cfg.split["train_before"], cfg.split["test_after"])
@@ -154,16 +144,57 @@ def long_daily(spark: SparkSession, events: DataFrame, dept: str | None = None):
     return long, calendar(spark, start, n), n
 
 
-def daily_monthly(long: DataFrame, cal: DataFrame, key: str = "user_id",
-                  n_days: int | None = None) -> DataFrame:
+def daily_monthly(long: DataFrame, cal: DataFrame, key: str | list[str] = "user_id") -> DataFrame:
     """Join the calendar on ``day = d`` and sum sales per (key, year, month).
 
-    The calendar is ``spark.range(n_days)``: when ``n_days`` is given its size is known
-    exactly and the broadcast needs no counting job; otherwise it is counted first."""
+    The calendar is one row per day; the form of the join is left to Spark's own size check."""
+    keys = [key] if isinstance(key, str) else list(key)
     cal = cal.select("d", "year", "month")
-    if n_days is not None:
-        cal = F.broadcast(cal) if n_days <= SMALL_DIM_ROWS else cal
-    else:
-        cal = bounded_broadcast(cal, SMALL_DIM_ROWS)
     joined = long.join(cal, long.day == cal.d)
-    return joined.groupBy(key, "year", "month").agg(F.sum("sales").alias("sales"))
+    return joined.groupBy(*keys, "year", "month").agg(F.sum("sales").alias("sales"))
+
+
+# ---------------------------------------------------------------- wide daily tables, end to end
+
+def wide_monthly(wide: DataFrame, cal: DataFrame, keys: list[str], day_prefix: str = "d_",
+                 where: str | None = None) -> DataFrame:
+    """Wide daily table + calendar table -> ``keys, year, month, sales``.
+
+    ``wide`` has one column per day (``d_1, d_2, ...``) beside its id columns; ``cal`` has ``d``, and
+    either ``year`` and ``month`` or a ``date``. ``where`` filters the wide rows (a department, say) and
+    reaches the scan. Columns that are neither keys nor days are not read.
+    """
+    if where:
+        wide = wide.filter(where)
+    days = [c for c in wide.columns if c.startswith(day_prefix) and c not in keys]
+    if "year" not in cal.columns or "month" not in cal.columns:
+        cal = cal.withColumns({"year": F.year("date"), "month": F.month("date")})
+    cal = cal.select("d", F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"))
+    long = unpivot(wide.select(*keys, *[F.col(c).cast("double") for c in days]), keys, days)
+    return daily_monthly(long, cal, keys)
+
+
+def load_wide_features(spark: SparkSession, wide_path: str, calendar_path: str, cfg: RunConfig = RunConfig(),
+                       where: str | None = None) -> DataFrame:
+    """Monthly features from a wide daily table and a calendar table, CSV (with header) or parquet."""
+    def read(path: str) -> DataFrame:
+        if path.rstrip("/").endswith(".csv"):
+            return read_csv(spark, path)
+        return spark.read.parquet(path)
+    return monthly_features(wide_monthly(read(wide_path), read(calendar_path), list(cfg.keys), where=where), cfg)
+
+
+def wide_store_daily(lineitem: DataFrame, supplier: DataFrame, nation: DataFrame):
+    """``(wide, calendar)`` from the line items: one row per store and department (``store_id, dept_id``),
+    one zero-filled column per day of the ship dates' own span."""
+    span = lineitem.agg(F.min(F.to_date("l_shipdate")).alias("d0"), F.max(F.to_date("l_shipdate")).alias("d1")).first()
+    n = 0 if span.d0 is None else (span.d1 - span.d0).days + 1
+    daily = lineitem.groupBy("l_suppkey", F.col("l_returnflag").alias("dept_id"),
+                             F.to_date("l_shipdate").alias("date")).agg(F.sum("l_quantity").alias("v"))
+    stores = store_map(supplier, nation)
+    named = daily.join(stores, daily.l_suppkey == stores.s_suppkey)
+    start = F.lit(span.d0) if n else F.lit(None).cast("date")
+    day = F.concat(F.lit("d_"), (F.datediff("date", start) + 1).cast("string"))
+    names = day_names(n)
+    wide = named.withColumn("day", day).groupBy("store_id", "dept_id").pivot("day", names).agg(F.sum("v"))
+    return fill_missing(wide, 0.0, names) if names else wide, calendar(lineitem.sparkSession, span.d0, n)

@@ -62,7 +62,7 @@ def fit_columns(s: DataFrame, keys: list[str], fit: Column) -> DataFrame:
 
     ``n_fit`` (fit rows in the group), ``intercept`` / ``slope`` (least squares on the fit
     rows) and, per group and calendar month, ``rsum`` (sum of trend residuals) and ``n``
-    (fit rows in that month).
+    (fit rows with a value in that month; a zero-sales month has a null log and counts for nothing).
 
     Both windows are partitioned by the group key first, so the frame is shuffled at most
     once (not at all when it is already hash-partitioned by the key); the (key, month)
@@ -76,7 +76,7 @@ def fit_columns(s: DataFrame, keys: list[str], fit: Column) -> DataFrame:
                  F.regr_slope(y_fit, t_fit).over(wg).alias("slope"))
     resid = F.when(fit, F.col("y") - (F.col("intercept") + F.col("slope") * F.col("t")))
     return s.select("*", F.sum(resid).over(wgm).alias("rsum"),
-                    F.count(F.when(fit, 1)).over(wgm).alias("n"))
+                    F.count(resid).over(wgm).alias("n"))
 
 
 def tune_group_losses(features: DataFrame, cands: list[dict], keys: list[str] = ("store_id",),
@@ -131,12 +131,12 @@ def fit_group_model(features: DataFrame, winners: DataFrame, keys: list[str] = (
                  F.array(*[F.max(F.when(F.col("month") == m, effect)) for m in range(1, 13)]).alias("effects")))
 
 
-def model_effects(model: DataFrame, keys: list[str] = ("store_id",)) -> DataFrame:
-    """Long form of the month effects: ``keys, month, effect`` for the months a group has."""
-    keys = list(keys)
-    return (model.select(*keys, F.posexplode("effects").alias("pos", "effect"))
+def model_effects(model: DataFrame, keys: list[str] = ("store_id",), keep: list[str] = ()) -> DataFrame:
+    """Long form of the month effects: ``keys, keep, month, effect`` for the months a group has."""
+    cols = [*keys, *keep]
+    return (model.select(*cols, F.posexplode("effects").alias("pos", "effect"))
             .filter(F.col("effect").isNotNull())
-            .select(*keys, (F.col("pos") + 1).alias("month"), "effect"))
+            .select(*cols, (F.col("pos") + 1).alias("month"), "effect"))
 
 
 def group_forecast(features: DataFrame, model: DataFrame, keys: list[str] = ("store_id",),

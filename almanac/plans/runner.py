@@ -31,20 +31,18 @@ def naive_scorer(name: str, lag_col: str):
 
 
 def fit_group_scorer(features: DataFrame, cfg: RunConfig, name: str = "TS"):
-    losses = group_model.tune_group_losses(features, group_model.candidates(cfg), ["store_id"], cfg)
-    winners = group_model.group_argmin(losses, ["store_id"])
-    model = group_model.fit_group_model(features, winners, ["store_id"], cfg)
-    return name, lambda df: group_model.group_forecast(df, model, ["store_id"],
-                                                       f"{name}_prediction", cfg)
+    keys = list(cfg.keys)
+    losses = group_model.tune_group_losses(features, group_model.candidates(cfg), keys, cfg)
+    winners = group_model.group_argmin(losses, keys)
+    model = group_model.fit_group_model(features, winners, keys, cfg)
+    return name, lambda df: group_model.group_forecast(df, model, keys, f"{name}_prediction", cfg)
 
 
 def fit_fourier_scorer(features: DataFrame, cfg: RunConfig, name: str = "FOURIER"):
-    """Grouped-map model: its predictions come back keyed by (store, year, month) and are
-    joined onto the scored rows (left join on the full key, one row per key on each side)."""
-    from almanac.plans.fourier import fourier_forecast
-    preds = fourier_forecast(features, cfg, prediction_col=f"{name}_prediction").select(
-        "store_id", "year", "month", f"{name}_prediction")
-    return name, lambda df: df.join(preds, ["store_id", "year", "month"], "left")
+    """Grouped-map model: one row of coefficients per group, joined onto any rows to score them."""
+    from almanac.plans.fourier import fit_fourier, score_fourier
+    model = fit_fourier(features, cfg)
+    return name, lambda df: score_fourier(df, model, cfg, prediction_col=f"{name}_prediction")
 
 
 def fit_tree_scorer(frame: DataFrame, kind: str, cfg: RunConfig):
@@ -70,7 +68,9 @@ def fit_all(frame: DataFrame, models=ALL_MODELS, cfg: RunConfig = RunConfig(),
         if name == "LAST_MONTH":
             return naive_scorer(name, "lag_sales_1")
         if name == "LAST_YEAR":
-            return naive_scorer(name, f"lag_sales_{cfg.lags[-1]}")
+            if 12 not in cfg.lags:
+                raise ValueError("LAST_YEAR needs lag 12 among the configured lags")
+            return naive_scorer(name, "lag_sales_12")
         raise ValueError(f"unknown model {name!r}")
 
     if not concurrent:
@@ -85,31 +85,45 @@ def needs_vectors(models) -> bool:
 
 def prepare(spark: SparkSession, sf_dir: str, cfg: RunConfig = RunConfig(),
             checkpoint: bool = True, vectors: bool = True) -> DataFrame:
-    """Monthly feature frame, lineage cut if asked; with ``vectors`` also the store index and
-    feature vector the tree learners need (SQL-form models do without)."""
-    features = load_monthly_features(spark, sf_dir, cfg)
+    """Monthly feature frame of the tables, see :func:`prepare_features`."""
+    return prepare_features(load_monthly_features(spark, sf_dir, cfg), cfg, checkpoint, vectors)
+
+
+def prepare_features(features: DataFrame, cfg: RunConfig = RunConfig(), checkpoint: bool = True,
+                     vectors: bool = True) -> DataFrame:
+    """A monthly feature frame (of any source), lineage cut if asked; with ``vectors`` also the key
+    indexes and feature vector the tree learners need (SQL-form models do without)."""
     if checkpoint:
         features = cut_lineage(features)
     return trees.model_frame(features, cfg) if vectors else features
 
 
-def run(spark: SparkSession, sf_dir: str, cfg: RunConfig = RunConfig(), models=ALL_MODELS,
-        select_on: str = "test", out_path: str | None = None, fmt: str = "csv") -> dict:
-    frame = prepare(spark, sf_dir, cfg, vectors=needs_vectors(models))
+def run(spark: SparkSession, sf_dir: str | None, cfg: RunConfig = RunConfig(), models=ALL_MODELS,
+        select_on: str = "test", out_path: str | None = None, fmt: str = "csv",
+        features: DataFrame | None = None, allow_unscored: bool = False) -> dict:
+    """Fit, score, select and export. ``features`` (see ``features.load_wide_features``) replaces the
+    tables in ``sf_dir``. A winner that leaves test rows without a forecast raises unless
+    ``allow_unscored``; such rows are then exported with a null forecast."""
+    frame = prepare(spark, sf_dir, cfg, vectors=needs_vectors(models)) if features is None else \
+        prepare_features(features, cfg, vectors=needs_vectors(models))
     scorers = fit_all(frame, models, cfg)
     names = [n for n, _ in scorers]
     # one materialisation of every prediction: the loss table, the winner, the export and the
     # report all read it, so no model (e.g. the grouped-map fit) runs more than once
     scored = cut_lineage(selection.score_all(frame, scorers))
-    losses = selection.model_losses(scored, names)
+    keys = [*cfg.keys, "year", "month"]
+    losses = cut_lineage(selection.model_losses(scored, names))
     best = selection.best_model(losses, select_on)
-    export = selection.forecast_export(selection.best_predictions(scored, names, best))
+    winner = best.first().model_name  # one aggregated row; raises on an empty slice
+    open_rows = losses.filter((F.col("model_name") == winner) & (F.col("split") == "test")).first()
+    if open_rows is not None and open_rows.unscored_rows and not allow_unscored:
+        raise ValueError(f"{winner} leaves {open_rows.unscored_rows} test rows without a forecast")
+    export = selection.forecast_export(selection.best_predictions(scored, names, best, keys), keys)
     result = {"losses": losses, "best": best, "forecasts": export, "scored": scored,
               "selected_on": select_on,
               # rows a model could not score (null prediction), per model: lazy, for reporting
-              "unscored": selection.unscored(scored, names)}
+              "unscored": selection.unscored(scored, names, cfg.keys)}
     if out_path:
-        winner = best.first().model_name  # one aggregated row
         out = export.withColumnRenamed("prediction", f"{winner}_prediction").drop("model_name")
         write_forecasts(out, f"{out_path}/{winner}_{cfg.dept}_forecasts", fmt)
     return result

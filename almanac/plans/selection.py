@@ -61,24 +61,39 @@ def unscored(scored: DataFrame, names: list[str], keys: list[str] = ("store_id",
 
 def model_losses(scored: DataFrame, names: list[str], label_col: str = "sales",
                  by: list[str] = ()) -> DataFrame:
-    """``model_name, position, split, [by...], loss``: MAPE per model on train (labels 0-1),
-    validation (1) and test (2), optionally per group ``by``, from one partial+final aggregate."""
+    """``model_name, position, split, [by...], loss, scored_rows, unscored_rows``: MAPE per model on train
+    (labels 0-1), validation (1) and test (2), optionally per group ``by``, from one aggregate.
+
+    All models are compared on the rows that every model scored; ``scored_rows`` and ``unscored_rows``
+    count the rows of the split with and without a prediction of the model.
+    """
     by = list(by)
-    long = _long(scored, names, [label_col, LABEL] + by)
+    common = F.lit(True)
+    for n in names:
+        common = common & F.col(f"{n}_prediction").isNotNull()
+    long = _long(scored.withColumn("_common", common), names, [label_col, LABEL, "_common"] + by)
+    known = F.when(F.col("_common"), F.col("prediction"))
     return (long.select("*", _split_col())
             .groupBy("model_name", "position", "split", *by)
-            .agg(F.round(mape_col(F.col(label_col), F.col("prediction")), PLACES).alias("loss")))
+            .agg(F.round(mape_col(F.col(label_col), known), PLACES).alias("loss"),
+                 F.count("prediction").alias("scored_rows"),
+                 F.count(F.when(F.col("prediction").isNull(), 1)).alias("unscored_rows")))
 
 
 def best_model(losses: DataFrame, split: str = "test") -> DataFrame:
-    """One row ``model_name, position, loss``: lowest loss on ``split``; first model wins ties.
+    """One row ``model_name, position, loss``: fewest unscored rows first, then lowest loss on ``split``;
+    the first model wins ties. An empty slice, or one without a comparable row, raises when evaluated.
 
     ``split='test'`` is the surveyed rule (optimistic: the test slice also picks the
     model); ``split='validation'`` selects on validation and leaves the test slice unseen.
     """
-    w = F.min(F.struct(F.col("loss").isNull().alias("missing"), "loss", "position", "model_name")).alias("w")
-    return (losses.filter(F.col("split") == split).agg(w)
-            .select("w.model_name", "w.position", "w.loss"))
+    w = F.min(F.struct(F.col("unscored_rows"), F.col("loss").isNull().alias("missing"), "loss", "position",
+                       "model_name")).alias("w")
+    message = F.lit(f"no row of the {split} slice was scored by every model")
+    picked = losses.filter(F.col("split") == split).agg(w)
+    name = F.when(F.col("w").isNull() | F.col("w.missing"), F.raise_error(message).cast("string")).otherwise(
+        F.col("w.model_name"))
+    return picked.select(name.alias("model_name"), "w.position", "w.loss")
 
 
 def best_predictions(scored: DataFrame, names: list[str], best: DataFrame,

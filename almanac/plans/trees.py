@@ -25,16 +25,19 @@ LABEL = "train_test_val_indicator"
 
 
 def feature_cols(cfg: RunConfig = RunConfig()) -> list[str]:
-    return ["store_id_index", "month", "year"] + lag_names("sales", cfg.lags)
+    return [f"{k}_index" for k in cfg.keys] + ["month", "year"] + lag_names("sales", cfg.lags)
 
 
 def model_frame(features: DataFrame, cfg: RunConfig = RunConfig()) -> DataFrame:
-    """Index the store, assemble the feature vector, flag complete rows.
+    """Index the key columns, assemble the feature vector, flag complete rows.
 
-    Every row is kept. ``features_ok`` is false where a feature is null (a zero-sales month
-    has a null log): such rows are left out of fitting and get a null tree prediction.
+    Every row is kept. ``features_ok`` is false where a feature is null (the month after a zero-sales
+    month has a null lag): such rows are left out of fitting and get a null tree prediction. A row
+    whose own label is null is left out of fitting only.
     """
-    df = category_index(features, "store_id", "store_id_index")
+    df = features
+    for k in cfg.keys:
+        df = category_index(df, k, f"{k}_index")
     cols = feature_cols(cfg)
     ok = F.lit(True)
     for c in cols:
@@ -74,7 +77,6 @@ def space_for(kind: str, cfg: RunConfig) -> dict:
     return cfg.hp_space_rf if kind == "RF" else cfg.hp_space_gbt
 
 
-ROW_KEYS = ["store_id", "year", "month"]
 ROWS_PER_PARTITION = 50_000
 
 
@@ -83,15 +85,14 @@ ROWS_PER_PARTITION = 50_000
 MIN_FIT_PARTITIONS = {"RF": 4, "GBT": 1}
 
 
-def spread_for_fit(frame: DataFrame, min_partitions: int = 1, keys: list[str] = ROW_KEYS) -> DataFrame:
+def spread_for_fit(frame: DataFrame, min_partitions: int = 1, keys: list[str] = ("store_id", "year", "month")) -> DataFrame:
     """Hash-partition the (small, reused) training frame by its row key and sort within
     partitions. Tree learners aggregate per-node split statistics through the input
-    partitions; one partition would push every level through a single task. The sort makes
-    per-partition bootstrap sampling, and so the fitted trees, repeatable for a seed.
+    partitions; one partition would push every level through a single task. The number of
+    partitions follows from the row count alone and the rows of a partition are sorted, so
+    per-partition bootstrap sampling, and so the fitted trees, are the same on any cluster.
     """
-    spark = frame.sparkSession
-    rows = frame.count()
-    n = max(1, min(spark.sparkContext.defaultParallelism, max(min_partitions, rows // ROWS_PER_PARTITION)))
+    n = max(min_partitions, -(-frame.count() // ROWS_PER_PARTITION))
     return frame.repartition(n, *keys).sortWithinPartitions(*keys)
 
 
@@ -117,11 +118,12 @@ def tune_tree(frame: DataFrame, kind: str = "RF", cfg: RunConfig = RunConfig(),
     est = make_estimator(kind, label_col, pred, cfg.seed)
     grid = candidate_grid(space_for(kind, cfg), cfg.max_evals, "random", cfg.seed)
     maps = [{est.getParam(k): v for k, v in cand.items()} for cand in grid]
-    usable = frame.filter(F.col("features_ok"))
-    spread = MIN_FIT_PARTITIONS.get(kind, 1)
-    train = spread_for_fit(usable.filter(F.col(LABEL) == 0), spread).persist()
+    # the log of a zero-sales month is null: MLlib cannot fit such a label
+    usable = frame.filter(F.col("features_ok") & F.col(label_col).isNotNull())
+    spread, keys = MIN_FIT_PARTITIONS.get(kind, 1), [*cfg.keys, "year", "month"]
+    train = spread_for_fit(usable.filter(F.col(LABEL) == 0), spread, keys).persist()
     valid = usable.filter(F.col(LABEL) == 1).persist()
-    full = spread_for_fit(usable.filter(F.col(LABEL) <= refit_max_label), spread)
+    full = spread_for_fit(usable.filter(F.col(LABEL) <= refit_max_label), spread, keys)
 
     def tune_one(i):
         return "loss", i, mape(est.copy(maps[i]).fit(train).transform(valid), label_col, pred)

@@ -7,7 +7,6 @@ derived from the config), so they are built in Python and enter Spark plans as l
 
 from __future__ import annotations
 
-import itertools
 import math
 import random
 
@@ -24,26 +23,40 @@ def _axis(spec: list) -> list:
     raise ValueError(f"unsupported distribution {kind!r}")
 
 
+def grid_size(space: dict) -> int:
+    return math.prod(len(_axis(spec)) for spec in space.values())
+
+
+def grid_point(space: dict, index: int) -> dict:
+    """Combination ``index`` of the grid (last parameter fastest), without building the grid."""
+    point = {}
+    for name in reversed(list(space)):
+        axis = _axis(space[name])
+        index, at = divmod(index, len(axis))
+        point[name] = axis[at]
+    return {name: point[name] for name in space}
+
+
 def full_grid(space: dict) -> list[dict]:
-    """Every combination, parameters in the order given, values ascending."""
-    names = list(space)
-    axes = [_axis(space[n]) for n in names]
-    return [dict(zip(names, combo)) for combo in itertools.product(*axes)]
+    """Every combination, parameters in the order given, values ascending (small spaces only)."""
+    return [grid_point(space, i) for i in range(grid_size(space))]
 
 
 def candidate_grid(space: dict, limit: int, method: str = "random", seed: int = 42) -> list[dict]:
-    """At most ``limit`` candidates.
+    """At most ``limit`` candidates, picked by index: the grid itself is never built.
 
     ``random`` (default): a seeded sample without replacement, in grid order. With a handful
     of trials a sequential optimiser draws its first points at random too.
-    ``spread``: rows ``floor(i * size / limit)`` of the full grid, so the picks span it evenly.
+    ``spread``: points ``floor(i * size / limit)`` of the grid, so the picks span it evenly.
     """
-    grid = full_grid(space)
-    if limit <= 0 or len(grid) <= limit:
-        return grid
+    size = grid_size(space)
+    if limit <= 0 or size <= limit:
+        return full_grid(space)
     if method == "spread":
-        return [grid[(i * len(grid)) // limit] for i in range(limit)]
+        return [grid_point(space, (i * size) // limit) for i in range(limit)]
     if method == "random":
-        picks = sorted(random.Random(seed).sample(range(len(grid)), limit))
-        return [grid[i] for i in picks]
+        rng, picks = random.Random(seed), set()
+        while len(picks) < limit:
+            picks.add(rng.randrange(size))
+        return [grid_point(space, i) for i in sorted(picks)]
     raise ValueError(f"unknown method {method!r}")

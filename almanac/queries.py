@@ -251,8 +251,8 @@ LEFT JOIN s ON s.user_id = g.user_id AND s.year = months.year AND s.month = mont
 """)
 def q_unpivot_days_monthly(spark, sf_dir):
     from almanac.plans.features import daily_monthly, load_long_daily
-    long, cal, n_days = load_long_daily(spark, sf_dir, DAILY_DEPT)
-    return rounded(daily_monthly(long, cal, "user_id", n_days))
+    long, cal, _ = load_long_daily(spark, sf_dir, DAILY_DEPT)
+    return rounded(daily_monthly(long, cal, "user_id"))
 
 
 # ---------------------------------------------------------------- joins
@@ -318,12 +318,17 @@ def _group(spark, sf_dir, aggs, places):
 
 
 @register("group_sum", """
-SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS l_quantity,
-       round(sum(l_extendedprice), 2) AS l_extendedprice
+SELECT l_returnflag, l_linestatus, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS l_quantity,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS l_extendedprice
 FROM lineitem GROUP BY 1, 2
 """)
 def q_group_sum(spark, sf_dir):
-    return _group(spark, sf_dir, {"l_quantity": "sum", "l_extendedprice": "sum"}, 2)
+    """Money is summed as decimals, so the result does not depend on the order of the rows."""
+    from almanac.operators import group_agg
+    (li,) = _tables(spark, sf_dir, "lineitem")
+    money = {c: F.col(c).cast("decimal(18,2)") for c in ("l_quantity", "l_extendedprice")}
+    sums = group_agg(li.withColumns(money), GROUP_KEYS, dict.fromkeys(money, "sum"))
+    return sums.withColumns({c: F.col(c).cast("double") for c in money})
 
 
 @register("group_avg", f"""
@@ -407,7 +412,7 @@ FROM ({SQL_FEATURES_RAW}) f JOIN ({SQL_STORE_INDEX}) r ON f.store_id = r.store_i
 """)
 def q_category_index(spark, sf_dir):
     from almanac.operators import category_index
-    f = _features(spark, sf_dir).select("store_id", "year", "month")
+    f = _model_features(spark, sf_dir).select("store_id", "year", "month")
     return category_index(f, "store_id", "store_id_index")
 
 
@@ -421,7 +426,7 @@ FROM ({SQL_FEATURES_RAW}) f JOIN ({SQL_STORE_INDEX}) r ON f.store_id = r.store_i
 """)
 def q_feature_array(spark, sf_dir):
     from almanac.operators import category_index, feature_array
-    f = category_index(_features(spark, sf_dir), "store_id", "store_id_index")
+    f = category_index(_model_features(spark, sf_dir), "store_id", "store_id_index")
     f = feature_array(f, FEATURE_COLS)
     return f.select("store_id", "year", "month",
                     F.transform("features", lambda x: F.round(x, PLACES)).alias("features"))
@@ -461,54 +466,69 @@ def _cand_values_sql() -> str:
     return f"SELECT * FROM (VALUES {rows}) v(cand_id, scale)"
 
 
-def _group_sql_ctes() -> str:
-    """CTEs s, tr, rs, c, losses, w, tr2, rs2, eff shared by the group-model oracles."""
+def _group_sql_ctes(features: str = SQL_FEATURES_RAW, keys: tuple[str, ...] = ("store_id",)) -> str:
+    """CTEs s, tr, rs, c, losses, w, tr2, rs2, eff, fc, sc, lng, ml, mls, best shared by the group-model
+    oracles. A null value (zero-sales month) counts for nothing in trend, effects and losses; models are
+    compared on the rows that all of them scored."""
+    k = ", ".join(keys)
+
+    def of(alias: str) -> str:
+        return ", ".join(f"{alias}.{x}" for x in keys)
+
+    def on(x: str, y: str, *more: str) -> str:
+        return " AND ".join(f"{x}.{c} = {y}.{c}" for c in (*keys, *more))
+
     return f"""
-f AS ({SQL_FEATURES_RAW}),
-s AS (SELECT store_id, year, month, sales AS y,
+f AS ({features}),
+s AS (SELECT {k}, year, month, sales AS y,
              CAST((year - {CFG.base_year}) * 12 + month - 1 AS DOUBLE) AS t,
              train_test_val_indicator AS ind, lag_sales_1, lag_sales_{LAGS[-1]} AS lag_last FROM f),
-tr AS (SELECT store_id, regr_intercept(y, t) AS a, regr_slope(y, t) AS b FROM s WHERE ind = 0 GROUP BY 1),
-rs AS (SELECT s.store_id, s.month, sum(s.y - (tr.a + tr.b * s.t)) AS rsum, count(*) AS n
-       FROM s JOIN tr ON s.store_id = tr.store_id WHERE s.ind = 0 GROUP BY 1, 2),
+tr AS (SELECT {k}, regr_intercept(y, t) AS a, regr_slope(y, t) AS b FROM s WHERE ind = 0 GROUP BY ALL),
+rs AS (SELECT {of('s')}, s.month, sum(s.y - (tr.a + tr.b * s.t)) AS rsum, count(s.y) AS n
+       FROM s JOIN tr ON {on('s', 'tr')} WHERE s.ind = 0 GROUP BY ALL),
 c AS ({_cand_values_sql()}),
-v AS (SELECT s.store_id, c.cand_id, c.scale, s.y,
+v AS (SELECT {of('s')}, c.cand_id, c.scale, s.y,
              tr.a + tr.b * s.t + coalesce(rs.rsum / (rs.n + 1.0 / (c.scale * c.scale)), 0.0) AS p
-      FROM s JOIN tr ON s.store_id = tr.store_id
-      LEFT JOIN rs ON rs.store_id = s.store_id AND rs.month = s.month
+      FROM s JOIN tr ON {on('s', 'tr')}
+      LEFT JOIN rs ON {on('rs', 's', 'month')}
       CROSS JOIN c WHERE s.ind = 1),
-losses AS (SELECT store_id, cand_id, scale AS seasonality_prior_scale,
+losses AS (SELECT {k}, cand_id, scale AS seasonality_prior_scale,
                   round(100 * avg(abs((y - p) / nullif(y, 0))), {PLACES}) AS loss
-           FROM v GROUP BY 1, 2, 3),
-w AS (SELECT store_id, cand_id, seasonality_prior_scale, loss FROM (
-        SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY loss NULLS LAST, cand_id) AS rn
+           FROM v GROUP BY {k}, cand_id, scale),
+w AS (SELECT {k}, cand_id, seasonality_prior_scale, loss FROM (
+        SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY loss NULLS LAST, cand_id) AS rn
         FROM losses) x WHERE rn = 1),
-tr2 AS (SELECT store_id, regr_intercept(y, t) AS a, regr_slope(y, t) AS b FROM s WHERE ind <= 1 GROUP BY 1),
-rs2 AS (SELECT s.store_id, s.month, sum(s.y - (tr2.a + tr2.b * s.t)) AS rsum, count(*) AS n
-        FROM s JOIN tr2 ON s.store_id = tr2.store_id WHERE s.ind <= 1 GROUP BY 1, 2),
-eff AS (SELECT rs2.store_id, rs2.month,
+tr2 AS (SELECT {k}, regr_intercept(y, t) AS a, regr_slope(y, t) AS b FROM s WHERE ind <= 1 GROUP BY ALL),
+rs2 AS (SELECT {of('s')}, s.month, sum(s.y - (tr2.a + tr2.b * s.t)) AS rsum, count(s.y) AS n
+        FROM s JOIN tr2 ON {on('s', 'tr2')} WHERE s.ind <= 1 GROUP BY ALL),
+eff AS (SELECT {of('rs2')}, rs2.month,
                rs2.rsum / (rs2.n + 1.0 / (w.seasonality_prior_scale * w.seasonality_prior_scale)) AS effect
-        FROM rs2 JOIN w ON rs2.store_id = w.store_id),
-fc AS (SELECT s.store_id, s.year, s.month, s.ind, s.y,
+        FROM rs2 JOIN w ON {on('rs2', 'w')}),
+fc AS (SELECT {of('s')}, s.year, s.month, s.ind, s.y,
               tr2.a + tr2.b * s.t + coalesce(eff.effect, 0.0) AS TS_prediction
-       FROM s LEFT JOIN tr2 ON s.store_id = tr2.store_id
-       LEFT JOIN eff ON eff.store_id = s.store_id AND eff.month = s.month),
-sc AS (SELECT s.store_id, s.year, s.month, s.ind, s.y, fc.TS_prediction,
+       FROM s LEFT JOIN tr2 ON {on('s', 'tr2')}
+       LEFT JOIN eff ON {on('eff', 's', 'month')}),
+sc AS (SELECT {of('s')}, s.year, s.month, s.ind, s.y, fc.TS_prediction,
               s.lag_sales_1 AS LAST_MONTH_prediction, s.lag_last AS LAST_YEAR_prediction
-       FROM s JOIN fc ON fc.store_id = s.store_id AND fc.year = s.year AND fc.month = s.month),
-lng AS (SELECT store_id, year, month, ind, y, 0 AS position, 'TS' AS model_name, TS_prediction AS prediction FROM sc
-        UNION ALL SELECT store_id, year, month, ind, y, 1, 'LAST_MONTH', LAST_MONTH_prediction FROM sc
-        UNION ALL SELECT store_id, year, month, ind, y, 2, 'LAST_YEAR', LAST_YEAR_prediction FROM sc),
+       FROM s JOIN fc ON {on('fc', 's', 'year', 'month')}),
+cm AS (SELECT *, TS_prediction IS NOT NULL AND LAST_MONTH_prediction IS NOT NULL
+              AND LAST_YEAR_prediction IS NOT NULL AS common FROM sc),
+lng AS (SELECT {k}, year, month, ind, y, common, 0 AS position, 'TS' AS model_name, TS_prediction AS prediction FROM cm
+        UNION ALL SELECT {k}, year, month, ind, y, common, 1, 'LAST_MONTH', LAST_MONTH_prediction FROM cm
+        UNION ALL SELECT {k}, year, month, ind, y, common, 2, 'LAST_YEAR', LAST_YEAR_prediction FROM cm),
 spl AS (SELECT *, 'train' AS split FROM lng WHERE ind IN (0, 1)
         UNION ALL SELECT *, 'validation' FROM lng WHERE ind = 1
         UNION ALL SELECT *, 'test' FROM lng WHERE ind = 2),
-ml AS (SELECT model_name, position, split, round(100 * avg(abs((y - prediction) / nullif(y, 0))), {PLACES}) AS loss
+ml AS (SELECT model_name, position, split,
+              round(100 * avg(abs((y - prediction) / nullif(y, 0))) FILTER (common), {PLACES}) AS loss,
+              count(prediction) AS scored_rows, count(*) - count(prediction) AS unscored_rows
        FROM spl GROUP BY 1, 2, 3),
-mls AS (SELECT model_name, position, split, store_id,
-               round(100 * avg(abs((y - prediction) / nullif(y, 0))), {PLACES}) AS loss
-        FROM spl GROUP BY 1, 2, 3, 4),
+mls AS (SELECT model_name, position, split, {k},
+               round(100 * avg(abs((y - prediction) / nullif(y, 0))) FILTER (common), {PLACES}) AS loss,
+               count(prediction) AS scored_rows, count(*) - count(prediction) AS unscored_rows
+        FROM spl GROUP BY ALL),
 best AS (SELECT model_name, position, loss FROM ml WHERE split = 'test'
-         ORDER BY loss NULLS LAST, position LIMIT 1)"""
+         ORDER BY unscored_rows, loss NULLS LAST, position LIMIT 1)"""
 
 
 def _model_features(spark, sf_dir):
@@ -557,9 +577,7 @@ FROM tr2 LEFT JOIN w ON tr2.store_id = w.store_id JOIN eff ON eff.store_id = tr2
 def q_group_fit(spark, sf_dir):
     from almanac.plans.group_model import model_effects
     _, model = _group_fit(spark, sf_dir)
-    return rounded(model.join(model_effects(model), "store_id")
-                   .select("store_id", "cand_id", "seasonality_prior_scale", "intercept", "slope",
-                           "month", "effect"))
+    return rounded(model_effects(model, keep=["cand_id", "seasonality_prior_scale", "intercept", "slope"]))
 
 
 @register("group_forecast", f"""WITH {_group_sql_ctes()}
@@ -587,7 +605,9 @@ def _scored(spark, sf_dir, models):
 
 def _sql_selection(spark, sf_dir):
     from almanac.plans import runner, selection
+    from almanac.session import cut_lineage
     scored, names = _scored(spark, sf_dir, runner.SQL_MODELS)
+    scored = cut_lineage(scored)  # losses, winner and export read it: no model runs twice
     losses = selection.model_losses(scored, names)
     best = selection.best_model(losses, "test")
     return scored, names, losses, best
@@ -636,7 +656,8 @@ def q_forecast_export(spark, sf_dir):
 
 
 @register("best_model_validation", f"""WITH {_group_sql_ctes()}
-SELECT model_name, position, loss FROM ml WHERE split = 'validation' ORDER BY loss NULLS LAST, position LIMIT 1
+SELECT model_name, position, loss FROM ml WHERE split = 'validation'
+ORDER BY unscored_rows, loss NULLS LAST, position LIMIT 1
 """)
 def q_best_model_validation(spark, sf_dir):
     """Selection on the validation slice: the test slice stays unseen by the choice."""
@@ -677,12 +698,175 @@ def q_best_model_all(spark, sf_dir):
 
 
 
+# ---------------------------------------------------------------- grouped-map model
+
 @register("group_fit_fourier")
 def q_group_fit_fourier(spark, sf_dir):
+    """The fitted model: one row of coefficients per store."""
+    from almanac.plans.fourier import fit_fourier
+    return rounded(fit_fourier(_model_features(spark, sf_dir), CFG))
+
+
+@register("group_forecast_fourier")
+def q_group_forecast_fourier(spark, sf_dir):
+    """Every month of every store scored with the fitted model."""
     from almanac.plans.fourier import fourier_forecast
     return rounded(fourier_forecast(_model_features(spark, sf_dir), CFG))
 
 
+@register("fourier_trend_only", f"""WITH {_group_sql_ctes()}
+SELECT s.store_id, s.year, s.month, round(tr2.a + tr2.b * s.t, 6) AS FOURIER_prediction
+FROM s LEFT JOIN tr2 ON s.store_id = tr2.store_id
+""")
+def q_fourier_trend_only(spark, sf_dir):
+    """Without changepoints and harmonics the grouped-map model is the least-squares line."""
+    from almanac.plans.fourier import fourier_forecast
+    out = fourier_forecast(_model_features(spark, sf_dir), CFG, n_changepoints=0, order=0)
+    return rounded(out.select("store_id", "year", "month", "FOURIER_prediction"), 6)
+
+
+# ---------------------------------------------------------------- learners with an exact SQL form
+
+SQL_STUMP = f"""WITH {_group_sql_ctes()},
+d AS (SELECT t, count(*) AS n, sum(y) AS sy FROM s WHERE ind <= 1 AND y IS NOT NULL GROUP BY t),
+cs AS (SELECT t, lead(t) OVER (ORDER BY t) AS nt, sum(n) OVER (ORDER BY t) AS ln, sum(sy) OVER (ORDER BY t) AS ls,
+              sum(n) OVER () AS alln, sum(sy) OVER () AS alls FROM d),
+cut AS (SELECT (t + nt) / 2 AS edge, ls / ln AS below, (alls - ls) / (alln - ln) AS above FROM cs WHERE nt IS NOT NULL
+        ORDER BY ls * ls / ln + (alls - ls) * (alls - ls) / (alln - ln) DESC, t LIMIT 1)
+SELECT store_id, year, month, round(CASE WHEN t <= edge THEN below ELSE above END, 6) AS prediction FROM s CROSS JOIN cut
+"""
+
+
+def _stump(spark, sf_dir, kind, **params):
+    """One tree of depth 1 on the month axis, fitted on every usable row: the best single threshold."""
+    from almanac.functions.scalar import month_index
+    from almanac.operators import assemble, drop_vectors
+    from almanac.plans.trees import make_estimator
+    f = _model_features(spark, sf_dir).withColumn("t", month_index(F.col("year"), F.col("month"), CFG.base_year))
+    f = assemble(f.select("store_id", "year", "month", "sales", "t", "train_test_val_indicator"), ["t"], "features")
+    est = make_estimator(kind, "sales", "prediction", CFG.seed)
+    est = est.copy({est.getParam(k): v for k, v in dict(maxDepth=1, maxBins=512, featureSubsetStrategy="all", **params).items()})
+    model = est.fit(f.filter("train_test_val_indicator <= 1 AND sales IS NOT NULL"))
+    return rounded(drop_vectors(model.transform(f)).select("store_id", "year", "month", "prediction"), 6)
+
+
+@register("rf_stump", SQL_STUMP)
+def q_rf_stump(spark, sf_dir):
+    return _stump(spark, sf_dir, "RF", numTrees=1, bootstrap=False)
+
+
+@register("gbt_stump", SQL_STUMP)
+def q_gbt_stump(spark, sf_dir):
+    return _stump(spark, sf_dir, "GBT", maxIter=1)
+
+
+@register("score_sql_models", f"""WITH {_group_sql_ctes()}
+SELECT store_id, year, month, ind AS train_test_val_indicator, round(y, {PLACES}) AS sales,
+       {_round_list(['TS_prediction', 'LAST_MONTH_prediction', 'LAST_YEAR_prediction'])}
+FROM sc
+""")
+def q_score_sql_models(spark, sf_dir):
+    from almanac.plans import runner
+    scored, names = _scored(spark, sf_dir, runner.SQL_MODELS)
+    return rounded(scored.select("store_id", "year", "month", "train_test_val_indicator", "sales",
+                                 *[f"{n}_prediction" for n in names]))
+
+
+@register("drop_vectors", features_sql_rounded())
+def q_drop_vectors(spark, sf_dir):
+    """the feature frame with its assembled vector removed again."""
+    from almanac.operators import assemble, drop_vectors
+    return rounded(drop_vectors(assemble(_features(spark, sf_dir), ["month", "year"] + LAG_COLS, "features")))
+
+
+# ---------------------------------------------------------------- calendar lags
+
+SQL_FEATURES_CALENDAR = f"""
+WITH m AS ({SQL_MONTHLY}),
+b AS (SELECT store_id, min(year * 12 + month - 1) AS lo, max(year * 12 + month - 1) AS hi FROM m GROUP BY 1),
+sp AS (SELECT store_id, unnest(generate_series(lo, hi)) AS i FROM b),
+f AS (SELECT sp.store_id, CAST(sp.i // 12 AS INTEGER) AS year, CAST(sp.i % 12 + 1 AS INTEGER) AS month,
+             CASE WHEN m.sales > 0 THEN ln(m.sales) END AS sales
+      FROM sp LEFT JOIN m ON m.store_id = sp.store_id AND m.year = CAST(sp.i // 12 AS INTEGER)
+                          AND m.month = CAST(sp.i % 12 + 1 AS INTEGER)),
+g AS (SELECT *, {_lag_sql('sales', LAGS, 'store_id', 'year, month')},
+             row_number() OVER (PARTITION BY store_id ORDER BY year, month) AS place FROM f)
+SELECT store_id, year, month, sales, {', '.join(LAG_COLS)}, make_date(year, month, 1) AS ds,
+       {_label_sql()} AS train_test_val_indicator
+FROM g WHERE place > {max(LAGS)}
+"""
+
+
+@register("tune_group_losses_calendar", f"WITH {_group_sql_ctes(SQL_FEATURES_CALENDAR)} SELECT * FROM losses")
+def q_tune_group_losses_calendar(spark, sf_dir):
+    """Candidate losses on series whose missing months are filled in (null values)."""
+    from dataclasses import replace
+    from almanac.plans.features import load_monthly_features
+    from almanac.session import cut_lineage
+    feats = cut_lineage(load_monthly_features(spark, sf_dir, replace(CFG, calendar_lags=True)))
+    return _group_losses(spark, sf_dir, feats)
+
+
+# ---------------------------------------------------------------- wide daily tables end to end
+
+@register("csv_round_trip", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
+def q_csv_round_trip(spark, sf_dir):
+    """A table written as CSV with a header and read back with its schema."""
+    from almanac.sources import read_csv, write_forecasts
+    (su,) = _tables(spark, sf_dir, "supplier")
+    su = su.select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    path = _folder(spark, "supplier.csv")
+    write_forecasts(su, path, "csv")
+    return read_csv(spark, path, su.schema)
+
+
+def _folder(spark, name):
+    import uuid
+    from almanac.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/almanac-{uuid.uuid4().hex}-{name}"
+
+
+WIDE_KEYS = ("store_id", "dept_id")
+SQL_FEATURES_WIDE = f"""
+WITH x AS (SELECT n.n_name AS store_id, l.l_returnflag AS dept_id, CAST(year(l.l_shipdate) AS INTEGER) AS year,
+                  CAST(month(l.l_shipdate) AS INTEGER) AS month, l.l_quantity AS q
+           FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey),
+sp AS (SELECT min(CAST(l_shipdate AS DATE)) AS d0, max(CAST(l_shipdate AS DATE)) AS d1 FROM lineitem),
+mo AS (SELECT DISTINCT CAST(year(dt) AS INTEGER) AS year, CAST(month(dt) AS INTEGER) AS month
+       FROM (SELECT unnest(generate_series(d0, d1, INTERVAL 1 DAY)) AS dt FROM sp) c),
+gr AS (SELECT DISTINCT store_id, dept_id FROM x),
+su AS (SELECT store_id, dept_id, year, month, sum(q) AS sales FROM x GROUP BY ALL),
+f AS (SELECT gr.store_id, gr.dept_id, mo.year, mo.month, CASE WHEN su.sales > 0 THEN ln(su.sales) END AS sales
+      FROM gr CROSS JOIN mo LEFT JOIN su ON su.store_id = gr.store_id AND su.dept_id = gr.dept_id
+                                         AND su.year = mo.year AND su.month = mo.month),
+g AS (SELECT *, {_lag_sql('sales', LAGS, 'store_id, dept_id', 'year, month')} FROM f)
+SELECT store_id, dept_id, year, month, sales, {', '.join(LAG_COLS)}, make_date(year, month, 1) AS ds,
+       {_label_sql()} AS train_test_val_indicator
+FROM g WHERE lag_sales_{LAGS[-1]} IS NOT NULL
+"""
+
+
+@register("wide_daily_forecast", f"""WITH {_group_sql_ctes(SQL_FEATURES_WIDE, WIDE_KEYS)}
+SELECT store_id, dept_id, year, month, ind AS train_test_val_indicator, round(y, 6) AS sales,
+       round(TS_prediction, 6) AS TS_prediction FROM fc
+""")
+def q_wide_daily_forecast(spark, sf_dir):
+    """A wide daily table (one column a day) and a calendar table, both CSV, to monthly forecasts per
+    store and department."""
+    from dataclasses import replace
+    from almanac.plans import group_model
+    from almanac.plans.features import load_wide_features, wide_store_daily
+    from almanac.session import cut_lineage
+    from almanac.sources import write_forecasts
+    cfg = replace(CFG, keys=WIDE_KEYS)
+    wide, cal = wide_store_daily(*_tables(spark, sf_dir, "lineitem", "supplier", "nation"))
+    paths = _folder(spark, "wide.csv"), _folder(spark, "calendar.csv")
+    write_forecasts(wide, paths[0], "csv")
+    write_forecasts(cal, paths[1], "csv")
+    feats = cut_lineage(load_wide_features(spark, *paths, cfg))
+    out = group_model.tune_fit_forecast(feats, cfg, WIDE_KEYS)
+    return rounded(out.select(*WIDE_KEYS, "year", "month", "train_test_val_indicator", "sales", "TS_prediction"), 6)
+
 
 @register("month_spine", f"""
 WITH m AS ({SQL_MONTHLY}),
@@ -710,7 +894,7 @@ FROM ({SQL_FEATURES_RAW}) f JOIN ({SQL_STORE_INDEX}) r ON f.store_id = r.store_i
 def q_feature_vector(spark, sf_dir):
     """E2 + E3: the MLlib vector the tree learners see, turned back into an array."""
     from almanac.operators import assemble, category_index, vector_as_array
-    f = assemble(category_index(_features(spark, sf_dir), "store_id", "store_id_index"), FEATURE_COLS)
+    f = assemble(category_index(_model_features(spark, sf_dir), "store_id", "store_id_index"), FEATURE_COLS)
     f = vector_as_array(f, "features")
     return f.select("store_id", "year", "month",
                     F.transform("features", lambda x: F.round(x, PLACES)).alias("features"))

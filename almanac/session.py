@@ -7,7 +7,6 @@ is always respected.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,14 +58,18 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder named by the session.
 
-    A cluster names a shared folder in ``spark.checkpoint.dir``; it is used as is. Only when
-    nothing is configured (unit tests, a laptop) a private local folder is created.
+    A cluster names a shared folder in ``spark.checkpoint.dir``; it is used as is. Only a local
+    master (unit tests, a laptop) may go without: it gets a private folder. On a cluster such a
+    folder would lie on each executor's own disk, so a missing setting raises.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(configured)
         return spark.sparkContext.getCheckpointDir() or configured
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"set spark.checkpoint.dir to a shared folder (master is {master})")
     local = tempfile.mkdtemp(prefix="almanac-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
@@ -77,7 +80,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    return int(os.environ.get("ALMANAC_PARALLELISM", spark.sparkContext.defaultParallelism))

@@ -15,6 +15,10 @@
         StringIndexer(inputCol="store_id", outputCol="store_id_index"),
     ]).fit(sales)
 
+``FitModels`` is the Estimator that fits several learners side by side; the model it returns adds one
+prediction column per learner. ``SelectBest`` is the Estimator that picks the learner of least loss; its
+model turns scored rows into the winner's forecasts.
+
 Stages hold Python callables, so a fitted pipeline is used in-process (not saved with
 ``MLWritable``); every stage still only adds to the lazy plan that Catalyst optimises whole.
 """
@@ -23,9 +27,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import Transformer
+from pyspark.ml import Estimator, Model, Transformer
 from pyspark.sql import DataFrame
 
+from almanac.plans import runner, selection
+from almanac.session import cut_lineage
+from almanac.sources.config import RunConfig
+
 
 class Stage(Transformer):
     """Transformer calling ``fn(df, *args, **kwargs)``."""
@@ -39,3 +47,48 @@ class Stage(Transformer):
 
     def __repr__(self) -> str:
         return f"Stage({getattr(self._fn, '__name__', self._fn)!r})"
+
+
+class FitModels(Estimator):
+    """Fits ``models`` on a monthly feature frame (vectors included where tree learners need them)."""
+
+    def __init__(self, models=runner.SQL_MODELS, cfg: RunConfig = RunConfig(), cutoff: dict | None = None):
+        super().__init__()
+        self._models, self._cfg, self._cutoff = tuple(models), cfg, cutoff
+
+    def _fit(self, dataset: DataFrame) -> Model:
+        return FittedModels(runner.fit_all(dataset, self._models, self._cfg, cutoff=self._cutoff))
+
+
+class FittedModels(Model):
+    """Adds ``{name}_prediction`` for every fitted learner."""
+
+    def __init__(self, scorers):
+        super().__init__()
+        self.scorers = scorers
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return selection.score_all(dataset, self.scorers)
+
+
+class SelectBest(Estimator):
+    """Chooses the learner of least loss on a split of a scored frame."""
+
+    def __init__(self, models=runner.SQL_MODELS, split: str = "test", cfg: RunConfig = RunConfig()):
+        super().__init__()
+        self._models, self._split, self._cfg = list(models), split, cfg
+
+    def _fit(self, dataset: DataFrame) -> Model:
+        losses = cut_lineage(selection.model_losses(dataset, self._models))
+        return SelectedModel(self._models, losses, selection.best_model(losses, self._split), self._cfg)
+
+
+class SelectedModel(Model):
+    """The winner's predictions of the rows given: ``keys, year, month, label, sales, model_name, prediction``."""
+
+    def __init__(self, models, losses: DataFrame, best: DataFrame, cfg: RunConfig):
+        super().__init__()
+        self.models, self.losses, self.best, self._cfg = models, losses, best, cfg
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return selection.best_predictions(dataset, self.models, self.best, [*self._cfg.keys, "year", "month"])

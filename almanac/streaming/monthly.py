@@ -4,7 +4,7 @@ The same operator as the batch ``monthly_store_sales`` (department filter, store
 sum per store and month) applied incrementally as new parquet files land:
 
 * the stream schema is taken from the existing files (no inference per micro-batch);
-* the store map is a static, size-checked broadcast side of a stream-static join;
+* the store map is the static side of a stream-static join;
 * the month start is the event-time column: with a watermark, a (store, month) group is
   final once data two months later has arrived, and its state is dropped in append mode;
 * progress and state live under the session's ``spark.checkpoint.dir`` (shared storage),
@@ -19,8 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from almanac.operators.joins import bounded_broadcast
-from almanac.plans.features import STORE_MAP_BROADCAST_ROWS, store_map
+from almanac.plans.features import store_map
 from almanac.session import ensure_checkpoint_dir
 
 
@@ -37,7 +36,7 @@ def monthly_sales_stream(spark: SparkSession, lineitem_path: str, supplier: Data
              .select("l_suppkey", "l_quantity",
                      F.date_trunc("month", F.col("l_shipdate").cast("timestamp")).alias("month_start"))
              .withWatermark("month_start", watermark))
-    stores = bounded_broadcast(store_map(supplier, nation), STORE_MAP_BROADCAST_ROWS)
+    stores = store_map(supplier, nation)
     joined = items.join(stores, items.l_suppkey == stores.s_suppkey)
     return (joined.groupBy("store_id", "month_start")
             .agg(F.sum("l_quantity").alias("sales"))

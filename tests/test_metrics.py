@@ -3,22 +3,21 @@ import pytest
 from almanac.functions import MAPE, mape, mape_frame
 
 
-ROWS = [(1, 1), (1, 1.5), (1.5, 1), (1, 2), (-1, 1), (1, -1.5), (-1.5, 1), (1, -2), (100, 100.0239),
-        (2000, 30000)]
+ROWS = [(4.0, 5.0), (-8.0, -6.0), (0.5, 0.0), (10.0, 10.0)]
 
 
 def test_mape(spark):
-    df = spark.createDataFrame([(float(a), float(b)) for a, b in ROWS], "labels double, predictions double")
-    assert abs(mape(df, "labels", "predictions") - 250.00239) < 1e-5
-    ev = MAPE(labelCol="labels", predictionCol="predictions")
-    assert abs(ev.evaluate(df) - 250.00239) < 1e-5
-    assert ev.isLargerBetter() is False
+    df = spark.createDataFrame(ROWS, "y double, p double")
+    want = 100 * sum(abs((y - p) / y) for y, p in ROWS) / len(ROWS)  # 25, 25, 100 and 0 percent
+    assert abs(want - 37.5) < 1e-12 and abs(mape(df, "y", "p") - want) < 1e-12
+    ev = MAPE(labelCol="y", predictionCol="p")
+    assert abs(ev.evaluate(df) - want) < 1e-12 and ev.isLargerBetter() is False
 
 
 def test_mape_missing_column(spark):
-    df = spark.createDataFrame([(float(a), float(b)) for a, b in ROWS[:6]], "label double, predictions double")
-    with pytest.raises(Exception):
-        MAPE(labelCol="labels", predictionCol="predictions").evaluate(df)
+    df = spark.createDataFrame(ROWS, "y double, p double")
+    with pytest.raises(ValueError):
+        MAPE(labelCol="label", predictionCol="p").evaluate(df)
 
 
 def test_mape_zero_label_skipped(spark):

@@ -10,189 +10,189 @@ from pyspark.testing import assertDataFrameEqual
 from almanac.functions import antilog_cols, date_stamp, log_cols
 from almanac.operators import (fill_missing, filter_rows, group_agg, join, lag_features,
                                month_split, split_label, unpivot, drop_vectors, assemble,
-                               category_index, feature_array, vector_as_array, lag_complete,
-                               bounded_broadcast)
+                               category_index, feature_array, vector_as_array, lag_complete)
 
 
 def test_filter(spark):
-    df = spark.createDataFrame([("Alice", 1), ("Bob", 2)], "name string, num bigint")
-    assertDataFrameEqual(filter_rows(df, "num < 2"), [Row(name="Alice", num=1)])
+    df = spark.createDataFrame([("ulm", 40, None), ("bern", 7, "x"), (None, 12, "y")], "town string, size int, tag string")
+    assertDataFrameEqual(filter_rows(df, "size between 7 and 12"), [Row(town="bern", size=7, tag="x"), Row(town=None, size=12, tag="y")])
+    assertDataFrameEqual(filter_rows(df, F.col("tag").isNull()), [Row(town="ulm", size=40, tag=None)])
+    assert filter_rows(df, "tag = 'z'").count() == 0
 
 
 def test_filter_bad_column(spark):
-    df = spark.createDataFrame([("Alice", 1), ("Bob", 2)], "name string, num bigint")
     with pytest.raises(Exception):
-        filter_rows(df, "nums >= 2").collect()
+        filter_rows(spark.range(3), "nowhere > 1").collect()
 
 
 def _wide(spark):
-    return spark.createDataFrame([("id_1", 1, 2, 3, 4, 5), ("id_2", 1, 2, 3, 4, 5)],
-                                 "id string, d_1 bigint, d_2 bigint, d_3 bigint, d_4 bigint, d_5 bigint")
+    return spark.createDataFrame([("north", "oil", 3.0, 0.0, 8.5), ("south", "gas", 1.0, None, -2.0)],
+                                 "site string, kind string, d_1 double, d_2 double, d_3 double")
 
 
 def test_unpivot(spark):
-    out = unpivot(_wide(spark), ["id"])
-    assert out.columns == ["id", "day", "sales"]
-    expected = [Row(id=i, day=f"d_{k}", sales=k) for i in ("id_1", "id_2") for k in range(1, 6)]
-    assertDataFrameEqual(out, expected)
+    out = unpivot(_wide(spark), ["site", "kind"])
+    assert out.columns == ["site", "kind", "day", "sales"]
+    assertDataFrameEqual(out, [Row(site="north", kind="oil", day="d_1", sales=3.0), Row(site="north", kind="oil", day="d_2", sales=0.0),
+                               Row(site="north", kind="oil", day="d_3", sales=8.5), Row(site="south", kind="gas", day="d_1", sales=1.0),
+                               Row(site="south", kind="gas", day="d_2", sales=None), Row(site="south", kind="gas", day="d_3", sales=-2.0)])
+    some = unpivot(_wide(spark), ["kind"], ["d_3", "d_1"], "when", "amount")
+    assert some.columns == ["kind", "when", "amount"] and some.count() == 4
+
+
+def test_unpivot_clashing_names_and_many_columns(spark):
+    df = spark.createDataFrame([("a", "p", 1, 2)], "_pos string, pos string, `d.1` int, d_2 int")
+    out = sorted(tuple(r) for r in unpivot(df.withColumnRenamed("_pos", "id"), ["id", "pos"]).collect())
+    assert out == [("a", "p", "d.1", 1), ("a", "p", "d_2", 2)]
+    wide = spark.range(3).select("id", *[(F.col("id") * k).alias(f"d_{k}") for k in range(1, 1901)])
+    long = unpivot(wide, ["id"])
+    assert long.count() == 3 * 1900 and long.filter("id = 2 AND day = 'd_700'").first().sales == 1400
 
 
 def test_unpivot_bad_id(spark):
-    with pytest.raises(Exception):
+    with pytest.raises(ValueError):
         unpivot(_wide(spark), [""])
+    with pytest.raises(ValueError):
+        unpivot(_wide(spark), ["place"])
 
 
 def test_unpivot_mixed_types_raises(spark):
-    df = spark.createDataFrame([("a", 1, 2.0)], "id string, d_1 bigint, d_2 double")
+    df = spark.createDataFrame([("a", 1, 2.0)], "site string, d_1 bigint, d_2 double")
     with pytest.raises(TypeError):
-        unpivot(df, ["id"])
-
-
-def test_unpivot_keeps_nulls(spark):
-    df = spark.createDataFrame([("a", 1, None)], "id string, d_1 bigint, d_2 bigint")
-    out = unpivot(df, ["id"]).collect()
-    assert len(out) == 2 and any(r.sales is None for r in out)
+        unpivot(df, ["site"])
 
 
 def _ym(spark, names=("year", "month")):
-    return spark.createDataFrame([(2011, 12), (2010, 1), (2015, 5), (2012, 0)],
+    return spark.createDataFrame([(1998, 3), (1999, 1), (1999, 6), (1999, 7), (2001, 12)],
                                  f"{names[0]} bigint, {names[1]} bigint")
 
 
-def test_month_split_first(spark):
-    out = month_split(_ym(spark), {"year": 2012, "month": 0}, "before")
-    assertDataFrameEqual(out, [Row(year=2011, month=12), Row(year=2010, month=1), Row(year=2012, month=0)])
+def test_month_split_is_inclusive_before(spark):
+    out = month_split(_ym(spark), {"year": 1999, "month": 6}, "before")
+    assertDataFrameEqual(out, [Row(year=1998, month=3), Row(year=1999, month=1), Row(year=1999, month=6)])
 
 
-def test_month_split_second(spark):
-    out = month_split(_ym(spark), {"year": 2012, "month": 0}, "after")
-    assertDataFrameEqual(out, [Row(year=2015, month=5)])
+def test_month_split_after(spark):
+    out = month_split(_ym(spark), {"year": 1999, "month": 6}, "after")
+    assertDataFrameEqual(out, [Row(year=1999, month=7), Row(year=2001, month=12)])
 
 
 def test_month_split_wrong_names(spark):
     with pytest.raises(Exception):
-        month_split(_ym(spark, ("years", "months")), {"year": 2012, "month": 0}).collect()
+        month_split(_ym(spark, ("y", "m")), {"year": 1999, "month": 6}).collect()
 
 
 def test_month_split_null_year_neither_side(spark):
-    df = spark.createDataFrame([(None, 3)], "year bigint, month bigint")
-    assert month_split(df, {"year": 2012, "month": 0}, "before").count() == 0
-    assert month_split(df, {"year": 2012, "month": 0}, "after").count() == 0
+    df = spark.createDataFrame([(None, 8), (1999, None)], "year bigint, month bigint")
+    for side in ("before", "after"):
+        assert month_split(df, {"year": 1999, "month": 6}, side).count() == 0
 
 
 def _series(spark):
-    rows = [(i, f"d_{k}", k) for i in ("id_1", "id_2") for k in range(1, 6)]
-    return spark.createDataFrame(rows, "id string, day string, sales bigint")
+    rows = [(g, k, float(k * k) if g == "u" else float(10 - k)) for g in "uv" for k in range(1, 5)]
+    return spark.createDataFrame(rows, "grp string, step int, v double")
 
 
 def test_lag(spark):
-    out = lag_features(_series(spark), "sales", ["id"], ["day"], [1, 2])
-    assert out.columns == ["id", "day", "sales", "lag_sales_1", "lag_sales_2"]
-    exp = [(1, None, None), (2, 1, None), (3, 2, 1), (4, 3, 2), (5, 4, 3)]
-    expected = [Row(id=i, day=f"d_{s}", sales=s, lag_sales_1=a, lag_sales_2=b)
-                for i in ("id_1", "id_2") for s, a, b in exp]
-    assertDataFrameEqual(out, expected)
+    out = lag_features(_series(spark), "v", ["grp"], ["step"], [1, 3])
+    assert out.columns == ["grp", "step", "v", "lag_v_1", "lag_v_3"]
+    got = {(r.grp, r.step): (r.lag_v_1, r.lag_v_3) for r in out.collect()}
+    assert got == {("u", 1): (None, None), ("u", 2): (1.0, None), ("u", 3): (4.0, None), ("u", 4): (9.0, 1.0),
+                   ("v", 1): (None, None), ("v", 2): (9.0, None), ("v", 3): (8.0, None), ("v", 4): (7.0, 9.0)}
 
 
 def test_lag_complete(spark):
-    out = lag_complete(lag_features(_series(spark), "sales", ["id"], ["day"], [1, 2]), "lag_sales_2")
-    assert out.count() == 6
+    out = lag_complete(lag_features(_series(spark), "v", ["grp"], ["step"], [1, 3]), "lag_v_3")
+    assert sorted((r.grp, r.step) for r in out.collect()) == [("u", 4), ("v", 4)]
 
 
-def _joinable(spark, right_key="id1"):
-    a = spark.createDataFrame([("id_1", "d_1"), ("id_2", "d_5")], "id string, day string")
-    b = spark.createDataFrame([("id_1", 1), ("id_2", 5)], f"{right_key} string, sales bigint")
+def _joinable(spark, right_key="code"):
+    a = spark.createDataFrame([("k1", 10), ("k2", 20), ("k2", 21), (None, 30)], "key string, qty int")
+    b = spark.createDataFrame([("k2", "two"), ("k3", "three"), (None, "none")], f"{right_key} string, label string")
     return a, b
 
 
 def test_join_column_different_names(spark):
     a, b = _joinable(spark)
-    out = join(a, b, a.id == b.id1)
-    assert out.columns == ["id", "day", "id1", "sales"] and out.count() == 2
+    out = join(a, b, (a.key == b.code) & (a.qty > 20))
+    assert out.columns == ["key", "qty", "code", "label"] and [r.qty for r in out.collect()] == [21]
 
 
 def test_join_column_same_name(spark):
-    a, b = _joinable(spark, "id")
-    out = join(a, b, a.id == b.id)
-    assert out.columns == ["id", "day", "id", "sales"] and out.count() == 2
+    a, b = _joinable(spark, "key")
+    out = join(a, b, a.key == b.key)
+    assert out.columns == ["key", "qty", "key", "label"] and out.count() == 2
 
 
 def test_join_string(spark):
-    a, b = _joinable(spark, "id")
-    out = join(a, b, "id")
-    assert out.columns == ["id", "day", "sales"]
-    assertDataFrameEqual(out, [Row(id="id_1", day="d_1", sales=1), Row(id="id_2", day="d_5", sales=5)])
+    a, b = _joinable(spark, "key")
+    assertDataFrameEqual(join(a, b, "key"), [Row(key="k2", qty=20, label="two"), Row(key="k2", qty=21, label="two")])
+    assert join(a, b, ["key"], "left").count() == 4
 
 
 def test_join_dict(spark):
     a, b = _joinable(spark)
-    out = join(a, b, {"df1_col": "id", "df2_col": "id1"})
-    assert out.columns == ["id", "day", "id1", "sales"] and out.count() == 2
+    out = join(a, b, {"df1_col": "key", "df2_col": "code"}, "full")
+    assert out.columns == ["key", "qty", "code", "label"] and out.count() == 6
 
 
 def test_join_missing_column(spark):
-    a, b = _joinable(spark, "id")
-    with pytest.raises(Exception):
-        join(a, b, "id1").collect()
-
-
-def test_bounded_broadcast_only_below_bound(spark):
-    df = spark.range(10)
-    assert "broadcast" in bounded_broadcast(df, 100)._jdf.queryExecution().logical().toString().lower()
-    assert bounded_broadcast(df, 5) is df
+    a, b = _joinable(spark)
+    for on in ("code", ["key", "code"], {"df1_col": "key", "df2_col": "nowhere"}):
+        with pytest.raises(ValueError):
+            join(a, b, on)
 
 
 def _grp(spark):
-    return spark.createDataFrame([("a", 1), ("a", 2), ("c", 4), ("c", 5)], "alpha string, num bigint")
+    return spark.createDataFrame([("p", 3.0), ("p", None), ("p", 9.0), ("q", -1.0), (None, 5.0)], "part string, v double")
 
 
-@pytest.mark.parametrize("fn,expected", [("sum", [3, 9]), ("avg", [1.5, 4.5]), ("max", [2, 5]),
-                                         ("mean", [1.5, 4.5])])
+@pytest.mark.parametrize("fn,expected", [("sum", {"p": 12.0, "q": -1.0, None: 5.0}), ("avg", {"p": 6.0, "q": -1.0, None: 5.0}),
+                                         ("max", {"p": 9.0, "q": -1.0, None: 5.0}), ("count", {"p": 2, "q": 1, None: 1}),
+                                         ("mean", {"p": 6.0, "q": -1.0, None: 5.0})])
 def test_group_agg(spark, fn, expected):
-    out = group_agg(_grp(spark), ["alpha"], {"num": fn}).orderBy("alpha")
-    assert out.columns == ["alpha", "num"]
-    assert [r.num for r in out.collect()] == expected
+    out = group_agg(_grp(spark), ["part"], {"v": fn})
+    assert out.columns == ["part", "v"] and {r.part: r.v for r in out.collect()} == expected
 
 
 def test_group_count_star(spark):
-    out = group_agg(_grp(spark), ["alpha"], {"*": "count"}).orderBy("alpha")
-    assert out.columns == ["alpha", "count"]
-    assert [r["count"] for r in out.collect()] == [2, 2]
+    out = group_agg(_grp(spark), ["part"], {"*": "count"})
+    assert {r.part: r["count"] for r in out.collect()} == {"p": 3, "q": 1, None: 1}
+    with pytest.raises(ValueError):
+        group_agg(_grp(spark), ["part"], {"w": "sum"})
 
 
 def test_log(spark):
-    e = math.e
-    df = spark.createDataFrame([("a", 0.0), ("b", 1.0), ("c", e), ("d", e ** 10), ("e", e ** -10)],
-                               "id string, value double")
-    out = [r.value for r in log_cols(df, ["value"]).orderBy("id").collect()]
-    assert out[0] is None
-    assert [round(v, 9) for v in out[1:]] == [0.0, 1.0, 10.0, -10.0]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([2.0, 0.0, -3.0, None, 1e-300])], "i int, v double")
+    got = [r.v for r in log_cols(df, ["v"]).orderBy("i").collect()]
+    assert got[1:4] == [None, None, None]
+    assert abs(got[0] - math.log(2)) < 1e-15 and abs(got[4] - math.log(1e-300)) < 1e-9
 
 
 def test_log_output_cols(spark):
-    df = spark.createDataFrame([("a", 1.0)], "id string, value double")
-    out = log_cols(df, ["value"], ["ln_value"])
-    assert out.columns == ["id", "value", "ln_value"]
+    df = spark.createDataFrame([(3.0, 4.0)], "a double, b double")
+    out = log_cols(df, ["a", "b"], ["ln_a", "ln_b"]).first()
+    assert (out.a, out.b) == (3.0, 4.0) and abs(out.ln_a + out.ln_b - math.log(12)) < 1e-12
 
 
 def test_antilog(spark):
-    df = spark.createDataFrame([("a", 0.0), ("b", 1.0), ("c", math.log(1)), ("d", math.log(10)), ("e", -10.0)],
-                               "id string, value double")
-    out = [round(r.value, 4) for r in antilog_cols(df, ["value"]).orderBy("id").collect()]
-    assert out == [1.0, 2.7183, 1.0, 10.0, 0.0]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([0.5, -0.5, None])], "i int, v double")
+    back = antilog_cols(df, ["v"]).orderBy("i").collect()
+    assert abs(back[0].v * back[1].v - 1.0) < 1e-12 and back[2].v is None
+    again = log_cols(antilog_cols(df, ["v"], ["w"]), ["w"]).orderBy("i").collect()
+    assert all(r.v is None and r.w is None or abs(r.v - r.w) < 1e-12 for r in again)
 
 
 def test_antilog_empty_name(spark):
-    df = spark.createDataFrame([("a", 0.0)], "id string, value double")
-    with pytest.raises(Exception):
-        antilog_cols(df, [""]).collect()
+    with pytest.raises(ValueError):
+        antilog_cols(spark.range(1), [""])
 
 
 def test_date_stamp(spark):
     import datetime as dt
-    out = date_stamp(_ym(spark), ("year", "month"), "ds")
-    assert [r.ds for r in out.collect()] == [dt.date(2011, 12, 1), dt.date(2010, 1, 1),
-                                             dt.date(2015, 5, 1), None]
+    df = spark.createDataFrame([(1, 2004, 2), (2, 1970, 1), (3, 1999, 0)], "i int, year bigint, month bigint")
+    assert [r.ds for r in date_stamp(df, ("year", "month"), "ds").orderBy("i").collect()] == [
+        dt.date(2004, 2, 1), dt.date(1970, 1, 1), None]
 
 
 def test_date_stamp_null_parts(spark):
@@ -201,12 +201,12 @@ def test_date_stamp_null_parts(spark):
 
 
 def test_split_label(spark):
-    df = spark.createDataFrame([(2011, 12), (2010, 1), (2015, 5), (2015, 2), (2015, 6), (2016, 2), (2012, 0)],
-                               "year bigint, month bigint")
-    out = split_label(df, {"year": 2015, "month": 0}, {"year": 2015, "month": 5},
-                      output_col="train_test_val_indicator")
-    assert dict(out.dtypes)["train_test_val_indicator"] == "int"
-    assert [r.train_test_val_indicator for r in out.collect()] == [0, 0, 1, 1, 2, 2, 0]
+    """Strict on both sides: the two split months themselves are validation."""
+    months = [(1997, 12), (1998, 3), (1998, 4), (1998, 5), (1998, 9), (1998, 10), (1998, 11), (2000, 1)]
+    df = spark.createDataFrame([(i, y, m) for i, (y, m) in enumerate(months)], "i int, year bigint, month bigint")
+    out = split_label(df, {"year": 1998, "month": 4}, {"year": 1998, "month": 10}, output_col="slice")
+    assert dict(out.dtypes)["slice"] == "int"
+    assert [r.slice for r in out.orderBy("i").collect()] == [0, 0, 1, 1, 1, 1, 2, 2]
 
 
 def test_split_label_null_year_is_validation(spark):
@@ -278,7 +278,7 @@ def test_stages_in_ml_pipeline(spark):
 
 
 def test_salted_join_equals_plain_join_under_copies(spark):
-    from almanac.operators import salted_join
+    from almanac.operators import hot_keys, salted_join
     # a third of the big side is one repeated row of a hot key
     big = spark.createDataFrame([("hot", 1)] * 300 + [(f"k{i % 20}", i) for i in range(600)],
                                 "k string, v bigint")
@@ -288,9 +288,7 @@ def test_salted_join_equals_plain_join_under_copies(spark):
         plain = sorted(tuple(r) for r in big.join(small, "k", how).collect())
         salted = sorted(tuple(r) for r in join(big, small, "k", how, salt_buckets=8).collect())
         assert plain == salted
-    per_salt = (big.withColumn("s", F.floor(F.rand(42) * 8)).filter("k = 'hot'")
-                .groupBy("s").count().collect())
-    assert len(per_salt) == 8 and max(r["count"] for r in per_salt) < 100
+    assert {r.k for r in hot_keys(big, ["k"], 0.1).collect()} == {"hot"}
     with pytest.raises(ValueError):
         salted_join(big, small, ["k"], 4, "full")
 
@@ -305,17 +303,33 @@ def test_fill_month_gaps_keeps_rows_without_full_key(spark):
                    ("a", 2000, 3, 3.0), ("b", 2001, 0, 4.0)]
 
 
-def test_distributed_label_index_matches_string_indexer(spark):
+def test_category_index_matches_string_indexer(spark):
+    from pyspark.ml.feature import StringIndexer
     rows = [(f"L{i % 37}",) for i in range(2000)] + [(f"L{i}",) for i in range(37, 60)] + [(None,)]
     df = spark.createDataFrame(rows, "s string").repartition(7)
-    mllib = {r.s: r.s_index for r in category_index(df, "s", method="mllib").collect() if r.s is not None}
+    mllib = StringIndexer(inputCol="s", outputCol="i", handleInvalid="skip").fit(df).transform(df)
+    want = {r.s: r.i for r in mllib.collect()}
     # keep several range partitions so the per-partition offsets are exercised
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        idx = category_index(df, "s", method="distributed")
-        dist = {r.s: r.s_index for r in idx.collect() if r.s is not None}
+        got = {r.s: r.s_index for r in category_index(df, "s").collect()}
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert mllib == dist and sorted(dist.values()) == [float(i) for i in range(60)]
-    auto = {r.s: r.s_index for r in category_index(df, "s").collect() if r.s is not None}
-    assert auto == mllib
+    assert got.pop(None) is None  # a null label has no index
+    assert got == want and sorted(got.values()) == [float(i) for i in range(60)]
+    few = df.filter("s < 'L2'")
+    assert {r.s_index for r in category_index(df.filter("s = 'L5'"), "s", fit_on=few).collect()} == {None}  # unseen
+
+
+def test_checkpoint_folder_is_needed_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+    from almanac.session import ensure_checkpoint_dir
+    set_dirs = []
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: set_dirs[-1] if set_dirs else None,
+                              setCheckpointDir=set_dirs.append)
+    conf = {}
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=conf.get, set=conf.__setitem__))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(session)
+    conf["spark.checkpoint.dir"] = "hdfs:///shared"
+    assert ensure_checkpoint_dir(session) == "hdfs:///shared"

@@ -7,6 +7,7 @@ import os
 import tempfile
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from almanac.plans import group_model, selection
@@ -120,29 +121,44 @@ def test_best_predictions_and_export(spark):
     assert abs(exp[0].sales - math.exp(10.0)) < 1e-6 and abs(exp[0].prediction - math.exp(9.0)) < 1e-6
 
 
-def test_store_sales_paths_agree(spark):
+def test_store_sales_match_a_plain_join(spark):
     from almanac.plans.features import monthly_store_sales
     from almanac.sources.tables import read_table
     li, su, na = (read_table(spark, SF_SMALL, n) for n in ("lineitem", "supplier", "nation"))
-    small = {tuple(r) for r in monthly_store_sales(li, su, na, "R").collect()}
-    large = {tuple(r) for r in monthly_store_sales(li, su, na, "R", broadcast_rows=0).collect()}
-    assert small == large and len(small) > 0
+    got = {tuple(r) for r in monthly_store_sales(li, su, na, "R").collect()}
+    plain = (li.filter("l_returnflag = 'R'").join(su, li.l_suppkey == su.s_suppkey)
+             .join(na, su.s_nationkey == na.n_nationkey)
+             .groupBy("n_name", F.year("l_shipdate"), F.month("l_shipdate")).agg(F.sum("l_quantity")))
+    assert got == {tuple(r) for r in plain.collect()} and len(got) > 0
 
 
-def test_fourier_recovers_seasonal_series(spark):
-    from almanac.plans.fourier import fourier_forecast
+def _waves(mode):
     rows = []
     for year in range(1996, 2001):
         for month in range(1, 13):
             t = (year - CFG.base_year) * 12 + month - 1
-            y = 3.0 + 0.02 * t + 0.2 * math.sin(2 * math.pi * month / 12)
+            line, wave = 3.0 + 0.02 * t, 0.2 * math.sin(2 * math.pi * month / 12)
+            y = line * (1 + wave) if mode == "multiplicative" else line + wave
             rows.append(("A", year, month, y, 0 if year < 1999 else (1 if year == 1999 else 2)))
+    return rows
+
+
+@pytest.mark.parametrize("mode", ["additive", "multiplicative"])
+def test_fourier_recovers_seasonal_series(spark, mode):
+    from almanac.plans.fourier import fit_fourier, score_fourier
+    rows = _waves(mode)
     df = spark.createDataFrame(rows, f"store_id string, year int, month int, sales double, {LABEL} int")
-    space = {"changepoint_prior_scale": ["quniform", "float", 0.01, 0.02, 0.01],
-             "seasonality_prior_scale": ["quniform", "float", 10, 20, 10]}
-    out = fourier_forecast(df, CFG, space=space).collect()
+    space = {"changepoint_prior_scale": ["choice", 0.01, 0.02], "seasonality_prior_scale": ["choice", 10, 20],
+             "seasonality_mode": ["choice", mode]}
+    model = fit_fourier(df, CFG, space=space)
+    assert model.count() == 1
+    out = score_fourier(df, model, CFG).collect()
     assert len(out) == len(rows)
-    assert max(abs(r.FOURIER_prediction - r.sales) for r in out) < 1e-2
+    assert max(abs(r.FOURIER_prediction - r.sales) for r in out) < (1e-2 if mode == "additive" else 6e-2)
+    # rows the model was not fitted with, and a group it does not know
+    later = spark.createDataFrame([("A", 2003, 5, None, 2), ("Z", 2003, 5, None, 2)], df.schema)
+    new = {r.store_id: r.FOURIER_prediction for r in score_fourier(later, model, CFG).collect()}
+    assert new["Z"] is None and abs(new["A"] - (3.0 + 0.02 * ((2003 - CFG.base_year) * 12 + 4))) < 2.0
 
 
 def test_tree_tuning_deterministic(spark):
@@ -217,8 +233,8 @@ def test_daily_path_calendar(spark):
     from almanac.plans.features import daily_monthly, load_long_daily
     long, cal, n = load_long_daily(spark, SF_SMALL, "purchase")
     assert cal.count() == n and long.select("day").distinct().count() == n
-    a = {tuple(r) for r in daily_monthly(long, cal, "user_id", n).collect()}
-    b = {tuple(r) for r in daily_monthly(long, cal, "user_id").collect()}
+    a = {tuple(r) for r in daily_monthly(long, cal, "user_id").collect()}
+    b = {tuple(r) for r in daily_monthly(long, cal, ["user_id"]).collect()}
     assert a == b and len(a) > 0
 
 
@@ -246,7 +262,7 @@ def test_tree_tuning_matches_independent_fits(spark):
                                               "numTrees": ["quniform", "int", 3, 6, 1]})
     frame = runner.prepare(spark, SF_SMALL, cfg).cache()
     _, losses, best = trees.tune_tree(frame, "RF", cfg)
-    usable = frame.filter("features_ok")
+    usable = frame.filter("features_ok AND sales IS NOT NULL")
     train = trees.spread_for_fit(usable.filter(f"{LABEL} = 0"), trees.MIN_FIT_PARTITIONS["RF"])
     valid = usable.filter(f"{LABEL} = 1")
     for cand_id, params, loss in losses:
@@ -278,8 +294,7 @@ def test_unscored_report(spark):
 
 
 def test_store_sales_hot_supplier(spark):
-    """One supplier holds a third of the line items: both physical shapes agree, and the
-    shuffle-join shape aggregates per (supplier, month) before its join."""
+    """One supplier holds a third of the line items: they are summed per (supplier, month) before the join."""
     import datetime as dt
     from almanac.plans.features import monthly_store_sales
     rows = []
@@ -289,14 +304,12 @@ def test_store_sales_hot_supplier(spark):
     li = spark.createDataFrame(rows, "l_suppkey bigint, l_quantity double, l_returnflag string, l_shipdate timestamp_ntz")
     su = spark.createDataFrame([(k, k % 5) for k in range(1, 60)], "s_suppkey bigint, s_nationkey int")
     na = spark.createDataFrame([(k, f"N{k}") for k in range(5)], "n_nationkey int, n_name string")
-    small = monthly_store_sales(li, su, na, "R")
-    large = monthly_store_sales(li, su, na, "R", broadcast_rows=0)
-    assert {tuple(r) for r in small.collect()} == {tuple(r) for r in large.collect()}
-    plan = large._jdf.queryExecution().executedPlan().toString()
+    sales = monthly_store_sales(li, su, na, "R")
+    plan = sales._jdf.queryExecution().executedPlan().toString()
     join_at = min(i for i in (plan.find("SortMergeJoin"), plan.find("BroadcastHashJoin"), plan.find("ShuffledHashJoin")) if i >= 0)
     assert plan.rfind("partial_sum") > join_at   # the pre-aggregation sits below (after, in text) the join
     total = sum(r[1] for r in rows)
-    assert abs(sum(r.sales for r in large.collect()) - total) < 1e-6
+    assert abs(sum(r.sales for r in sales.collect()) - total) < 1e-6
 
 
 def test_daily_path_empty_events(spark):
@@ -306,7 +319,7 @@ def test_daily_path_empty_events(spark):
     long, cal, n = long_daily(spark, events, "purchase")
     assert n == 0 and long.count() == 0 and cal.count() == 0
     assert long.columns == ["user_id", "event_type", "day", "sales"]
-    assert daily_monthly(long, cal, "user_id", n).count() == 0
+    assert daily_monthly(long, cal, "user_id").count() == 0
 
 
 def test_example_config_is_the_default():
@@ -348,26 +361,26 @@ def test_tree_speculative_refit_same_result(spark):
     assert p1 == p2
 
 
-def test_fourier_spark_matches_per_group_brute_force(spark):
-    """The grouped map over all stores equals the same per-group fit run locally per store."""
-    import pandas as pd
+def test_fourier_scoring_matches_the_design_matrix(spark):
+    """Column expressions over the coefficients equal the fit's own matrix product, store by store."""
+    import pandas as pd  # noqa: F401
     from almanac.functions.scalar import month_index
     from almanac.plans import fourier
     from almanac.plans.features import load_monthly_features
-    feats = load_monthly_features(spark, SF_SMALL, CFG)
-    got = {(r.store_id, r.year, r.month): r.FOURIER_prediction
-           for r in fourier.fourier_forecast(feats, CFG).collect()}
-    cands = candidate_grid(fourier.DEFAULT_SPACE, CFG.max_evals, "random", CFG.seed)
-    fn = fourier.make_group_fn(cands, ["store_id"], 5, 3, "FOURIER_prediction")
+    feats = load_monthly_features(spark, SF_SMALL, CFG).cache()
+    got = {(r.store_id, r.year, r.month): r.FOURIER_prediction for r in fourier.fourier_forecast(feats, CFG).collect()}
+    cands = candidate_grid(CFG.hp_space_fourier, CFG.max_evals, "random", CFG.seed)
+    fn = fourier.make_group_fn(cands, ["store_id"], 5, 3)
     pdf = feats.select("store_id", "year", "month", LABEL, F.col("sales").alias("y"),
                        month_index(F.col("year"), F.col("month"), CFG.base_year).alias("t")).toPandas()
-    want = {}
+    assert len(got) == len(pdf) > 0
     for _, g in pdf.groupby("store_id"):
-        out = fn(g.reset_index(drop=True))
-        for r in out.itertuples():
-            want[(r.store_id, r.year, r.month)] = r.FOURIER_prediction
-    assert set(got) == set(want) and len(got) == feats.count()
-    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+        m = fn(g.reset_index(drop=True)).iloc[0]
+        t, mo = g["t"].to_numpy(float), g["month"].to_numpy(float)
+        X = fourier.design(t, mo, np.array(m["changepoints"]), 3, m["season_level"][0] + m["season_level"][1] * t)
+        want = X @ np.array([m["intercept"], m["slope"], *m["deltas"], *m["seasonal"]])
+        for key, w in zip(zip(g["store_id"], g["year"], g["month"]), want):
+            assert abs(got[key] - w) < 1e-9
 
 
 def test_group_forecast_invalid_month_gets_trend_only(spark):
@@ -381,6 +394,128 @@ def test_group_forecast_invalid_month_gets_trend_only(spark):
     assert all(r.TS_prediction is not None for r in out if r.month is not None)
 
 
+def test_null_labels_count_for_nothing(spark):
+    """One observed January among three: its effect is that of one month, not a third of it."""
+    rows = [("A", y, m, None if m == 1 and y in (1996, 1997) else 1.0 + (m == 1), 0 if y < 1999 else 1)
+            for y in range(1996, 2000) for m in range(1, 13)]
+    df = spark.createDataFrame(rows, f"store_id string, year int, month int, sales double, {LABEL} int")
+    winners = spark.createDataFrame([("A", 0, 1e6, 0.0)], "store_id string, cand_id int, seasonality_prior_scale double, loss double")
+    row = group_model.fit_group_model(df, winners, max_label=0).first()
+    t = (1998 - CFG.base_year) * 12
+    assert abs(row.effects[0] - (2.0 - (row.intercept + row.slope * t))) < 1e-6
+
+
+def _with_zero_months(spark):
+    from almanac.plans.features import monthly_features, monthly_store_sales
+    from almanac.sources.tables import read_table
+    li, su, na = (read_table(spark, SF_SMALL, n) for n in ("lineitem", "supplier", "nation"))
+    monthly = monthly_store_sales(li, su, na, "R")
+    return monthly.withColumn("sales", F.when((F.col("year") == 1998) & (F.col("month") == 3), 0.0).otherwise(F.col("sales")))
+
+
+SMALL_TREES = {"hp_space_rf": {"maxDepth": ["choice", 3], "numTrees": ["choice", 3]},
+               "hp_space_gbt": {"maxDepth": ["choice", 2], "maxIter": ["choice", 3]}}
+
+
+@pytest.mark.parametrize("calendar", [False, True])
+def test_zero_sales_months_fit_every_model(spark, calendar):
+    from almanac.plans import runner
+    from almanac.plans.features import monthly_features
+    cfg = RunConfig(max_evals=1, calendar_lags=calendar, **SMALL_TREES)
+    feats = monthly_features(_with_zero_months(spark), cfg)
+    assert feats.filter("sales IS NULL").count() > 0
+    res = runner.run(spark, None, cfg, features=feats, allow_unscored=True)
+    assert res["losses"].count() == 12 and res["scored"].count() == feats.count()
+
+
+def test_forest_does_not_depend_on_cores(tmp_path):
+    """The same candidate on the same data: equal losses under local[2] and local[4]."""
+    import subprocess
+    import sys
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from almanac.session import get_session\n"
+        "from almanac.plans import runner, trees\n"
+        "from almanac.sources.config import RunConfig\n"
+        "spark = get_session(sys.argv[1], 4)\n"
+        "cfg = RunConfig(max_evals=1, hp_space_rf={'maxDepth': ['choice', 6], 'numTrees': ['choice', 6]})\n"
+        "print('LOSS', trees.tune_tree(runner.prepare(spark, %r, cfg), 'RF', cfg)[1])\n"
+    ) % (os.path.dirname(os.path.dirname(os.path.abspath(__file__))), SF_SMALL)
+    out = [subprocess.run([sys.executable, "-c", code, master], capture_output=True, text=True, timeout=300).stdout
+           for master in ("local[2]", "local[4]")]
+    assert "LOSS" in out[0] and out[0] == out[1]
+
+
+def test_cutoff_scores_every_row_with_fourier(spark):
+    from almanac.plans import runner
+    frame = runner.prepare(spark, SF_SMALL, CFG, vectors=False)
+    cut = dict(runner.fit_all(frame, ("FOURIER",), CFG, cutoff={"year": 1999, "month": 6}))["FOURIER"](frame)
+    assert cut.filter(f"{LABEL} = 2 AND FOURIER_prediction IS NULL").count() == 0 < cut.count() == frame.count()
+
+
+def test_partial_model_does_not_win(spark):
+    sc = _scored(spark).withColumn("A_prediction", F.when(F.col("month") == 7, F.col("sales")))
+    losses = selection.model_losses(sc, ["A", "B"])
+    rows = {(r.model_name, r.split): r for r in losses.collect()}
+    assert rows[("A", "test")].scored_rows == 1 and rows[("A", "test")].unscored_rows == 4
+    assert rows[("A", "test")].loss == 0.0 and rows[("B", "test")].loss == 10.0  # both on the one common row
+    assert selection.best_model(losses).first().model_name == "B"
+
+
+def test_empty_slice_raises(spark):
+    losses = selection.model_losses(_scored(spark).filter(f"{LABEL} = 0"), ["A", "B"])
+    with pytest.raises(Exception, match="no row of the test slice"):
+        selection.best_model(losses).collect()
+
+
+def test_unscored_winner_raises(spark):
+    from almanac.plans import runner
+    from almanac.plans.features import load_monthly_features
+    feats = load_monthly_features(spark, SF_SMALL, CFG).withColumn(
+        "lag_sales_1", F.when((F.col(LABEL) < 2) | (F.col("month") > 3), F.col("lag_sales_1")))
+    with pytest.raises(ValueError, match="without a forecast"):
+        runner.run(spark, None, CFG, models=("LAST_MONTH",), features=feats)
+    assert runner.run(spark, None, CFG, models=("LAST_MONTH",), features=feats, allow_unscored=True)["forecasts"].count() > 0
+
+
+def test_wide_tables_with_two_keys(spark, tmp_path):
+    """CSV in, forecasts out: wide daily table and calendar, keys (shop, line)."""
+    from almanac.plans import runner
+    from almanac.plans.features import load_wide_features
+    import datetime as dt
+    days = [dt.date(1997, 1, 1) + dt.timedelta(k) for k in range(4 * 365)]
+    with open(tmp_path / "wide.csv", "w") as f:
+        f.write("shop,line,note," + ",".join(f"d_{k + 1}" for k in range(len(days))) + "\n")
+        for shop in ("x", "y"):
+            for line in ("p", "q"):
+                f.write(f"{shop},{line},n," + ",".join(str(2 + (d.month + len(shop + line)) % 5) for d in days) + "\n")
+    (tmp_path / "cal.csv").write_text("d,date\n" + "".join(f"d_{k + 1},{d}\n" for k, d in enumerate(days)))
+    cfg = RunConfig(keys=("shop", "line"), lags=(1, 2, 12), train_before=(1999, 7), test_after=(2000, 3), max_evals=1, **SMALL_TREES)
+    feats = load_wide_features(spark, str(tmp_path / "wide.csv"), str(tmp_path / "cal.csv"), cfg, where="line = 'p'")
+    assert feats.select("shop", "line").distinct().count() == 2 and feats.count() == 2 * 36
+    first = feats.orderBy("shop", "year", "month").first()
+    assert abs(first.sales - math.log(31 * (2 + (1 + 2) % 5))) < 1e-9
+    res = runner.run(spark, None, cfg, features=feats, out_path=str(tmp_path / "out"))
+    assert res["forecasts"].columns[:4] == ["shop", "line", "year", "month"] and res["forecasts"].count() == 18
+
+
+def test_pipeline_fits_and_selects(spark):
+    from pyspark.ml import Pipeline
+    from almanac.plans import runner
+    from almanac.stages import FitModels, SelectBest, Stage
+    feats = runner.prepare(spark, SF_SMALL, CFG, vectors=False)
+    fitted = Pipeline(stages=[Stage(lambda df: df.filter("month > 0")), FitModels(), SelectBest(split="validation")]).fit(feats)
+    out = fitted.transform(feats)
+    assert out.count() == feats.count() and out.select("model_name").distinct().count() == 1
+    assert fitted.stages[-1].losses.count() == 9
+
+
+def test_candidates_of_a_huge_space():
+    space = {f"p{i}": ["quniform", "float", 0, 1, 0.001] for i in range(12)}
+    picks = candidate_grid(space, 5, "random", 3)
+    assert len(picks) == 5 and all(set(p) == set(space) for p in picks)
+
+
 def test_zero_prior_scale_means_no_month_effect(spark):
     cands = [{"seasonality_prior_scale": 0.0}]
     losses = group_model.tune_group_losses(_series(spark), cands, ["store_id"], CFG)
