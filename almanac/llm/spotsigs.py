@@ -1,10 +1,11 @@
 """SpotSigs document fingerprints, in DataFrame functions only.
 
 A text is lower-cased and cut into words. Common words (articles, conjunctions, prepositions of several
-languages) are anchors; each run of anchors spots the two content words that follow, and the distinct
-spots, hashed to 32 bits, are the text's signature set. Its sorted list is the fingerprint. Texts with
-few spots for their length (tables, lists, other scripts) use all pairs of neighbouring words instead;
-a text of one word, or without words, is its own signature.
+languages) are anchors; each run of anchors spots the two content words that follow. Passages without
+anchors (tables, lists, other scripts) are covered by a fixed eighth of all pairs of neighbouring words,
+chosen by the pair's own hash, and short texts by all their pairs. Every rule looks at a few words only,
+so an edit changes the signatures near it and no others. The distinct signatures, hashed to 32 bits, are
+the text's set; its sorted list is the fingerprint. A text without pairs is its own signature.
 
 Likeness is the Jaccard similarity of two sets. Sets whose sizes alone keep it under the wanted floor
 are pruned without being compared; the join of similar documents uses the same bound to partition
@@ -29,27 +30,30 @@ ANCHORS = ("the of and to in a is that it for on was be with as at by this are o
            "le la les de et un une des en que est pour dans qui du "
            "el los y se por con las lo es").split()
 ANCHOR_RUN = "(?: (?:" + "|".join(ANCHORS) + "))+ "
-#: Spots are used if there is at least one for this many words.
-WORDS_PER_SPOT = 32
+#: Texts with fewer words use all their word pairs.
+FEW_WORDS = 64
+#: Last hash digits of the word pairs that are used in longer texts: an eighth.
+CHOSEN = ("0", "8")
 WORD_BREAKS = r"[^\p{L}\p{N}]+"
 
 
-def _hashes(grams: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.transform(grams, lambda x: F.substring(F.md5(F.translate(x, "~", "")), 1, 8))))
+def _hash(x: Column) -> Column:
+    return F.substring(F.md5(x), 1, 8)
 
 
 def with_signatures(df: DataFrame, text: str, out: str) -> DataFrame:
     """Adds ``out``: the sorted distinct signatures (8 hex digits each) of the text column."""
     t = F.coalesce(F.col(text), F.lit(""))
     df = df.withColumn("__w", F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(t), WORD_BREAKS, " ")), F.lit(" ")))
-    df = df.withColumn("__s", F.regexp_extract_all(
-        F.regexp_replace("__w", ANCHOR_RUN, " ~"), F.lit("~(?=([^ ~]+ ~?[^ ~]+))"), F.lit(1)))
-    n_words = F.length("__w") - F.length(F.translate("__w", " ", "")) - 1
-    few = F.size("__s") * WORDS_PER_SPOT < n_words
-    df = df.withColumn("__s", F.when(few, F.regexp_extract_all("__w", F.lit(" (?=([^ ]+ [^ ]+))"), F.lit(1)))
-                       .otherwise(F.col("__s")))
-    whole = F.when(F.length(t) > 0, F.array(F.substring(F.md5(t), 1, 8))).otherwise(F.array().cast("array<string>"))
-    return df.withColumn(out, F.when(F.size("__s") > 0, _hashes(F.col("__s"))).otherwise(whole)).drop("__w", "__s")
+    spots = F.regexp_extract_all(F.regexp_replace("__w", ANCHOR_RUN, " ~"), F.lit("~(?=([^ ~]+ ~?[^ ~]+))"), F.lit(1))
+    pairs = F.transform(F.regexp_extract_all("__w", F.lit(" (?=([^ ]+ [^ ]+))"), F.lit(1)), _hash)
+    df = df.withColumn("__p", pairs)
+    chosen = F.when(F.size("__p") < FEW_WORDS - 1, F.col("__p")).otherwise(
+        F.filter("__p", lambda h: F.substring(h, 8, 1).isin(*CHOSEN)))
+    df = df.withColumn("__s", F.concat(F.transform(spots, lambda x: _hash(F.translate(x, "~", ""))), chosen))
+    whole = F.when(F.length(t) > 0, F.array(_hash(t))).otherwise(F.array().cast("array<string>"))
+    return df.withColumn(out, F.when(F.size("__s") > 0, F.array_sort(F.array_distinct("__s"))).otherwise(whole)).drop(
+        "__w", "__p", "__s")
 
 
 def fingerprint(signatures: str) -> Column:
@@ -152,11 +156,13 @@ def similar(docs: DataFrame, threshold: float = 0.75, *, key: str = "doc_id", te
 def _sql_signatures(t: str) -> str:
     """The same signature set in DuckDB SQL, for the text expression ``t``."""
     run = ANCHOR_RUN.replace("'", "''")
-    return f"""(SELECT CASE WHEN len(g) > 0 THEN list_sort(list_distinct(list_transform(g, lambda x: substr(md5(x), 1, 8))))
+    chosen = ", ".join(f"'{d}'" for d in CHOSEN)
+    return f"""(SELECT CASE WHEN len(g) > 0 THEN list_sort(list_distinct(g))
                 WHEN length({t}) > 0 THEN [substr(md5({t}), 1, 8)] ELSE [] END
-        FROM (SELECT CASE WHEN len(spots) * {WORDS_PER_SPOT} < len(w) THEN
-                          list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE spots END AS g
-              FROM (SELECT w, list_transform(list_filter(range(1, len(s)), lambda i: s[i][1] = '~' AND length(s[i]) > 1
+        FROM (SELECT list_transform(spots, lambda x: substr(md5(x), 1, 8)) || CASE WHEN len(pairs) < {FEW_WORDS - 1} THEN pairs
+                     ELSE list_filter(pairs, lambda h: substr(h, 8, 1) IN ({chosen})) END AS g
+              FROM (SELECT list_transform(range(1, len(w)), lambda i: substr(md5(w[i] || ' ' || w[i + 1]), 1, 8)) AS pairs,
+                           list_transform(list_filter(range(1, len(s)), lambda i: s[i][1] = '~' AND length(s[i]) > 1
                                   AND s[i + 1] <> '~'), lambda i: replace(s[i] || ' ' || s[i + 1], '~', '')) AS spots
                     FROM (SELECT string_split(trim(v), ' ') AS w, string_split(trim(
                                      regexp_replace(v, '{run}', ' ~', 'g')), ' ') AS s

@@ -129,12 +129,11 @@ def test_similar_documents(spark):
     for i in range(60):
         if i % 3 == 0:
             base = [w for _ in range(40) for w in ("the", rng.choice(vocab), rng.choice(vocab))]
-        words = [rng.choice(vocab) if w != "the" and rng.random() < (0.03 if i % 3 else 0) else w for w in base]
-        docs.append((i, " ".join(words)))
-        content = [w for w in words if w != "the"]
-        sets[i] = {(content[k], content[k + 1]) for k in range(0, len(content), 2)}
+        docs.append((i, " ".join(rng.choice(vocab) if w != "the" and rng.random() < (0.03 if i % 3 else 0) else w for w in base)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    sets = {r["doc_id"]: set(r["sig"]) for r in spotsigs.with_signatures(frame, "text", "sig").collect()}
     want = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.6 * len(sets[a] | sets[b])}
-    got = spotsigs.similar(spark.createDataFrame(docs, "doc_id long, text string"), 0.6).collect()
+    got = spotsigs.similar(frame, 0.6).collect()
     found = {(min(r["a"], r["b"]), max(r["a"], r["b"])) for r in got}
     same = {frozenset(s): min(i for i in sets if sets[i] == s) for s in sets.values()}
     assert found == {(a, b) for a, b in want if same[frozenset(sets[a])] == a and same[frozenset(sets[b])] == b and sets[a] != sets[b]}
