@@ -49,15 +49,19 @@ SCOPES = frozenset("ul ol dl table html body div article section td th".split())
 NOISE_TAGS = frozenset("nav aside footer form button dialog menu object canvas audio video head".split())
 #: Words in class, id or role that mark boilerplate containers.
 NOISE_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments "
-    "commentlist complementary consent contentinfo cookie cookies copyright disqus footer gdpr header masthead menu "
-    "modal nav navbar navigation navigationbar newsletter notice notification outbrain pager pagination popup promo "
-    "promoted promotion related respond responses search share sharing sidebar sidebars signup skip social sponsor "
-    "sponsored subscribe taboola toolbar topbar widget widgets".split())
+    "ad ads advert adverts advertisement advertising adsense alert banner breadcrumb breadcrumbs comment comments "
+    "commentlist complementary consent contentinfo cookie cookies copyright disclaimer discussion disqus footer gdpr "
+    "header login masthead menu modal nav navbar navigation newsletter notice notices notification outbrain overlay "
+    "pager pagination paywall popup promo promoted promotion rail recommended recommendations related replies respond "
+    "responses search share sharing sidebar sidebars signin signup skip social sponsor sponsored subscribe taboola toast "
+    "toolbar topbar trending widget widgets".split())
 NEVER_NOISE = frozenset("html body main article".split())
 _WORD = re.compile(r"[a-z]+")
 #: Blocks beside the chosen subtree that are kept when dense enough; headings always are.
 HEADINGS = frozenset("h1 h2 h3".split())
+#: Elements that are a menu when most of their text is links, and those a lone cell or item belongs to.
+MENU_TAGS = frozenset("ul ol dl div section table tbody tr td".split())
+LISTS = frozenset("ul ol dl table tbody thead tfoot tr".split())
 ASIDE_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote ul ol dl table article section figure".split())
 
 
@@ -180,8 +184,8 @@ class _Page:
                 self.pieces.append((stack[-1], block, " "))
 
 
-def densities(page: _Page) -> tuple[list[float], list[float]]:
-    """Composite density and density sum of every node; boilerplate nodes have none."""
+def densities(page: _Page) -> tuple[list[float], list[float], list[bool]]:
+    """Composite density and density sum of every node (boilerplate has none), and which nodes are link lists."""
     n = len(page.tag)
     chars, link_chars = list(page.chars), list(page.link_chars)
     tags, link_tags = [0] * n, [0] * n
@@ -204,7 +208,8 @@ def densities(page: _Page) -> tuple[list[float], list[float]]:
         density[i] = c / t * math.log(max(c / lc * t / lt, 1.0) + 1.0) / math.log(base + 1.0)
         if i and page.tag[i] not in INLINE:
             total[page.parent[i]] += density[i]
-    return density, total
+    menus = [page.tag[i] in MENU_TAGS and link_tags[i] >= 3 and link_chars[i] > 0.6 * chars[i] for i in range(n)]
+    return density, total, menus
 
 
 def extract(source: str | None) -> str:
@@ -213,7 +218,7 @@ def extract(source: str | None) -> str:
         return ""
     page = _Page(source)
     n = len(page.tag)
-    density, total = densities(page)
+    density, total, menus = densities(page)
     blocks = [i for i in range(n) if density[i] > 0 and page.tag[i] not in INLINE]
     if not blocks:
         return ""
@@ -229,15 +234,19 @@ def extract(source: str | None) -> str:
     article = next((i for i in path if page.tag[i] == "main"), None) if article is None else article
     chosen = {best if article is None else article}
     if article is None:
-        # rows, items and paragraphs stand beside others of their kind: take their container
-        if page.tag[best] not in ("div", "section", "body", "#root", "html") and page.parent[best] > 0:
-            chosen = {page.parent[best]}
+        # a lone paragraph, item or cell stands beside others of its kind: take their container
+        core = best
+        if not total[best] and page.tag[best] not in ("div", "section", "body"):
+            core = page.parent[best] or best
+            while page.tag[core] in LISTS and page.parent[core] > 0:
+                core = page.parent[core]
+        chosen = {core}
         on_path = set(path)
         chosen |= {i for i in range(1, n) if page.parent[i] in on_path and i not in on_path and not page.noise[i]
                    and (page.tag[i] in HEADINGS or page.tag[i] in ASIDE_TAGS and density[i] >= threshold > 0)}
     kept = [False] * n
     for i in range(n):
-        kept[i] = not page.noise[i] and (i in chosen or (i > 0 and kept[page.parent[i]]))
+        kept[i] = not page.noise[i] and not menus[i] and (i in chosen or (i > 0 and kept[page.parent[i]]))
     out, current, parts = [], None, []
     for node, block, text in page.pieces:
         if not kept[node]:
