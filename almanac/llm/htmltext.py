@@ -237,9 +237,9 @@ def extract(source: str | None) -> str:
         # a lone paragraph, item or cell stands beside others of its kind: take their container
         core = best
         if not total[best] and page.tag[best] not in ("div", "section", "body"):
-            core = page.parent[best] or best
-            while page.tag[core] in LISTS and page.parent[core] > 0:
-                core = page.parent[core]
+            core = max(page.parent[best], 0) or best
+        while page.tag[core] in LISTS and page.parent[core] > 0:
+            core = page.parent[core]
         chosen = {core}
         on_path = set(path)
         chosen |= {i for i in range(1, n) if page.parent[i] in on_path and i not in on_path and not page.noise[i]
