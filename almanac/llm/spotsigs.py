@@ -29,7 +29,8 @@ ANCHORS = ("the of and to in a is that it for on was be with as at by this are o
            "der die das und ist ein eine zu den von mit im dem auf "
            "le la les de et un une des en que est pour dans qui du "
            "el los y se por con las lo es").split()
-ANCHOR_RUN = "(?: (?:" + "|".join(ANCHORS) + "))+ "
+#: An anchor word with the blank before it; marks take its place.
+ANCHOR = " (?:" + "|".join(ANCHORS) + ")(?= )"
 #: Texts with fewer words use all their word pairs.
 FEW_WORDS = 64
 #: Last hash digits of the word pairs that are used in longer texts: an eighth.
@@ -45,7 +46,9 @@ def with_signatures(df: DataFrame, text: str, out: str) -> DataFrame:
     """Adds ``out``: the sorted distinct signatures (8 hex digits each) of the text column."""
     t = F.coalesce(F.col(text), F.lit(""))
     df = df.withColumn("__w", F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(t), WORD_BREAKS, " ")), F.lit(" ")))
-    spots = F.regexp_extract_all(F.regexp_replace("__w", ANCHOR_RUN, " ~"), F.lit("~(?=([^ ~]+ ~?[^ ~]+))"), F.lit(1))
+    # anchors become marks one by one (a pattern of repeated groups would recurse once an anchor), then runs join
+    marked = F.regexp_replace(F.regexp_replace("__w", ANCHOR, "~"), "~+ ", " ~")
+    spots = F.regexp_extract_all(marked, F.lit("~(?=([^ ~]+ ~?[^ ~]+))"), F.lit(1))
     pairs = F.transform(F.regexp_extract_all("__w", F.lit(" (?=([^ ]+ [^ ]+))"), F.lit(1)), _hash)
     df = df.withColumn("__p", pairs)
     chosen = F.when(F.size("__p") < FEW_WORDS - 1, F.col("__p")).otherwise(
@@ -155,7 +158,7 @@ def similar(docs: DataFrame, threshold: float = 0.75, *, key: str = "doc_id", te
 
 def _sql_signatures(t: str) -> str:
     """The same signature set in DuckDB SQL, for the text expression ``t``."""
-    run = ANCHOR_RUN.replace("'", "''")
+    run = "(?: (?:" + "|".join(ANCHORS) + "))+ "
     chosen = ", ".join(f"'{d}'" for d in CHOSEN)
     return f"""(SELECT CASE WHEN len(g) > 0 THEN list_sort(list_distinct(g))
                 WHEN length({t}) > 0 THEN [substr(md5({t}), 1, 8)] ELSE [] END

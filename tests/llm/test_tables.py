@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from almanac.llm import license, mixing, spotsigs, urltree
 from almanac.llm.queries import QUERIES, SQL
 
-TEXTS = ["The cat of the house is on a mat and it was not to be found for the dog", "the of and to in a is",
+TEXTS = ["the " * 60_000, "of cat the the " * 20_000 + "the", "| " * 40_000, "The cat of the house is on a mat and it was not to be found for the dog", "the of and to in a is",
          "one", "", "!!!", "a | b | c | d", "Über die Häuser und den Wald ging der Mann mit dem Hund im Regen",
          "Mail me: a.b@c.org for the thing", "x " * 5000, "the cat " * 3000, "All rights reserved.\nthe end of it",
          "The cat of the house is on a mat and it was not to be found for the cat", "日本語 テキスト", "un deux trois le quatre"]
