@@ -32,8 +32,8 @@ POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.8}
 KEEP = 0.5
 SEED = "mix-1"
 #: A text's topic is the first whose pattern it holds; else ``prose``. Patterns work alike in Java and RE2.
-TOPICS = (("legal", r"(?i)licen[cs]ed? under|all rights reserved|released under"),
-          ("contact", r"[A-Za-z0-9._-]+@[A-Za-z0-9-]+\.[A-Za-z]"),
+TOPICS = (("legal", r"[Ll]icen[cs]ed? under|[Aa]ll rights reserved|[Rr]eleased under"),
+          ("contact", r"@[A-Za-z0-9-]+\.[A-Za-z]"),
           ("tabular", r" \| [^|]+ \| "))
 
 
@@ -110,19 +110,32 @@ def draw(key: str, text: str, seed: str = SEED) -> Column:
     return F.conv(F.substring(F.md5(F.concat(name, F.lit(":" + seed))), 1, 12), 16, 10).cast("double") / float(1 << 48)
 
 
-def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", keep: float = KEEP,
-        targets: Mapping[str, Mapping[str, float]] | None = None, powers: Mapping[str, float] = POWERS) -> DataFrame:
-    """The sampled rows of ``docs`` with ``topic``, ``tokens`` and ``rate`` appended (as ``mix_*`` columns)."""
-    rows = docs.withColumn("mix_topic", topic(text)).withColumn("mix_tokens", tokens(text))
-    named = rows.select(F.col("source"), F.col("lang"), F.col("mix_topic").alias("topic"), "mix_tokens")
+def measure(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Adds what mixing needs of a row: ``mix_topic``, ``mix_tokens`` and ``mix_draw``."""
+    return docs.withColumns({"mix_topic": topic(text), "mix_tokens": tokens(text), "mix_draw": draw(key, text)})
+
+
+def sample(measured: DataFrame, keep: float = KEEP, targets: Mapping[str, Mapping[str, float]] | None = None,
+           powers: Mapping[str, float] = POWERS) -> DataFrame:
+    """The rows of a measured table that are drawn, with their ``mix_rate``.
+
+    ``measured`` is read twice (cells, draw), so a narrow table of it is best written first.
+    """
+    named = measured.select(F.col("source"), F.col("lang"), F.col("mix_topic").alias("topic"), "mix_tokens")
     table = materialise(cells(named, "mix_tokens"), "cells")
     rated = materialise(rates(rake(table, targets, powers), keep), "rates").select(
         F.col("source").alias("__s"), F.col("lang").alias("__l"), F.col("topic").alias("__t"), F.col("rate").alias("mix_rate"))
     # one row a cell: Spark broadcasts it while its size allows, else a splittable equi-join by cell
-    joined = rows.withColumn("mix_draw", draw(key, text)).join(
+    joined = measured.join(
         rated, F.col("source").eqNullSafe(F.col("__s")) & F.col("lang").eqNullSafe(F.col("__l"))
         & (F.col("mix_topic") == F.col("__t")))
-    return joined.filter("mix_draw < mix_rate").drop("__s", "__l", "__t", "mix_draw")
+    return joined.filter("mix_draw < mix_rate").drop("__s", "__l", "__t")
+
+
+def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", keep: float = KEEP,
+        targets: Mapping[str, Mapping[str, float]] | None = None, powers: Mapping[str, float] = POWERS) -> DataFrame:
+    """The sampled rows of ``docs``, all their columns, with ``mix_topic``, ``mix_tokens`` and ``mix_rate``."""
+    return sample(measure(docs, key, text), keep, targets, powers).drop("mix_draw")
 
 
 def oracle_sql(keep: float = KEEP) -> str:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.llm import ann, htmltext, jaccard, langid, license, mixing, pieces, spotsigs, urltree, warc
-from almanac.llm.util import table
+from almanac.llm.util import materialise, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -51,9 +51,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_source_mix", mixing.oracle_sql())
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the corpus's tokens, drawn with rates raked to source, language and topic targets."""
-    drawn = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
-    return drawn.select("doc_id", "source", "lang", F.col("mix_topic").alias("topic"),
-                        F.col("mix_tokens").alias("tokens"), F.round("mix_rate", 9).alias("rate"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    narrow = materialise(mixing.measure(docs).drop("text"), "measured")
+    return mixing.sample(narrow).select("doc_id", "source", "lang", F.col("mix_topic").alias("topic"),
+                                        F.col("mix_tokens").alias("tokens"), F.round("mix_rate", 9).alias("rate"))
 
 
 # -------------------------------------------------------------------------------- 3 licence scan
