@@ -13,7 +13,8 @@ entry of the index with the ids they stand for (the ``top + 1`` smallest suffice
 and query sets are cut into blocks of bounded size, so a list with a third of all rows is many tasks.
 
 Defined results: null, zero or non-finite vectors, and those whose length is not the most frequent one,
-take no part; with fewer candidates than ``top`` all are returned; an empty table gives no rows.
+take no part; of rows repeated under one id the least vector counts; with fewer candidates than ``top``
+all are returned; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -155,7 +156,7 @@ def search(rows: DataFrame, is_query: Column, *, key: str = "vec_id", vector: st
     if not lengths:
         return spark.createDataFrame([], out_schema)
     dims = lengths[0]["d"]
-    good = good.filter(F.size("x") == dims).dropDuplicates(["id"])
+    good = good.filter(F.size("x") == dims).groupBy("id").agg(F.min("x").alias("x"), F.max("asks").alias("asks"))
     # one entry a distinct vector, with the smallest ids it stands for
     entries = materialise(good.groupBy("x").agg(F.min("id").alias("e"), F.max("asks").alias("asks")), "entries")
     firsts = good.withColumn("r", F.row_number().over(Window.partitionBy("x").orderBy("id"))).filter(F.col("r") <= top + 1)
