@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from almanac.llm.components import connected_components
 from almanac.llm.shingles import sets_of
-from almanac.llm.util import materialise
+from almanac.llm.util import materialise, slices
 
 ORDER_BITS = 20
 _BLOCK = 1 << 14
@@ -49,7 +49,7 @@ def shingle_frequencies(docs: DataFrame, text: str, k: int) -> tuple[np.ndarray,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << ORDER_BITS, dtype=np.int64)
         shift = np.uint64(64 - ORDER_BITS)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             found = [s for s in sets_of(batch.column(0), k) if len(s)]
             if found:
                 counts += np.bincount((np.concatenate(found) >> shift).astype(np.int64), minlength=len(counts))
@@ -96,7 +96,7 @@ def _profiles(docs: DataFrame, key: str, text: str, k: int, percent: int, ranks)
         def digest(x: bytes) -> bytes:
             return hashlib.blake2b(x, digest_size=16).digest()
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             sizes, digests, groups, prefixes = [], [], [], []
             for s in sets_of(batch.column(1), k):
                 p = prefix_of(s, order, percent).tobytes() if len(s) else b""
@@ -116,7 +116,7 @@ def _tokens(groups: DataFrame, hot: list[int]) -> DataFrame:
     """One row a prefix shingle of a group: ``s, p, salt, gid, n, classes``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             raw = batch.column(3)
             sizes = np.fromiter((len(x.as_py()) // 8 for x in raw), np.int64, len(raw))
             if not sizes.sum():
@@ -178,9 +178,8 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        # compressed texts: a MB of them makes several of text and shingles
+        for batch in (part for whole in batches for part in slices(whole, 1 << 20)):
             a, b = (pa.array([unpack.decompress(x.as_py()) for x in batch.column(i)], pa.large_binary())
                     .cast(pa.large_string()) for i in (2, 3))
             ok = []
@@ -229,7 +228,7 @@ def _packed_texts(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> Da
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             keep = pa.array(seen.value[np.asarray(batch.column(2))])
             ids, texts = batch.column(0).filter(keep), batch.column(1).filter(keep)
             z = [squeeze.compress((x.as_py() or "").encode()) for x in texts]

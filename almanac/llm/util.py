@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,3 +30,10 @@ def materialise(df: DataFrame, what: str) -> DataFrame:
     path = shared_folder(spark, what)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def slices(batch, max_bytes: int = 4 << 20) -> Iterator:
+    """An Arrow batch in slices of a few MB (at least one row), so that what a task makes of it stays small."""
+    rows = max(1, int(batch.num_rows * max_bytes / max(batch.nbytes, 1)))
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
