@@ -104,7 +104,7 @@ def op6_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -------------------------------------------------------------------------------- 7 N-gram Jaccard join
 
-@register("op7_jaccard_join")
+@register("op7_jaccard_join", jaccard.oracle_sql())
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets have a Jaccard similarity of 0.75 or more."""
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
