@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from almanac.llm.components import connected_components
 from almanac.llm.shingles import sets_of
-from almanac.llm.util import materialise, slices
+from almanac.llm.util import materialise, slices, small_batches
 
 ORDER_BITS = 20
 _BLOCK = 1 << 14
@@ -243,6 +243,7 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
                        percent: int = 75, linear_rounds: int = 2) -> DataFrame:
     """``key, n_shingles, component_id`` for every row of ``docs``."""
     spark = docs.sparkSession
+    small_batches(spark)
     named = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     counts, total = shingle_frequencies(named, "text", k)
     ranks = np.empty(len(counts), dtype=np.int32)  # one place a bucket, by count then number

@@ -37,3 +37,17 @@ def slices(batch, max_bytes: int = 4 << 20) -> Iterator:
     rows = max(1, int(batch.num_rows * max_bytes / max(batch.nbytes, 1)))
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
+
+
+#: Rows of text an Arrow batch should hold; Spark's own default is meant for narrow rows.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches from Spark's default to ``BATCH_ROWS``; a value set by the cluster stays.
+
+    A batch is held off the heap by the JVM and again by the Python worker, for every running task.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
