@@ -111,14 +111,17 @@ def similarity(word_col: str, templates: tuple[str, ...]) -> Column:
 def train(docs: DataFrame, *, key: str = "doc_id", text: str = "text", templates: dict[str, tuple[str, ...]] = TEMPLATES,
           sample_docs: int = 400, sample_lines: int = 3000, copies: int = 24, seed: int = 3) -> LicenceModel:
     spark: SparkSession = docs.sparkSession
-    some = docs.select(F.col(key).alias("id"), F.col(text).alias("t")).filter("t IS NOT NULL").orderBy(
-        F.xxhash64("id", "t"), "id").limit(sample_docs)
+    # the smallest hashes are found on ids alone; only the documents that have them are then read
+    named = docs.select(F.col(key).alias("id"), F.col(text).alias("t")).filter("id IS NOT NULL")
+    pick = F.xxhash64("id", F.lit(seed))
+    last = named.select(pick.alias("h")).orderBy("h").limit(sample_docs).agg(F.max("h")).first()[0]
+    some = named.filter(pick <= F.lit(last)) if last is not None else named.limit(0)
     lines = paragraphs(some, "id", "t").withColumn("words", words("line"))
     close = F.greatest(*[similarity("words", t) for t in templates.values()])
     clean = lines.filter(close < 0.5).orderBy(F.xxhash64("line", "id", "paragraph")).limit(sample_lines).select("line")
     negative = [r["line"] for r in clean.collect()]  # at most sample_lines rows
     around = sorted({w for x in negative[:300] for w in x.split()[:20]}) or ["text"]
-    rows = _variants(templates, around, copies, seed) + [(UNKNOWN, x) for x in negative] + [(UNKNOWN, "")]
+    rows = _variants(templates, around, copies, seed) + [(UNKNOWN, x) for x in negative] + [(UNKNOWN, "")] * 8
     families = sorted(templates) + [UNKNOWN]
     data = spark.createDataFrame([(float(families.index(f)), x, i) for i, (f, x) in enumerate(rows)],
                                  "label double, line string, i long").coalesce(1)
