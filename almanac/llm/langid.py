@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from almanac.llm.util import slices, small_batches
+
 UNDETERMINED = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -182,7 +184,7 @@ def _probabilities(model: GruModel, seq: np.ndarray) -> np.ndarray:
     return total
 
 
-def predict(model: GruModel | None, texts: list[str | None], tile: int = 4096) -> tuple[list[str], list[float]]:
+def predict(model: GruModel | None, texts: list[str | None], tile: int = 2048) -> tuple[list[str], list[float]]:
     """Language and score of each whole text."""
     out_lang, out_score = [UNDETERMINED] * len(texts), [0.0] * len(texts)
     if model is None or not model.langs:
@@ -232,20 +234,29 @@ def fit(docs: DataFrame, usable: Column, *, key: str = "doc_id", text: str = "te
     """Train on at most ``per_lang`` documents of each of the ``max_langs`` most frequent languages.
 
     The sample holds the documents of smallest key hash; each gives ``span`` characters from a place
-    its hash picks. Spark cuts every partition to ``per_lang`` rows a language before the shuffle.
+    its hash picks. Rows with a null key are not sampled.
     """
     pick = F.xxhash64(F.col(key).cast("string"), F.lit(11))
     start = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(13)),
                    F.greatest(F.length(text) - F.lit(span), F.lit(1)).cast("long")).cast("int") + 1
-    rows = docs.filter(usable & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
-        F.col(lang).cast("string").alias("lang"), F.substring(F.col(text), start, F.lit(span)).alias("text"),
-        pick.alias("pick"), F.col(key).alias("key"))
-    known = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()]
+    labelled = docs.filter(usable & F.col(lang).isNotNull() & F.col(key).isNotNull()).select(
+        F.col(lang).cast("string").alias("lang"), F.col(text).alias("whole"), pick.alias("pick"), start.alias("start"))
+    # the smallest hashes of each language are found without the texts; only rows that have them are then read
+    known = [r["lang"] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()]
     if not known:
         return None
-    order = Window.partitionBy("lang").orderBy("pick", "key", "text")
-    sample = (rows.filter(F.col("lang").isin(known)).withColumn("rank", F.row_number().over(order))
-              .filter(F.col("rank") <= per_lang).select("lang", "rank", "text").collect())
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("pick"))
+    last = labelled.select("lang", "pick").filter(F.col("lang").isin(known)).withColumn("place", place).filter(
+        F.col("place") <= per_lang).groupBy("lang").agg(F.max("pick").alias("last")).collect()
+    chosen = None
+    for r in last:
+        hit = (F.col("lang") == r["lang"]) & (F.col("pick") <= r["last"])
+        chosen = hit if chosen is None else chosen | hit
+    rows = labelled.filter(chosen).filter(F.col("whole").rlike(r"\p{L}"))
+    sample = rows.select("lang", F.col("pick").alias("rank"),
+                         F.substring("whole", F.col("start"), F.lit(span)).alias("text")).collect()
+    if not sample:
+        return None
     sample = sorted((r["lang"], r["rank"], r["text"]) for r in sample)
     return train([r[2] for r in sample], [r[0] for r in sample], **options)
 
@@ -253,6 +264,7 @@ def fit(docs: DataFrame, usable: Column, *, key: str = "doc_id", text: str = "te
 def identify(docs: DataFrame, model: GruModel | None, *, text: str = "text",
              keep: tuple[str, ...] | None = None) -> DataFrame:
     """``keep`` columns (default: all) with ``lang_pred`` and ``score`` for every row."""
+    small_batches(docs.sparkSession)
     keep = tuple(docs.columns) if keep is None else keep
     fields = {f.name: f for f in docs.schema.fields}
     schema = ", ".join(f"`{c}` {fields[c].dataType.simpleString()}" for c in keep) + \
@@ -261,7 +273,7 @@ def identify(docs: DataFrame, model: GruModel | None, *, text: str = "text",
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             pred, score = predict(model, batch.column(batch.num_columns - 1).to_pylist())
             arrays = [batch.column(i) for i in range(batch.num_columns - 1)] + \
                 [pa.array(pred, pa.string()), pa.array(score, pa.float64())]
