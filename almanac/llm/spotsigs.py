@@ -72,23 +72,33 @@ def likeness(a: str, b: str, floor: float = 0.0) -> Column:
     return F.when(F.least(na, nb) < floor * F.greatest(na, nb), 0.0).otherwise(value) if floor > 0 else value
 
 
-def with_next(df: DataFrame, key: str, carried: list[str], order: list[str]) -> DataFrame:
+def with_next(df: DataFrame, key: str, carried: list[str], order: list[str], rows_per_range: int = 400) -> DataFrame:
     """Adds ``next_<c>``: each carried column of the next row by ascending key (after the last: the first).
 
     Rows are dealt to contiguous key ranges whose bounds are keys of the table; the first row of a range
     is also sent to the range before it, so one exchange is enough and no task orders the whole table.
-    Bounds are at most 1,024 keys.
+    Bounds are at most 16,384 keys.
     """
     stats = df.agg(F.count(key).alias("n"), F.min(key).alias("least")).first()
-    buckets = int(min(1024, max(1, stats["n"] // 400)))
+    buckets = int(min(16_384, max(1, stats["n"] // rows_per_range)))
     bounds = []
     if stats["n"]:
-        cuts = df.agg(F.percentile_approx(key, [i / buckets for i in range(1, buckets)] or [0.5], 20_000)).first()[0]
+        cuts = df.agg(F.percentile_approx(key, [i / buckets for i in range(1, buckets)] or [0.5],
+                                          max(10_000, 4 * buckets))).first()[0]
         bounds = sorted({stats["least"], *(cuts if buckets > 1 else [])})
     if not bounds:
         bounds = [0]
-    ranges = F.array(*[F.lit(b).cast("long") for b in bounds])
-    place = F.size(F.filter(ranges, lambda b: b <= F.col(key))) - 1
+
+    def array(values: list[int]) -> Column:
+        return F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>")
+
+    def below(values: Column) -> Column:
+        return F.size(F.filter(values, lambda b: b <= F.col(key))) - 1
+
+    # the range of a key: first among every 64th bound, then among the 64 from there
+    ranges, step = array(bounds), 64
+    coarse = F.greatest(below(array(bounds[::step])), F.lit(0))
+    place = coarse * step + below(F.slice(ranges, coarse * step + 1, step))
     # where a row goes: its own range and, if it opens a range, the range before (the last, for the first)
     own = F.struct(F.col("__at").alias("range"), F.lit(0).alias("wrap"), F.lit(False).alias("extra"))
     before = F.struct(F.pmod(F.col("__at") - 1, F.lit(len(bounds))).cast("int").alias("range"),
@@ -109,11 +119,14 @@ def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text") ->
     The edited text has its last quarter replaced by as many characters from the start of the next document.
     """
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    rows = with_signatures(rows, "t", "sig")
-    nxt = with_next(rows, "id", ["t", "sig"], ["t"])
-    loose = rows.filter("id IS NULL").select("id", "t", "sig", F.lit(None).cast("string").alias("next_t"),
-                                             F.lit(None).cast("array<string>").alias("next_sig"))
+    # the set travels as four bytes a signature
+    rows = with_signatures(rows, "t", "sig").withColumn("bits", F.unhex(fingerprint("sig"))).drop("sig")
+    nxt = with_next(rows, "id", ["t", "bits"], ["t"])
+    loose = rows.filter("id IS NULL").select("id", "t", "bits", F.lit(None).cast("string").alias("next_t"),
+                                             F.lit(None).cast("binary").alias("next_bits"))
     both = nxt.unionByName(loose)
+    for c in ("", "next_"):
+        both = both.withColumn(c + "sig", F.regexp_extract_all(F.lower(F.hex(c + "bits")), F.lit("(.{8})"), F.lit(1)))
     n = F.length("t")
     cut = F.floor(n / 4).cast("int")
     both = both.withColumn("edited", F.concat(F.substring("t", F.lit(1), n - cut),

@@ -109,6 +109,15 @@ def test_licence_families(spark):
     assert found == sorted([(1000 + k, 1, f, True) for k, f in enumerate(noted)] + [(0, 0, "MIT", True)])
 
 
+def test_next_row_over_many_ranges(spark):
+    rows = [(i * i - 40 * i, f"t{i}") for i in range(41, 500)] + [(None, "loose")]
+    df = spark.createDataFrame(rows, "id long, t string").repartition(5)
+    for per_range in (1, 3, 1000):
+        got = {r["id"]: r["next_t"] for r in spotsigs.with_next(df, "id", ["t"], ["t"], per_range).collect()}
+        ordered = sorted(r for r in rows if r[0] is not None)
+        assert got == {a: t for (a, _), (_, t) in zip(ordered, ordered[1:] + ordered[:1])}
+
+
 def test_fingerprint_edges(spark):
     rows = [(1, "the cat sat on the mat in the house", "a"), (1, "the cat sat on the mat in the house", "a"), (None, "the dog", "a"), (7, None, "b")]
     got = spotsigs.fingerprints(spark.createDataFrame(rows, "doc_id long, text string, sig string")).collect()
