@@ -30,11 +30,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almanac.llm.shingles import mix, string_bytes
+from almanac.llm.util import slices, small_batches
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 _UNIT = re.compile(r" ?[^ ]+| +")
-#: Lattices kept by a task before it starts anew.
-KEPT_UNITS = 600_000
+#: Lattices a task keeps; beyond it, those of units met least often go.
+KEPT_UNITS = 100_000
 _BYTE = 1 << 24  # a lattice edge of this value plus a code point spells the character in bytes
 
 
@@ -91,6 +92,22 @@ def _piece_table(vocabulary: dict) -> dict:
     return vocabulary["table"]
 
 
+class Growing:
+    """A numpy array that grows at its end. Room is reserved, not filled: pages are taken as they are written."""
+
+    def __init__(self, kind, room: int = 1 << 23):
+        self.data, self.size = np.empty(room, kind), 0
+
+    def extend(self, values: np.ndarray) -> None:
+        size = self.size + len(values)
+        if size > len(self.data):
+            grown = np.empty(max(size, 3 * len(self.data) // 2), self.data.dtype)
+            grown[:self.size] = self.data[:self.size]
+            self.data = grown
+        self.data[self.size:size] = values
+        self.size = size
+
+
 @dataclass
 class Lattices:
     """Lattices of units, flattened: unit u has nodes first[u] .. first[u] + length[u].
@@ -102,14 +119,63 @@ class Lattices:
     vocabulary: dict
     alpha: float
     number: dict = field(default_factory=dict)
-    first: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    length: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    edge: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    cum: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    start: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
-    piece: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    first: Growing = field(default_factory=lambda: Growing(np.int64))
+    length: Growing = field(default_factory=lambda: Growing(np.int64))
+    edge: Growing = field(default_factory=lambda: Growing(np.int32))
+    cum: Growing = field(default_factory=lambda: Growing(np.float32))
+    start: Growing = field(default_factory=lambda: Growing(np.int32))
+    piece: Growing = field(default_factory=lambda: Growing(np.int32))
+    uses: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     nodes: int = 0
 
+    def numbers(self, units: list[str]) -> np.ndarray:
+        """The number of every unit's lattice; missing ones are made."""
+        if len(self.number) > KEPT_UNITS:
+            self.shrink(KEPT_UNITS // 2)
+        found = list(map(self.number.get, units))
+        if None in found:
+            self.add(list(dict.fromkeys(u for u, n in zip(units, found, strict=True) if n is None)))
+            found = list(map(self.number.__getitem__, units))
+        which = np.array(found, np.int64)
+        counts = np.bincount(which, minlength=len(self.number))
+        counts[:len(self.uses)] += self.uses
+        self.uses = counts
+        return which
+
+    def shrink(self, most: int) -> None:
+        """Keep the ``most`` lattices met most often; the others are made again when they are met again."""
+        kept = np.sort(np.argsort(-self.uses, kind="stable")[:most])
+        first, size = self.first.data[kept], self.length.data[kept] + 1
+        new_first = np.cumsum(size) - size
+        edge_end = np.append(self.edge.data[:self.nodes], np.int32(self.cum.size))
+        low, width = edge_end[first], edge_end[first + size] - edge_end[first]
+        new_low = (np.cumsum(width) - width).astype(np.int32)
+        # places fit 32 bits; one column at a time is moved, so that little stands beside the lattices
+        nodes = np.repeat((first - new_first).astype(np.int32), size)
+        nodes += np.arange(len(nodes), dtype=np.int32)
+        edge = edge_end[nodes]
+        edge += np.repeat(new_low - low, size)
+        del nodes, edge_end
+        edges = np.repeat(low - new_low, width)
+        edges += np.arange(len(edges), dtype=np.int32)
+        for name in ("cum", "start", "piece"):
+            values = getattr(self, name).data[edges]
+            if name == "start":
+                values += np.repeat((new_first - first).astype(np.int32), width)
+            self._replace(name, values)
+        self._replace("edge", edge)
+        self._replace("first", new_first)
+        self._replace("length", size - 1)
+        names = list(self.number)
+        self.number = {names[u]: i for i, u in enumerate(kept.tolist())}
+        self.uses = self.uses[kept] // 2  # older uses count less
+        self.nodes = int(size.sum())
+
+    def _replace(self, name: str, values: np.ndarray) -> None:
+        column = Growing(getattr(self, name).data.dtype)
+        column.extend(values)
+        setattr(self, name, column)
+
     def _edges(self, units: list[str], length: np.ndarray):
         """All edges of new units: end node, start node and piece, by piece length."""
         points = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(np.uint64)
@@ -164,7 +230,7 @@ class Lattices:
         node_first = np.searchsorted(end, np.arange(size + 1))
         width = np.diff(node_first)
         pos = np.arange(size) - np.repeat(first, length + 1)  # of every node in its unit
-        total, cum = np.zeros(size), np.empty(len(end))
+        total, cum = np.zeros(size), np.empty(len(end), np.float32)
         deepest = int(length.max()) if len(length) else 0
         by_pos = np.argsort(pos.astype(np.uint16) if deepest < 1 << 16 else pos, kind="stable")
         cuts = np.searchsorted(pos[by_pos], np.arange(1, deepest + 2))
@@ -182,13 +248,13 @@ class Lattices:
             part = (run - np.repeat(run[heads] - mass[heads], n)) / np.repeat(sums, n)
             part[heads + n - 1] = 2.0  # the last edge takes every draw that is left
             cum[edges] = part
-        base, edge_base = self.nodes, len(self.cum)
-        self.edge = np.concatenate((self.edge, node_first[:-1] + edge_base))
-        self.cum = np.concatenate((self.cum, cum))
-        self.start = np.concatenate((self.start, (start + base).astype(np.int32)))
-        self.piece = np.concatenate((self.piece, piece.astype(np.int32)))
-        self.first = np.concatenate((self.first, first + base))
-        self.length = np.concatenate((self.length, length))
+        base = self.nodes
+        self.edge.extend(node_first[:-1] + self.cum.size)
+        self.cum.extend(cum)
+        self.start.extend(start + base)
+        self.piece.extend(piece)
+        self.first.extend(first + base)
+        self.length.extend(length)
         self.number.update(zip(units, range(len(self.number), len(self.number) + len(units)), strict=True))
         self.nodes = base + size
 
@@ -200,13 +266,8 @@ def _sample(lat: Lattices, texts: list[str], seeds: np.ndarray) -> tuple[np.ndar
         found = _UNIT.findall(t)
         counts[i] = len(found)
         units += found
-    number = lat.number
-    fresh = [u for u in dict.fromkeys(units) if u not in number]
-    if fresh:
-        lat.add(fresh)
-        number = lat.number
-    which = np.fromiter((number[u] for u in units), np.int64, len(units))
-    length, first = lat.length[which], lat.first[which]
+    which = lat.numbers(units)
+    length, first = lat.length.data[which], lat.first.data[which]
     row = np.repeat(np.arange(len(texts)), counts)
     ends = np.cumsum(length)
     text_start = np.concatenate(([0], ends))[np.cumsum(counts) - counts] if len(texts) else ends
@@ -222,13 +283,13 @@ def _sample(lat: Lattices, texts: list[str], seeds: np.ndarray) -> tuple[np.ndar
             place = (now - first[active]).astype(np.uint64)
             u = (mix(seed[active] + place * np.uint64(0xD1B54A32D192ED03)) >> np.uint64(11)).astype(np.float64) * 2.0 ** -53
         # the first edge of the node whose cumulative probability exceeds the draw
-        edge = lat.edge[now]
-        behind = np.flatnonzero(lat.cum[edge] <= u)
+        edge, cum = lat.edge.data[now], lat.cum.data
+        behind = np.flatnonzero(cum[edge] <= u)
         while len(behind):
             edge[behind] += 1
-            behind = behind[lat.cum[edge[behind]] <= u[behind]]
-        drawn.append((active, lat.piece[edge]))
-        node[active] = lat.start[edge]
+            behind = behind[cum[edge[behind]] <= u[behind]]
+        drawn.append((active, lat.piece.data[edge]))
+        node[active] = lat.start.data[edge]
         taken[active] += 1
         active = active[node[active] > first[active]]
         step += 1
@@ -262,7 +323,7 @@ def _spell(lat: Lattices, out: np.ndarray, totals: np.ndarray) -> tuple[np.ndarr
     return result.astype(np.int32), grown
 
 
-def encode_texts(lat: Lattices, texts: list[str], seeds: np.ndarray, chunk: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(lat: Lattices, texts: list[str], seeds: np.ndarray, chunk: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
     """Sampled pieces (int32) of all texts, and each text's number of pieces."""
     outs, totals, at = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], 0
     while at < len(texts):
@@ -270,8 +331,6 @@ def encode_texts(lat: Lattices, texts: list[str], seeds: np.ndarray, chunk: int
         while stop < len(texts) and (stop == at or size + len(texts[stop]) <= chunk):
             size += len(texts[stop])
             stop += 1
-        if len(lat.number) > KEPT_UNITS:
-            lat = Lattices(lat.vocabulary, lat.alpha)
         out, n = _spell(lat, *_sample(lat, texts[at:stop], seeds[at:stop]))
         outs.append(out)
         totals.append(n)
@@ -284,13 +343,17 @@ def decode_pieces(vocabulary: dict, pieces: np.ndarray) -> np.ndarray:
     if "blob" not in vocabulary:
         forms = vocabulary["forms"]
         vocabulary["blob"] = np.frombuffer(b"".join(forms), np.uint8)
-        vocabulary["widths"] = np.array([len(f) for f in forms], np.int64)
-        vocabulary["starts"] = np.cumsum(vocabulary["widths"]) - vocabulary["widths"]
-    widths = vocabulary["widths"][pieces]
-    ends = np.cumsum(widths)
-    where = np.repeat(vocabulary["starts"][pieces] - (ends - widths), widths)
-    where += np.arange(len(where))
-    return vocabulary["blob"][where]
+        vocabulary["widths"] = np.array([len(f) for f in forms], np.int32)
+        vocabulary["starts"] = (np.cumsum(vocabulary["widths"]) - vocabulary["widths"]).astype(np.int32)
+    out = []
+    for at in range(0, len(pieces), 1 << 18):  # a stretch at a time: places fit 32 bits and the cache
+        part = pieces[at:at + (1 << 18)]
+        widths = vocabulary["widths"][part]
+        before = np.cumsum(widths, dtype=np.int32) - widths
+        where = np.repeat(vocabulary["starts"][part] - before, widths)
+        where += np.arange(len(where), dtype=np.int32)
+        out.append(vocabulary["blob"][where])
+    return np.concatenate(out) if out else np.zeros(0, np.uint8)
 
 
 def _seed(key: str, seed: int) -> Column:
@@ -300,6 +363,7 @@ def _seed(key: str, seed: int) -> Column:
 def encode(df: DataFrame, *, key: str = "doc_id", text: str = "text", path: str = VOCABULARY, alpha: float = 1.0,
            seed: int = 1, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, ``pieces`` (sampled ids) and ``lossless`` (the pieces decode to the text's own bytes)."""
+    small_batches(df.sparkSession)
     fields = {f.name: f for f in df.schema.fields}
     schema = ", ".join(f"`{c}` {fields[c].dataType.simpleString()}" for c in keep) + ", pieces array<int>, lossless boolean"
     shared = df.sparkSession.sparkContext.broadcast(load_vocabulary(path))
@@ -308,11 +372,7 @@ def encode(df: DataFrame, *, key: str = "doc_id", text: str = "text", path: str
         vocabulary = dict(shared.value)
         lat = Lattices(vocabulary, alpha)
         for whole in batches:
-            size = max(1, int(whole.num_rows * (8 << 20) / max(whole.nbytes, 1)))
-            for at in range(0, whole.num_rows, size):
-                batch = whole.slice(at, size)
-                if len(lat.number) > KEPT_UNITS:
-                    lat = Lattices(vocabulary, alpha)
+            for batch in slices(whole):
                 column = batch.column(batch.num_columns - 2)
                 null = np.asarray(column.is_null())
                 texts = [x if x is not None else "" for x in column.to_pylist()]
@@ -324,7 +384,7 @@ def encode(df: DataFrame, *, key: str = "doc_id", text: str = "text", path: str
                 data, starts, ends = string_bytes(column)
                 same = []
                 plain = decode_pieces(vocabulary, ids)
-                widths = np.concatenate(([0], np.cumsum(vocabulary["widths"][ids])))[offsets]
+                widths = np.concatenate(([0], np.cumsum(vocabulary["widths"][ids], dtype=np.int64)))[offsets]
                 for i in range(len(texts)):
                     same.append(None if null[i] else bool(np.array_equal(plain[widths[i]:widths[i + 1]],
                                                                          data[starts[i]:ends[i]])))
@@ -347,7 +407,7 @@ def decode(df: DataFrame, *, pieces: str = "pieces", path: str = VOCABULARY, kee
         for batch in batches:
             texts = []
             for ids in batch.column(batch.num_columns - 1):
-                texts.append(None if ids.as_py() is None else decode_pieces(
+                texts.append(None if not ids.is_valid else decode_pieces(
                     vocabulary, np.asarray(ids.values, dtype=np.int64)).tobytes().decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(batch.num_columns - 1)] +
                                              [pa.array(texts, pa.string())], names=[*keep, "text"])
