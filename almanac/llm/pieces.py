@@ -34,8 +34,8 @@ from almanac.llm.util import slices, small_batches
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 _UNIT = re.compile(r" ?[^ ]+| +")
-#: Lattices a task keeps; beyond it, those of units met least often go.
-KEPT_UNITS = 100_000
+#: Lattices a task keeps (about 0.4 kB each); beyond it, those of units met least often go. More save time.
+KEPT_UNITS = 200_000
 _BYTE = 1 << 24  # a lattice edge of this value plus a code point spells the character in bytes
 
 
@@ -127,11 +127,12 @@ class Lattices:
     piece: Growing = field(default_factory=lambda: Growing(np.int32))
     uses: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     nodes: int = 0
+    kept: int = KEPT_UNITS
 
     def numbers(self, units: list[str]) -> np.ndarray:
         """The number of every unit's lattice; missing ones are made."""
-        if len(self.number) > KEPT_UNITS:
-            self.shrink(KEPT_UNITS // 2)
+        if len(self.number) > self.kept:
+            self.shrink(self.kept // 2)
         found = list(map(self.number.get, units))
         if None in found:
             self.add(list(dict.fromkeys(u for u, n in zip(units, found, strict=True) if n is None)))
@@ -361,7 +362,7 @@ def _seed(key: str, seed: int) -> Column:
 
 
 def encode(df: DataFrame, *, key: str = "doc_id", text: str = "text", path: str = VOCABULARY, alpha: float = 1.0,
-           seed: int = 1, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+           seed: int = 1, keep: tuple[str, ...] = ("doc_id",), kept_units: int = KEPT_UNITS) -> DataFrame:
     """``keep`` columns, ``pieces`` (sampled ids) and ``lossless`` (the pieces decode to the text's own bytes)."""
     small_batches(df.sparkSession)
     fields = {f.name: f for f in df.schema.fields}
@@ -370,7 +371,7 @@ def encode(df: DataFrame, *, key: str = "doc_id", text: str = "text", path: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = dict(shared.value)
-        lat = Lattices(vocabulary, alpha)
+        lat = Lattices(vocabulary, alpha, kept=kept_units)
         for whole in batches:
             for batch in slices(whole):
                 column = batch.column(batch.num_columns - 2)

@@ -39,8 +39,8 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sampled pieces of every remaining document."""
-    return pieces.encode(docs, keep=("doc_id", "lang", "source"))
+    """Sampled pieces of every remaining document. Fewer lattices are kept: the workers of earlier stages live on."""
+    return pieces.encode(docs, keep=("doc_id", "lang", "source"), kept_units=60_000)
 
 
 STAGES = [("language ID", language_stage), ("near duplicates", near_duplicate_stage), ("source mix", mix_stage),

@@ -55,12 +55,11 @@ def test_rows_do_not_depend_on_neighbours(vocabulary):
         assert alone.tolist() == ids[ends[k] - n[k]:ends[k]].tolist()
 
 
-def test_dropped_lattices_are_made_again(vocabulary, monkeypatch):
+def test_dropped_lattices_are_made_again(vocabulary):
     words = [f"{a}{b}ing {b}{a}" for a in "abcdefghij" for b in ("the", "ver", "un", "re")] * 3
     seeds = mix(np.arange(len(words)).astype(np.uint64))
     want = pieces.encode_texts(pieces.Lattices(vocabulary, 0.4), words, seeds)[0]
-    monkeypatch.setattr(pieces, "KEPT_UNITS", 7)
-    lat = pieces.Lattices(vocabulary, 0.4)
+    lat = pieces.Lattices(vocabulary, 0.4, kept=7)
     got = pieces.encode_texts(lat, words, seeds, chunk=20)[0]
     assert got.tolist() == want.tolist() and len(lat.number) < 20
 
