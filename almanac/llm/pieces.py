@@ -35,7 +35,7 @@ from almanac.llm.util import slices, small_batches
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 _UNIT = re.compile(r" ?[^ ]+| +")
 #: Lattices a task keeps (about 0.4 kB each); beyond it, those of units met least often go. More save time.
-KEPT_UNITS = 200_000
+KEPT_UNITS = 500_000
 _BYTE = 1 << 24  # a lattice edge of this value plus a code point spells the character in bytes
 
 
@@ -324,7 +324,7 @@ def _spell(lat: Lattices, out: np.ndarray, totals: np.ndarray) -> tuple[np.ndarr
     return result.astype(np.int32), grown
 
 
-def encode_texts(lat: Lattices, texts: list[str], seeds: np.ndarray, chunk: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(lat: Lattices, texts: list[str], seeds: np.ndarray, chunk: int = 1 << 19) -> tuple[np.ndarray, np.ndarray]:
     """Sampled pieces (int32) of all texts, and each text's number of pieces."""
     outs, totals, at = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], 0
     while at < len(texts):
