@@ -2,10 +2,13 @@
 
 For every DOM node of a page the composite density is its characters per tag, adjusted by the
 share of link characters and link tags. A node's density sum is the sum of its children's
-densities; the block with the largest sum is the core of the article. The smallest density met
-on the way from the body down to that block is the threshold at which text beside it is kept too.
+densities; the block with the largest sum is the core of the article on every page, whatever its
+tag (of equal sums, that of an ``article`` or ``main`` wins). The smallest density met on the way
+from the body down to that block, with all of the page's text counted, or that of the core's
+thinnest block if smaller, is the threshold at which blocks beside the way are kept too.
 Boilerplate elements (navigation, page headers and footers, asides, forms, adverts, notices,
-reader comments ...) take no part in the densities and never contribute text.
+reader comments ...) only count towards that threshold: they cannot be the core and never
+contribute text.
 
 A page is parsed in one linear pass; pages are independent, so the operator is a map over the
 partitions of the table: no shuffle, no collected state, memory bounded by one Arrow batch.
@@ -57,12 +60,11 @@ NOISE_WORDS = frozenset(
     "toolbar topbar trending widget widgets".split())
 NEVER_NOISE = frozenset("html body main article".split())
 _WORD = re.compile(r"[a-z]+")
-#: Blocks beside the chosen subtree that are kept when dense enough; headings always are.
+#: Of the blocks beside the core, headings are kept whatever their density.
 HEADINGS = frozenset("h1 h2 h3".split())
 #: Elements that are a menu when most of their text is links, and those a lone cell or item belongs to.
 MENU_TAGS = frozenset("ul ol dl div section table tbody tr td".split())
 LISTS = frozenset("ul ol dl table tbody thead tfoot tr".split())
-ASIDE_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote ul ol dl table article section figure".split())
 
 
 def _is_noise(tag: str, attrs: str, in_article: bool) -> bool:
@@ -98,11 +100,10 @@ class _Page:
             return
         text = _html.unescape(raw) if "&" in raw else raw
         self.pieces.append((node, block, text))
-        if not self.noise[node]:
-            n = len(" ".join(text.split()))
-            self.chars[node] += n
-            if in_link:
-                self.link_chars[node] += n
+        n = len(" ".join(text.split()))
+        self.chars[node] += n
+        if in_link:
+            self.link_chars[node] += n
 
     def _parse(self, source: str) -> None:
         stack, block, links, articles = [0], 0, 0, 0
@@ -184,13 +185,17 @@ class _Page:
                 self.pieces.append((stack[-1], block, " "))
 
 
-def densities(page: _Page) -> tuple[list[float], list[float], list[bool]]:
-    """Composite density and density sum of every node (boilerplate has none), and which nodes are link lists."""
+def densities(page: _Page, whole: bool = False) -> tuple[list[float], list[float], list[bool]]:
+    """Composite density and density sum of every node, and which nodes are link lists.
+
+    Boilerplate has no density and adds nothing to other nodes', unless the ``whole`` page is counted.
+    """
     n = len(page.tag)
+    left_out = [False] * n if whole else page.noise
     chars, link_chars = list(page.chars), list(page.link_chars)
     tags, link_tags = [0] * n, [0] * n
     for i in range(n - 1, 0, -1):
-        if page.noise[i]:
+        if left_out[i]:
             continue
         p = page.parent[i]
         chars[p] += chars[i]
@@ -201,7 +206,7 @@ def densities(page: _Page) -> tuple[list[float], list[float], list[bool]]:
     density, total = [0.0] * n, [0.0] * n
     for i in range(n):
         c = chars[i]
-        if page.noise[i] or not c:
+        if left_out[i] or not c:
             continue
         t, lc, lt = max(tags[i], 1), max(link_chars[i], 1), max(link_tags[i], 1)
         base = math.log(c / max(c - link_chars[i], 1) * link_chars[i] + body_links * c + math.e)
@@ -223,27 +228,26 @@ def extract(source: str | None) -> str:
     if not blocks:
         return ""
     # a childless block stands for itself
-    best = max(blocks, key=lambda i: (max(total[i], density[i] if not total[i] else 0.0), -i))
+    best = max(blocks, key=lambda i: (max(total[i], density[i] if not total[i] else 0.0),
+                                      page.tag[i] in ("article", "main"), -i))
+    # a lone paragraph, item or cell stands beside others of its kind: take their container
+    core = best
+    if not total[best] and page.tag[best] not in ("div", "section", "body", "article", "main"):
+        core = max(page.parent[best], 0) or best
+    while page.tag[core] in LISTS and page.parent[core] > 0:
+        core = page.parent[core]
     path = []
-    node = best
-    while node >= 0:
+    node = core
+    while node > 0:
         path.append(node)
         node = page.parent[node]
-    threshold = min(density[i] for i in path if i and page.tag[i] != "html") if best else 0.0
-    article = next((i for i in path if page.tag[i] == "article"), None)
-    article = next((i for i in path if page.tag[i] == "main"), None) if article is None else article
-    chosen = {best if article is None else article}
-    if article is None:
-        # a lone paragraph, item or cell stands beside others of its kind: take their container
-        core = best
-        if not total[best] and page.tag[best] not in ("div", "section", "body"):
-            core = max(page.parent[best], 0) or best
-        while page.tag[core] in LISTS and page.parent[core] > 0:
-            core = page.parent[core]
-        chosen = {core}
-        on_path = set(path)
-        chosen |= {i for i in range(1, n) if page.parent[i] in on_path and i not in on_path and not page.noise[i]
-                   and (page.tag[i] in HEADINGS or page.tag[i] in ASIDE_TAGS and density[i] >= threshold > 0)}
+    on_path = {0, *path}
+    diluted = densities(page, whole=True)[0]
+    threshold = min([min(density[i], diluted[i]) for i in path if page.tag[i] != "html"] + [
+        density[i] for i in range(1, n) if page.parent[i] == core and density[i] > 0
+        and page.tag[i] not in INLINE and page.tag[i] not in HEADINGS and not menus[i]], default=0.0)
+    chosen = {core} | {i for i in range(1, n) if page.parent[i] in on_path and i not in on_path and not page.noise[i]
+                       and (page.tag[i] in HEADINGS or page.tag[i] not in INLINE and density[i] >= threshold > 0)}
     kept = [False] * n
     for i in range(n):
         kept[i] = not page.noise[i] and not menus[i] and (i in chosen or (i > 0 and kept[page.parent[i]]))

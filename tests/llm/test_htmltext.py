@@ -46,3 +46,18 @@ def test_operator(spark):
     got = sorted((tuple(r) for r in extract_main_text(df).collect()), key=str)
     assert got == [(1, "u", "a b", 3), (1, "u", "a b", 3), (None, None, "", 0)]
     assert extract_main_text(df.limit(0)).collect() == []
+
+
+def test_density_decides_beside_article_elements():
+    one = "".join(f"<p>{w} paragraph of the first part, with a good many words in it.</p>" for w in ("First", "Second", "Third"))
+    two = "".join(f"<p>{w} paragraph of part two, somewhat shorter.</p>" for w in ("Fourth", "Fifth", "Sixth"))
+    lead = "<h1>Head</h1><div class='lead'>The lead stands beside the article and tells what it is all about.</div>"
+    links = "<nav>" + "".join(f"<a href=x{i}>entry {i}</a>" for i in range(9)) + "</nav>"
+    for tag in ("article", "section", "div"):
+        for page in (f"<body>{links}{lead}<{tag}>{one}</{tag}><{tag}>{two}</{tag}></body>",
+                     f"<body>{lead}<div><{tag}>{one}</{tag}><{tag}>{two}</{tag}></div>{links}</body>"):
+            lines = extract(page).split("\n")
+            assert lines[0] == "Head" and lines[1].startswith("The lead") and len(lines) == 8, (tag, lines)
+    # a short article element does not stand for a page whose text lies elsewhere
+    got = extract(f"<body>{links}<div>{one}{two}</div><article><p>Teaser.</p></article></body>")
+    assert got.count("paragraph") == 6
