@@ -33,7 +33,9 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)"
     r"(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+#: An attribute's name and, unless it is bare, its value.
+_ATTR = re.compile(r"([^\s=/>\"']++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?+")
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style template noscript iframe svg math textarea title select".split())
@@ -75,13 +77,18 @@ def _is_noise(tag: str, attrs: str, in_article: bool) -> bool:
     if not attrs or tag in NEVER_NOISE:
         return False
     for m in _ATTR.finditer(attrs):
-        if m[1].lower() in ("class", "id", "role"):
-            words = _WORD.findall((m[2] or m[3] or m[4] or "").lower())
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name in ("class", "id", "role"):
+            words = _WORD.findall(value.lower())
             if any(w in NOISE_WORDS for w in words if not (w == "header" and in_article)):
                 return True
-        elif m[1].lower() == "aria-hidden" and (m[2] or m[3] or m[4]) == "true":
+        elif name == "aria-hidden" and value == "true":
             return True
-    return bool(re.search(r"\bhidden\b(?!=)|display\s*:\s*none", attrs)) and "aria-hidden" not in attrs
+        elif name == "hidden" and value.lower() != "until-found":
+            return True
+        elif name == "style" and _UNSEEN.search(value):
+            return True
+    return False
 
 
 class _Page:

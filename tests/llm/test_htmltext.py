@@ -61,3 +61,14 @@ def test_density_decides_beside_article_elements():
     # a short article element does not stand for a page whose text lies elsewhere
     got = extract(f"<body>{links}<div>{one}{two}</div><article><p>Teaser.</p></article></body>")
     assert got.count("paragraph") == 6
+
+
+def test_only_hidden_elements_are_left_out():
+    text = "<p>A paragraph of text, long enough to stand.</p><p>Another one beside it, as long as that.</p>"
+    want = "A paragraph of text, long enough to stand.\nAnother one beside it, as long as that."
+    for seen in ('class="overflow-hidden"', 'style="overflow:hidden"', 'title="hidden gems"', 'data-x1="a hidden b"',
+                 'data-href="/hidden-lake"', 'title="display: none"', "title='a hidden class=nav'", 'aria-hidden="false"'):
+        assert extract(f"<body><div {seen}>{text}</div></body>") == want, seen
+    for unseen in ("hidden", "id=x hidden", 'hidden="" id=x', 'hidden="hidden"', "HIDDEN", 'style="color:red; Display : none"',
+                   'style="visibility:hidden"', 'aria-hidden="true"'):
+        assert extract(f"<body><div>{text}</div><div {unseen}>{text}</div></body>") == want, unseen
