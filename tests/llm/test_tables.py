@@ -146,3 +146,22 @@ def test_similar_documents(spark):
     found = {(min(r["a"], r["b"]), max(r["a"], r["b"])) for r in got}
     same = {frozenset(s): min(i for i in sets if sets[i] == s) for s in sets.values()}
     assert found == {(a, b) for a, b in want if same[frozenset(sets[a])] == a and same[frozenset(sets[b])] == b and sets[a] != sets[b]}
+
+
+def test_wrapped_licence_notices(spark):
+    rng = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor".split()
+    plain = [" ".join(rng[(i + k * k) % len(rng)] for k in range(5 + i % 9)) for i in range(150)]
+    mit = "# Permission is hereby granted, free of\n# charge, to any person obtaining a\n# copy of this software."
+    gpl = ("You can redistribute it\nand/or modify it under\nthe terms of the GNU\nGeneral Public License\nas published by the\n"
+           "Free Software\nFoundation.")
+    mpl = " * This Source Code Form is subject to the terms\n * of the Mozilla Public License, v. 2.0."
+    docs = [(i, f"{p}\n\n{p}") for i, p in enumerate(plain)] + [
+        (1000, f"{plain[0]}\n{mit}\n{plain[1]}"), (1001, gpl), (1001, gpl), (None, f"/*\n{mpl}\n */\n\nAll rights reserved.\n{plain[3]}"),
+        # a blank line ends a notice
+        (1002, "Permission is hereby granted, free of\n\n\n\nperson obtaining a copy")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = license.scan(frame, license.train(frame, copies=12)).collect()
+    found = sorted((r["doc_id"] or 0, r["paragraph"], r["family"], r["text"]) for r in got if r["confirmed"])
+    assert found == sorted([(1000, 1, "MIT", mit), (1001, 0, "GPL", gpl), (1001, 0, "GPL", gpl), (0, 1, "MPL", mpl),
+                            (0, 5, "Reserved", "All rights reserved.")])
+    assert not [r for r in got if not r["confirmed"] and r["doc_id"] != 1002]
