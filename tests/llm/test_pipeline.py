@@ -34,3 +34,20 @@ def test_run_and_empty_table(spark, tmp_path):
     assert corpus_pipeline.run(spark, SF).count() > 0
     table(spark, SF, "documents").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_near_duplicates_are_told_apart_by_id_and_text(spark):
+    a = "one two three four five six seven eight nine ten eleven twelve"
+    b = "quite another text about the weather of last week in the hills"
+    rows = [(3, a, "en", "z", 1), (9, a + " x", "en", "a", 1), (9, b, "en", "a", 1), (9, b, "de", "b", 1), (9, None, "en", "a", 1),
+            (12, b + " y", "en", "a", 1), (20, "alone under its id, first", "en", "a", 1), (20, "alone under its id, second", "en", "a", 1),
+            (30, a + " z", "en", "a", 1), (30, a + " w", "en", "a", 1), (None, a, "en", "a", 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    want = sorted([(3, a, "z"), (9, b, "b"), (9, None, "a"), (20, rows[6][1], "a"), (20, rows[7][1], "a"), (None, a, "a")], key=str)
+    for order in (rows, rows[::-1]):
+        got = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(order, schema).repartition(4), SF)
+        assert got.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        assert sorted(((r["doc_id"], r["text"], r["source"]) for r in got.collect()), key=str) == want
+    same = [(7, a, lang, "a", 1) for lang in ("fr", "de", "en")]
+    got = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(same, schema).repartition(3), SF).collect()
+    assert [(r["doc_id"], r["lang"]) for r in got] == [(7, "de")]
