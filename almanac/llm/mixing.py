@@ -2,9 +2,9 @@
 
 Documents are counted into cells (source, language, topic) with one aggregate of their token weights.
 The cell table is raked: its weights are scaled in turn so that the sums by source, by language and by
-topic meet their targets, until they settle. A document's sampling rate is its cell's raked share over
+topic meet their targets, for a fixed number of rounds. A document's sampling rate is its cell's raked share over
 its present share, times the part of the corpus wanted; rates above 1 are taken whole and the others
-scaled up for what that leaves out. The draw compares the rate with a hash of the document's id, so it
+scaled up for what that leaves out, so clipped cells miss the targets. The draw compares the rate with a hash of the document's id, so it
 is the same on every run and for every partitioning.
 
 Targets are given by value; a dimension without given targets uses its present shares raised to a power
