@@ -4,7 +4,7 @@ A text is lower-cased and cut into words. Common words (articles, conjunctions,
 languages) are anchors; each run of anchors spots the two content words that follow. Passages without
 anchors (tables, lists, other scripts) are covered by a fixed eighth of all pairs of neighbouring words,
 chosen by the pair's own hash, and short texts by all their pairs. Every rule looks at a few words only,
-so an edit changes the signatures near it and no others. The distinct signatures, hashed to 32 bits, are
+so an edit changes the signatures near it and no others, unless it takes the text across 64 words. The distinct signatures, hashed to 32 bits, are
 the text's set; its sorted list is the fingerprint. A text without pairs is its own signature.
 
 Likeness is the Jaccard similarity of two sets. Sets whose sizes alone keep it under the wanted floor
