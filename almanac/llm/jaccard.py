@@ -299,17 +299,22 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
 
 def oracle_sql(k: int = 5, percent: int = 75) -> str:
     """The same components in DuckDB SQL over the ``documents`` view (all pairs: for small tables)."""
+    after = " || ' ' || ".join(["word"] + [f"lead(word, {j}) OVER w" for j in range(1, k)])
     return f"""
-WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id,
+                         list_filter(regexp_split_to_array(translate(coalesce(text, ''),
                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws
                      FROM documents),
-     sets AS (SELECT doc_id, CASE WHEN len(ws) >= {k} THEN list_distinct(list_transform(range(1, len(ws) - {k - 2}),
-                         lambda i: array_to_string(ws[i:i + {k - 1}], ' ')))
-                     WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS s FROM w),
-     t AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+     o AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM d WHERE len(ws) >= {k}),
+     g AS (SELECT DISTINCT rid, g FROM (SELECT rid, {after} AS g FROM o WINDOW w AS (PARTITION BY rid ORDER BY i))
+           WHERE g IS NOT NULL
+           UNION ALL SELECT rid, array_to_string(ws, ' ') FROM d WHERE len(ws) BETWEEN 1 AND {k - 1}),
+     sizes AS (SELECT rid, count(*) AS n FROM g GROUP BY rid),
+     sets AS (SELECT d.doc_id, coalesce(sizes.n, 0) AS n FROM d LEFT JOIN sizes ON d.rid = sizes.rid),
+     t AS (SELECT d.doc_id, sizes.n, g.g FROM g JOIN d ON d.rid = g.rid JOIN sizes ON sizes.rid = g.rid),
      p AS (SELECT a.doc_id AS x, b.doc_id AS y, a.n + b.n AS total, count(*) AS same
            FROM t a JOIN t b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
      l AS (SELECT x, y FROM p WHERE 100 * same >= {percent} * (total - same)),
      r AS (SELECT doc_id, doc_id AS other FROM sets UNION SELECT r.doc_id, l.y FROM r JOIN l ON r.other = l.x),
      c AS (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id)
-SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM sets JOIN c ON sets.doc_id = c.doc_id"""
+SELECT sets.doc_id, CAST(n AS BIGINT) AS n_shingles, component_id FROM sets JOIN c ON sets.doc_id = c.doc_id"""
