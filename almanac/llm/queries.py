@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm import ann, htmltext, jaccard, langid, license, mixing, pieces, spotsigs, urltree, warc
+from almanac.llm import (ann, audit, htmltext, jaccard, langid, license, mixing, pieces, spotsigs, subvectors, threshold,
+                         urltree, warc)
 from almanac.llm.util import materialise, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,6 +135,30 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract_main_text(table(spark, sf_dir, "pages"))
 
 
+# -------------------------------------------------------------------------------- 11 centroid clustering
+
+@register("op11_centroid_clusters", subvectors.oracle_sql())
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three exact rounds of 16 integer centroids over every vector of 64 components."""
+    return subvectors.cluster(table(spark, sf_dir, "embeddings"))
+
+
+# -------------------------------------------------------------------------------- 12 exact top-k
+
+@register("op12_exact_topk", threshold.oracle_sql())
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest integer inner products of every vector whose id is divisible by 50."""
+    return threshold.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+# -------------------------------------------------------------------------------- 13 filter audit
+
+@register("op13_filter_audit", audit.oracle_sql())
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from every source's documents in each of their 120 orders."""
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
