@@ -136,7 +136,11 @@ def search(rows: DataFrame, is_query: Column, *, key: str = "vec_id", vector: st
     total = good.count()
     per_block = max(1, BLOCK_CELLS // max(dims, 1))
     blocks = max(1, -(-total // per_block), min(spark.sparkContext.defaultParallelism, -(-total // LEAST_ROWS)))
-    picked = good.orderBy(F.xxhash64("id", F.lit(29)), "id").limit(min(sample, per_block)).select("id", "x").collect()
+    # the sample: least hashes. A share of twice the sample is kept first, so that tasks send few rows to the driver
+    size, place = min(sample, per_block), F.xxhash64("id", F.lit(29))
+    share = int(2.0 ** 63 * min(1.0, 2.0 * size / max(total, 1)))
+    near = good.filter(F.shiftrightunsigned(place, 1) <= F.lit(min(share, 2 ** 63 - 1)))
+    picked = near.orderBy(place, "id").limit(size).select("id", "x").collect()
     first = np.array([r["id"] for r in picked], dtype=np.int64), np.zeros((len(picked), dims), dtype=np.int64)
     for place, r in enumerate(picked):
         first[1][place, :len(r["x"])] = r["x"]
