@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from almanac.operators.filters import month_split
 from almanac.plans import group_model, selection, trees
 from almanac.plans.features import load_monthly_features
+from almanac.plans.tuning import candidate_grid
 from almanac.session import cut_lineage
 from almanac.sources.config import RunConfig
 from almanac.sources.sinks import write_forecasts
@@ -50,6 +51,16 @@ def fit_tree_scorer(frame: DataFrame, kind: str, cfg: RunConfig):
     return kind, trees.scorer(model, f"{kind}_prediction")
 
 
+def fit_boost_scorer(frame: DataFrame, cfg: RunConfig, name: str = "BOOST"):
+    """Second-order boosting on the plain feature columns; a missing feature has a side of its own, so every row
+    gets a forecast."""
+    from almanac.plans.boosting import BoostParams, tune_boosted
+    candidates = candidate_grid(cfg.hp_space_boost, cfg.max_evals, "random", cfg.seed)
+    model, _, _ = tune_boosted(frame, trees.feature_cols(cfg), [*cfg.keys, "year", "month"], candidates,
+                               BoostParams(seed=cfg.seed))
+    return name, lambda df: model.transform(df, f"{name}_prediction")
+
+
 def fit_all(frame: DataFrame, models=ALL_MODELS, cfg: RunConfig = RunConfig(),
             concurrent: bool = True, cutoff: dict | None = None) -> list[tuple[str, object]]:
     """Fit every requested model (M7); each fit submits its own Spark jobs, run side by side.
@@ -61,6 +72,8 @@ def fit_all(frame: DataFrame, models=ALL_MODELS, cfg: RunConfig = RunConfig(),
     def fit(name):
         if name in trees.ESTIMATORS:
             return fit_tree_scorer(frame, name, cfg)
+        if name == "BOOST":
+            return fit_boost_scorer(frame, cfg)
         if name == "TS":
             return fit_group_scorer(frame, cfg)
         if name == "FOURIER":
@@ -80,7 +93,7 @@ def fit_all(frame: DataFrame, models=ALL_MODELS, cfg: RunConfig = RunConfig(),
 
 
 def needs_vectors(models) -> bool:
-    return any(m in trees.ESTIMATORS for m in models)
+    return any(m in trees.ESTIMATORS or m == "BOOST" for m in models)
 
 
 def prepare(spark: SparkSession, sf_dir: str, cfg: RunConfig = RunConfig(),

@@ -760,6 +760,100 @@ def q_gbt_stump(spark, sf_dir):
     return _stump(spark, sf_dir, "GBT", maxIter=1)
 
 
+# ---------------------------------------------------------------- second-order boosting (M3)
+
+# features with few values, so that every value is a bin; one of them has missing values
+BOOST_FEATURES = {"month": "month", "year": "year", "last": "round(lag_sales_1, 1)",
+                  "before": "CASE WHEN month % 5 = 0 THEN NULL ELSE round(lag_sales_2, 1) END",
+                  "season": f"round(lag_sales_{LAGS[-1]}, 1)"}
+BOOST = {"n_trees": 2, "max_depth": 2, "learning_rate": 0.5, "reg_lambda": 2.0, "gamma": 0.001, "min_child_weight": 5.0,
+         "subsample": 0.8, "colsample": 0.6, "max_bins": 256}
+
+
+def _boost_ctes() -> str:
+    """CTEs p0..pT (rows with their margins) and best{t}_{level} (chosen splits) of the first trees."""
+    from almanac.plans.boosting import BoostParams, sampled_columns
+    par, names = BoostParams(**BOOST), list(BOOST_FEATURES)
+    lam, lr, seed = par.reg_lambda, par.learning_rate, par.seed
+    steps = [f"f AS ({SQL_FEATURES_RAW})",
+             "b AS (SELECT store_id, year AS y_, month AS m_, sales AS y, train_test_val_indicator AS ind, "
+             + ", ".join(f"CAST({e} AS DOUBLE) AS f{j}" for j, e in enumerate(BOOST_FEATURES.values())) + " FROM f)",
+             "p0 AS (SELECT *, (SELECT avg(y) FROM b WHERE ind <= 1) AS margin FROM b)"]
+    for t in range(par.n_trees):
+        steps.append(f"""n{t}_0 AS (SELECT *, 0 AS node, ind <= 1 AND y IS NOT NULL AND CAST('0x' || substr(md5(store_id || '|' || y_ || '|' || m_
+    || '|{seed}|{t}'), 1, 8) AS BIGINT) < {par.subsample * 2.0 ** 32!r} AS used FROM p{t})""")
+        for level in range(par.max_depth):
+            at = f"{t}_{level}"
+            long = " UNION ALL ".join(f"SELECT node, {j} AS f, f{j} AS x, margin - y AS g FROM n{at} WHERE used AND node >= {2 ** level - 1}"
+                                      for j in sampled_columns(len(names), par, t))
+            steps.append(f"""h{at} AS (SELECT node, f, x, sum(g) AS g, count(*) AS h FROM ({long}) u GROUP BY node, f, x),
+s{at} AS (SELECT node, f, sum(g) AS ga, sum(h) AS ha, coalesce(sum(g) FILTER (x IS NULL), 0) AS gm,
+          coalesce(sum(h) FILTER (x IS NULL), 0) AS hm FROM h{at} GROUP BY node, f),
+c{at} AS (SELECT node, f, x, sum(g) OVER w AS gl, sum(h) OVER w AS hl FROM h{at} WHERE x IS NOT NULL
+          WINDOW w AS (PARTITION BY node, f ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+d{at} AS (SELECT s.node, s.f, x, ml, ga, ha, coalesce(gl, 0) + CASE WHEN ml THEN gm ELSE 0 END AS gl,
+          coalesce(hl, 0) + CASE WHEN ml THEN hm ELSE 0 END AS hl
+          FROM c{at} c JOIN s{at} s ON c.node = s.node AND c.f = s.f CROSS JOIN (VALUES (false), (true)) v(ml)
+          WHERE c.hl IS NOT NULL),
+best{at} AS (SELECT * FROM (SELECT *, round(0.5 * (gl * gl / (hl + {lam}) + (ga - gl) * (ga - gl) / (ha - hl + {lam})
+             - ga * ga / (ha + {lam})) - {par.gamma}, {PLACES}) AS gain FROM d{at}
+             WHERE hl >= {par.min_child_weight} AND ha - hl >= {par.min_child_weight}) z WHERE gain > 0
+             QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, x, ml) = 1),
+n{t}_{level + 1} AS (SELECT n.* REPLACE (CASE WHEN k.f IS NULL THEN n.node ELSE 2 * n.node + CASE WHEN
+    CASE WHEN v{level} IS NULL THEN k.ml ELSE v{level} < k.x END THEN 1 ELSE 2 END END AS node) FROM (
+    SELECT n.*, CASE k.f {' '.join(f'WHEN {j} THEN f{j}' for j in range(len(names)))} END AS v{level} FROM n{at} n LEFT JOIN best{at} k ON n.node = k.node) n
+    LEFT JOIN best{at} k ON n.node = k.node)""")
+        sides = " UNION ALL ".join(
+            f"SELECT 2 * node + 1 AS node, -gl / (hl + {lam}) AS weight FROM best{t}_{i} UNION ALL "
+            f"SELECT 2 * node + 2, -(ga - gl) / (ha - hl + {lam}) FROM best{t}_{i}" for i in range(par.max_depth))
+        steps.append(f"""w{t} AS (SELECT 0 AS node, -sum(margin - y) / (count(*) + {lam}) AS weight FROM n{t}_0 WHERE used UNION ALL {sides}),
+p{t + 1} AS (SELECT n.store_id, y_, m_, y, ind, {', '.join(f'f{j}' for j in range(len(names)))},
+             margin + {lr} * w.weight AS margin FROM n{t}_{par.max_depth} n JOIN w{t} w ON n.node = w.node)""")
+    return ",\n".join(steps)
+
+
+def _boost_nodes_sql() -> str:
+    names, depth, trees = list(BOOST_FEATURES), BOOST["max_depth"], BOOST["n_trees"]
+    feature = f"CASE b.f {' '.join(f'WHEN {j} THEN {chr(39)}{n}{chr(39)}' for j, n in enumerate(names))} END"
+    parts = [f"""SELECT CAST({t} AS INTEGER) AS tree, CAST(w.node AS INTEGER) AS node, {feature} AS feature, b.x AS cut,
+       b.ml AS missing_left, round(b.gain, 6) AS gain, round(w.weight, 6) AS weight
+FROM w{t} w LEFT JOIN ({' UNION ALL '.join(f'SELECT * FROM best{t}_{i}' for i in range(depth))}) b ON w.node = b.node"""
+             for t in range(trees)]
+    return f"WITH {_boost_ctes()} " + " UNION ALL ".join(parts)
+
+
+def _boosted(spark, sf_dir):
+    from almanac.plans.boosting import BoostParams, fit_boosted
+    f = _model_features(spark, sf_dir)
+    own = f.select("store_id", "year", "month", "sales", "train_test_val_indicator",
+                   *[F.expr(e).cast("double").alias(f"x_{n}") for n, e in BOOST_FEATURES.items()])
+    model = fit_boosted(own.filter("train_test_val_indicator <= 1"), [f"x_{n}" for n in BOOST_FEATURES], "sales",
+                        ["store_id", "year", "month"], BoostParams(**BOOST))
+    return own, model
+
+
+@register("boost_two_trees", f"""WITH {_boost_ctes()}
+SELECT store_id, y_ AS year, m_ AS month, round(margin, 6) AS prediction FROM p{BOOST['n_trees']}
+""")
+def q_boost_two_trees(spark, sf_dir):
+    """Two boosted trees with row and column samples and learned sides for missing values, on every row."""
+    own, model = _boosted(spark, sf_dir)
+    return rounded(model.transform(own).select("store_id", "year", "month", "prediction"), 6)
+
+
+@register("boost_tree_nodes", _boost_nodes_sql())
+def q_boost_tree_nodes(spark, sf_dir):
+    """The same two trees as data: one row a node."""
+    own, model = _boosted(spark, sf_dir)
+    nodes = model.nodes(spark).withColumn("feature", F.substring("feature", 3, 100))
+    return nodes.withColumns({"gain": F.round("gain", 6), "weight": F.round("weight", 6)})
+
+
+@register("boost_forecast")
+def q_boost_forecast(spark, sf_dir):
+    return _tree_forecast(spark, sf_dir, "BOOST")
+
+
 @register("score_sql_models", f"""WITH {_group_sql_ctes()}
 SELECT store_id, year, month, ind AS train_test_val_indicator, round(y, {PLACES}) AS sales,
        {_round_list(['TS_prediction', 'LAST_MONTH_prediction', 'LAST_YEAR_prediction'])}
