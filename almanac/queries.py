@@ -461,12 +461,12 @@ def _cands():
     return candidates(CFG)
 
 
-def _cand_values_sql() -> str:
-    rows = ", ".join(f"({i}, CAST({c['seasonality_prior_scale']!r} AS DOUBLE))" for i, c in enumerate(_cands()))
+def _cand_values_sql(cands=None) -> str:
+    rows = ", ".join(f"({i}, CAST({c['seasonality_prior_scale']!r} AS DOUBLE))" for i, c in enumerate(cands or _cands()))
     return f"SELECT * FROM (VALUES {rows}) v(cand_id, scale)"
 
 
-def _group_sql_ctes(features: str = SQL_FEATURES_RAW, keys: tuple[str, ...] = ("store_id",)) -> str:
+def _group_sql_ctes(features: str = SQL_FEATURES_RAW, keys: tuple[str, ...] = ("store_id",), cands=None) -> str:
     """CTEs s, tr, rs, c, losses, w, tr2, rs2, eff, fc, sc, lng, ml, mls, best shared by the group-model
     oracles. A null value (zero-sales month) counts for nothing in trend, effects and losses; models are
     compared on the rows that all of them scored."""
@@ -486,7 +486,7 @@ s AS (SELECT {k}, year, month, sales AS y,
 tr AS (SELECT {k}, regr_intercept(y, t) AS a, regr_slope(y, t) AS b FROM s WHERE ind = 0 GROUP BY ALL),
 rs AS (SELECT {of('s')}, s.month, sum(s.y - (tr.a + tr.b * s.t)) AS rsum, count(s.y) AS n
        FROM s JOIN tr ON {on('s', 'tr')} WHERE s.ind = 0 GROUP BY ALL),
-c AS ({_cand_values_sql()}),
+c AS ({_cand_values_sql(cands)}),
 v AS (SELECT {of('s')}, c.cand_id, c.scale, s.y,
              tr.a + tr.b * s.t + coalesce(rs.rsum / (rs.n + 1.0 / (c.scale * c.scale)), 0.0) AS p
       FROM s JOIN tr ON {on('s', 'tr')}
@@ -562,6 +562,72 @@ def q_tune_mean_loss(spark, sf_dir):
     return rounded(tune_mean_loss(_group_losses(spark, sf_dir)))
 
 
+# ---------------------------------------------------------------- Parzen search over the trial table (M1)
+
+PARZEN_SPACE = {"seasonality_prior_scale": ["quniform", "float", 0.25, 8.0, 0.25]}
+PARZEN = {"share": 0.3, "batch": 3, "seed": 7, "draws": 16}
+
+
+def _parzen_cands():
+    from almanac.plans.tuning import candidate_grid
+    return candidate_grid(PARZEN_SPACE, 9, "random", 5)
+
+
+def _parzen_ctes() -> str:
+    """CTEs t (trials), de (densities) and pr (proposals of the next round) of every store."""
+    m, pr = 32, PARZEN
+    u = (f"CAST('0x' || substr(md5(store_id || '|{pr['seed']}|1|' || draw || '|0'), 1, 8) AS BIGINT) / {2.0 ** 32!r}")
+    return f"""{_group_sql_ctes(cands=_parzen_cands())},
+t AS (SELECT store_id, cand_id AS trial, loss, CAST(round(seasonality_prior_scale / 0.25) - 1 AS INTEGER) AS here FROM losses),
+rk AS (SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY loss NULLS LAST, trial) <= ceil({pr['share']} * count(*) OVER (PARTITION BY store_id)) AS ok FROM t),
+mm AS (SELECT *, count(*) OVER (PARTITION BY store_id, ok) AS m FROM rk),
+pl AS (SELECT unnest(range(0, {m})) AS place),
+ke AS (SELECT store_id, ok, trial, m, place, exp(-0.5 * power((place - here) / greatest(1.0, {m} / (3 * sqrt(m))), 2)) AS v FROM mm CROSS JOIN pl),
+we AS (SELECT store_id, ok, m, place, sum(v / total) AS w FROM (SELECT *, sum(v) OVER (PARTITION BY store_id, ok, trial) AS total FROM ke) x GROUP BY ALL),
+de AS (SELECT store_id, CAST(place AS INTEGER) AS place, (1.0 / {m} + coalesce(sum(w) FILTER (ok), 0)) / (1.0 + coalesce(max(m) FILTER (ok), 0)) AS good,
+              (1.0 / {m} + coalesce(sum(w) FILTER (NOT ok), 0)) / (1.0 + coalesce(max(m) FILTER (NOT ok), 0)) AS bad FROM we GROUP BY store_id, place),
+cu AS (SELECT *, round(sum(good) OVER (PARTITION BY store_id ORDER BY place), 12) AS upto FROM de),
+dr AS (SELECT store_id, draw, min(place) AS place FROM cu CROSS JOIN (SELECT unnest(range(0, {pr['draws']})) AS draw) d
+       WHERE upto > {u} OR place = {m - 1} GROUP BY ALL),
+on_ AS (SELECT store_id, place, min(draw) AS draw FROM dr WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.store_id = dr.store_id AND t.here = dr.place) GROUP BY ALL),
+he AS (SELECT *, row_number() OVER (PARTITION BY store_id, draw % {pr['batch']} ORDER BY round(ln(good / bad), 8) DESC, draw) AS heat
+       FROM on_ JOIN de USING (store_id, place)),
+pr AS (SELECT store_id, CAST(row_number() OVER (PARTITION BY store_id ORDER BY heat, round(ln(good / bad), 8) DESC, draw) AS INTEGER) AS rank,
+              CAST((place + 1) * 0.25 AS DOUBLE) AS seasonality_prior_scale, round(round(ln(good / bad), 8), 6) AS score
+       FROM he QUALIFY rank <= {pr['batch']})"""
+
+
+def _parzen_trials(spark, sf_dir):
+    from almanac.plans.group_model import tune_group_losses
+    from almanac.plans.parzen import places_of
+    losses = tune_group_losses(_model_features(spark, sf_dir), _parzen_cands(), ["store_id"], CFG)
+    return losses.select("store_id", F.col("cand_id").alias("trial"), "loss", places_of(PARZEN_SPACE, {}).alias("at"))
+
+
+def _parzen_density(spark, sf_dir):
+    from almanac.plans.parzen import densities
+    from almanac.session import cut_lineage
+    trials = cut_lineage(_parzen_trials(spark, sf_dir))
+    return trials, densities(trials, trials.select("store_id").distinct(), PARZEN_SPACE, ["store_id"], PARZEN["share"])
+
+
+@register("parzen_densities", f"""WITH {_parzen_ctes()}
+SELECT store_id, place, round(good, 6) AS good, round(bad, 6) AS bad FROM de""")
+def q_parzen_densities(spark, sf_dir):
+    """Every store's two densities over the prior scales, from its own trial losses."""
+    return rounded(_parzen_density(spark, sf_dir)[1].select("store_id", "place", "good", "bad"), 6)
+
+
+@register("parzen_proposals", f"WITH {_parzen_ctes()} SELECT * FROM pr")
+def q_parzen_proposals(spark, sf_dir):
+    """The next round's candidates of every store, best density ratio first."""
+    from almanac.plans.parzen import proposals
+    trials, density = _parzen_density(spark, sf_dir)
+    found = proposals(density, trials, ["store_id"], PARZEN["batch"], PARZEN["seed"], 1, PARZEN["draws"])
+    scale = ((F.element_at("at", 1) + 1) * 0.25).alias("seasonality_prior_scale")
+    return rounded(found.select("store_id", "rank", scale, "score"), 6)
+
+
 def _group_fit(spark, sf_dir):
     from almanac.plans.group_model import fit_group_model, group_argmin
     feats = _model_features(spark, sf_dir)

@@ -20,6 +20,9 @@ class RunConfig:
     calendar_lags: bool = False
     max_evals: int = 5
     seed: int = 42
+    # how candidates are found: "random" (a seeded sample) or "parzen" (proposed from earlier losses, a batch at a time)
+    search: str = "random"
+    search_batch: int = 5
     # tree refit: "after" (winner only, once losses are known) or "speculative"
     tree_refit: str = "after"
     hp_space_rf: dict = field(default_factory=lambda: {
