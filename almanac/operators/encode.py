@@ -4,13 +4,28 @@ from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def nominal(col: Column, name: str, labels: int) -> Column:
+    """``col`` as ``name`` with the ML attribute of a category of ``labels`` values: an assembler carries it into the
+    feature vector, and tree learners then split its values into subsets instead of at a threshold."""
+    if labels <= 0:
+        return col.alias(name)
+    return col.alias(name, metadata={"ml_attr": {"type": "nominal", "name": name, "num_vals": labels}})
+
+
+def nominal_sizes(df: DataFrame, vector_col: str = "features") -> dict[str, int]:
+    """Number of values of every category in an assembled vector, by name."""
+    attrs = df.schema[vector_col].metadata.get("ml_attr", {}).get("attrs", {})
+    return {a.get("name", str(a["idx"])): a.get("num_vals", len(a.get("vals", ()))) for a in attrs.get("nominal", ())}
+
+
 def category_index(df: DataFrame, input_col: str, output_col: str | None = None,
                    fit_on: DataFrame | None = None) -> DataFrame:
-    """Index a string column, most frequent label first (ties alphabetical); result double.
+    """Index a string column, most frequent label first (ties alphabetical); result double, marked as a category
+    (see :func:`nominal`) of as many values as there are labels.
 
     The labels are counted in one aggregate, sorted on the executors and joined back; no label list
     reaches the driver. Null labels and labels unseen in ``fit_on`` get a null index. ``df`` is read
@@ -18,7 +33,8 @@ def category_index(df: DataFrame, input_col: str, output_col: str | None = None,
     """
     output_col = output_col or f"{input_col}_index"
     index = label_index(fit_on if fit_on is not None else df, input_col, output_col)
-    return df.join(index, input_col, "left").select(*df.columns, output_col)
+    # of a checkpointed frame: one number reaches the driver
+    return df.join(index, input_col, "left").select(*df.columns, nominal(F.col(output_col), output_col, index.count()))
 
 
 def label_index(src: DataFrame, input_col: str, output_col: str) -> DataFrame:

@@ -10,6 +10,8 @@ Forecasting notions mapped onto the star-schema tables:
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -170,8 +172,31 @@ def wide_monthly(wide: DataFrame, cal: DataFrame, keys: list[str], day_prefix: s
     if "year" not in cal.columns or "month" not in cal.columns:
         cal = cal.withColumns({"year": F.year("date"), "month": F.month("date")})
     cal = cal.select("d", F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"))
-    long = unpivot(wide.select(*keys, *[F.col(c).cast("double") for c in days]), keys, days)
-    return daily_monthly(long, cal, keys)
+    return fold_months(wide, cal, keys, days)
+
+
+def fold_months(wide: DataFrame, cal: DataFrame, keys: list[str], days: list[str]) -> DataFrame:
+    """``keys, year, month, sales``: the unpivot, the calendar join and the monthly sum in one, folded below the
+    explosion: a row's day columns are added up by calendar month inside the row, so a row becomes one per month
+    instead of one per day, and only those are grouped.
+
+    The calendar rows of the table's own day columns come to the driver (at most one per column and calendar row
+    of its name); a day that the calendar lists twice counts twice and one that it lacks not at all, as in a join.
+    A month whose days are all null has a null sum.
+    """
+    if not days:
+        raise ValueError("nothing to unpivot")
+    names = cal.sparkSession.createDataFrame([(c, i) for i, c in enumerate(days)], "d string, at int")
+    months: dict[tuple, list[int]] = {}
+    for r in cal.join(F.broadcast(names), "d").select("year", "month", "at").collect():
+        months.setdefault((r["year"], r["month"]), []).append(r["at"])
+    plan = json.dumps([{"year": y, "month": m, "at": sorted(at)} for (y, m), at in sorted(months.items(), key=str)])
+    held = wide.selectExpr(*[f"`{k}`" for k in keys],
+                           "array(" + ", ".join(f"CAST(`{c}` AS DOUBLE)" for c in days) + ") AS _days")
+    folded = held.selectExpr(*[f"`{k}`" for k in keys], f"""inline(transform(
+        from_json('{plan}', 'array<struct<year:int,month:int,at:array<int>>>'), m -> struct(m.year AS year, m.month AS month,
+            aggregate(m.at, CAST(NULL AS DOUBLE), (s, i) -> CASE WHEN _days[i] IS NULL THEN s ELSE coalesce(s, 0D) + _days[i] END) AS v)))""")
+    return folded.groupBy(*keys, "year", "month").agg(F.sum("v").alias("sales"))
 
 
 def load_wide_features(spark: SparkSession, wide_path: str, calendar_path: str, cfg: RunConfig = RunConfig(),

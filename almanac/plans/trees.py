@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from almanac.functions.metrics import mape
-from almanac.operators.encode import assemble, category_index
+from almanac.operators.encode import assemble, category_index, nominal_sizes
 from almanac.operators.window import lag_names
 from almanac.plans.parzen import search_one
-from almanac.plans.tuning import candidate_grid
+from almanac.plans.tuning import _axis, candidate_grid
 from almanac.session import ensure_checkpoint_dir
 from almanac.sources.config import RunConfig
 
@@ -39,6 +39,8 @@ def model_frame(features: DataFrame, cfg: RunConfig = RunConfig()) -> DataFrame:
     df = features
     for k in cfg.keys:
         df = category_index(df, k, f"{k}_index")
+        if not cfg.nominal_keys:  # a plain number, split at thresholds
+            df = df.withColumn(f"{k}_index", F.col(f"{k}_index").alias(f"{k}_index", metadata={}))
     cols = feature_cols(cfg)
     ok = F.lit(True)
     for c in cols:
@@ -55,6 +57,14 @@ def scorer(model, prediction_col: str):
     return apply
 
 
+def check_bins(frame: DataFrame, bins: int, what: str) -> None:
+    """Raise where a category of the feature vector has more values than a learner may have bins."""
+    for name, labels in nominal_sizes(frame).items():
+        if labels > bins:
+            raise ValueError(f"{name} has {labels} labels but {what} allows {bins} (maxBins): raise maxBins, or set "
+                             "nominal_keys=False to split the index as a number")
+
+
 ESTIMATORS = {"RF": RandomForestRegressor, "GBT": GBTRegressor}
 
 
@@ -125,6 +135,9 @@ def tune_tree(frame: DataFrame, kind: str = "RF", cfg: RunConfig = RunConfig(),
     if cfg.search == "parzen" and refit == "speculative":
         raise ValueError("a sequential search has no candidates to refit ahead")
 
+    axis = _axis(space_for(kind, cfg)["maxBins"]) if "maxBins" in space_for(kind, cfg) else [est.getMaxBins()]
+    check_bins(frame, min(axis), f"the {kind} search space")
+
     def params_of(cand):
         return {est.getParam(k): v for k, v in cand.items()}
 

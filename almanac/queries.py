@@ -826,6 +826,32 @@ def q_gbt_stump(spark, sf_dir):
     return _stump(spark, sf_dir, "GBT", maxIter=1)
 
 
+SQL_SUBSET = f"""WITH {_group_sql_ctes()},
+d AS (SELECT store_id, count(*) AS n, sum(y) AS sy FROM s WHERE ind <= 1 AND y IS NOT NULL GROUP BY store_id),
+cs AS (SELECT store_id, sy / n AS mean, sum(n) OVER w AS ln, sum(sy) OVER w AS ls, sum(n) OVER () AS alln, sum(sy) OVER () AS alls
+       FROM d WINDOW w AS (ORDER BY sy / n, store_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+cut AS (SELECT mean AS edge, ls / ln AS below, (alls - ls) / (alln - ln) AS above FROM cs WHERE ln < alln
+        ORDER BY ls * ls / ln + (alls - ls) * (alls - ls) / (alln - ln) DESC, mean LIMIT 1)
+SELECT s.store_id, year, month, round(CASE WHEN cs.mean <= edge THEN below ELSE above END, 6) AS prediction
+FROM s JOIN cs ON s.store_id = cs.store_id CROSS JOIN cut
+"""
+
+
+@register("rf_store_subset", SQL_SUBSET)
+def q_rf_store_subset(spark, sf_dir):
+    """One tree of depth 1 over the store as a category: the best split of the stores into two subsets."""
+    from almanac.operators import assemble, category_index, drop_vectors
+    from almanac.plans.trees import check_bins, make_estimator
+    f = category_index(_model_features(spark, sf_dir), "store_id", "store_id_index").select(
+        "store_id", "year", "month", "sales", "store_id_index", "train_test_val_indicator")
+    f = assemble(f, ["store_id_index"], "features")
+    check_bins(f, 512, "this tree")
+    est = make_estimator("RF", "sales", "prediction", CFG.seed)
+    params = {"maxDepth": 1, "maxBins": 512, "featureSubsetStrategy": "all", "numTrees": 1, "bootstrap": False}
+    model = est.copy({est.getParam(k): v for k, v in params.items()}).fit(f.filter("train_test_val_indicator <= 1 AND sales IS NOT NULL"))
+    return rounded(drop_vectors(model.transform(f)).select("store_id", "year", "month", "prediction"), 6)
+
+
 # ---------------------------------------------------------------- second-order boosting (M3)
 
 # features with few values, so that every value is a bin; one of them has missing values

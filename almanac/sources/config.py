@@ -18,6 +18,8 @@ class RunConfig:
     base_year: int = 1995
     # True: fill missing months (null sales) before the lags, so lag k is k calendar months
     calendar_lags: bool = False
+    # tree learners split the indexed keys as categories (subsets of labels); False: as numbers (thresholds)
+    nominal_keys: bool = True
     max_evals: int = 5
     seed: int = 42
     # how candidates are found: "random" (a seeded sample) or "parzen" (proposed from earlier losses, a batch at a time)
