@@ -32,6 +32,10 @@ def folder(spark, tmp_path_factory):
         [f"http://big.org/u/name{i:c}x" for i in range(97, 110)]
     pages = [(i, u, ["<p>x</p>", None, "", f"<p>{i}</p>"][i % 4]) for i, u in enumerate(urls)]
     write(spark, d, "pages", pages, "page_id long, url string, html string")
+    write(spark, d, "labels", [(3 * i + 1, i % 2, i % 5 // 4) for i in range(20)] + [(1, None, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    vectors = [(i, [((i * 7 + j * j) % 23 - 11) / 16 for j in range(64)]) for i in range(130)]
+    vectors += [(200, vectors[50][1]), (250, [0.0] * 64), (251, None), (252, [None] * 64), (253, [float("nan")] * 64), (254, [1.0] * 64)]
+    write(spark, d, "embeddings", vectors, "vec_id long, embedding array<float>")
     return d
 
 
@@ -44,7 +48,7 @@ def rounded(v):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_against_duckdb(spark, folder, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet/*.parquet')")
     cur = con.execute(SQL[name])
     columns = [c[0] for c in cur.description]
