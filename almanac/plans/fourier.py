@@ -13,7 +13,8 @@ One ``applyInPandas`` call fits a group: every candidate is fitted on label 0 an
 (MAPE), the best candidate (ties: lowest id) is refitted on labels 0-1, and the group's model comes
 back as one row of coefficients. Scoring is column expressions over any rows, so the model also
 forecasts rows it was not fitted with. The frame is aggregated to one row per group and month before
-the call, so a group is bounded by the number of months, never by raw rows.
+the call, so a group is bounded by the number of months, never by raw rows. :mod:`almanac.plans.sparse_trend` fits
+the same model without Python workers and with sparse changepoints.
 """
 
 from __future__ import annotations

@@ -40,9 +40,11 @@ def fit_group_scorer(features: DataFrame, cfg: RunConfig, name: str = "TS"):
 
 
 def fit_fourier_scorer(features: DataFrame, cfg: RunConfig, name: str = "FOURIER"):
-    """Grouped-map model: one row of coefficients per group, joined onto any rows to score them."""
-    from almanac.plans.fourier import fit_fourier, score_fourier
-    model = fit_fourier(features, cfg)
+    """Piecewise trend with sparse changes and Fourier terms: one row of coefficients per group, joined onto any
+    rows to score them."""
+    from almanac.plans.fourier import score_fourier
+    from almanac.plans.sparse_trend import fit_sparse
+    model = fit_sparse(features, cfg)
     return name, lambda df: score_fourier(df, model, cfg, prediction_col=f"{name}_prediction")
 
 

@@ -8,6 +8,7 @@ outputs are cast to the same width on both sides.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -766,18 +767,116 @@ def q_best_model_all(spark, sf_dir):
 
 # ---------------------------------------------------------------- grouped-map model
 
-@register("group_fit_fourier")
-def q_group_fit_fourier(spark, sf_dir):
-    """The fitted model: one row of coefficients per store."""
-    from almanac.plans.fourier import fit_fourier
-    return rounded(fit_fourier(_model_features(spark, sf_dir), CFG))
+SPARSE_SPACE = {"changepoint_prior_scale": ["choice", 0.1, 0.5, 2.0, 10.0], "seasonality_prior_scale": ["choice", 0.5, 2.0, 8.0],
+                "seasonality_mode": ["choice", "additive", "multiplicative"]}
+SPARSE = {"n_changepoints": 4, "order": 2, "sweeps": 40}
+
+
+def _sparse_ctes() -> str:
+    """CTEs of the sparse piecewise fit: per phase (a: training months, b: also validation) statistics st, Gram
+    matrices, sweeps, coordinate descent and coefficients be; wi holds every store's best candidate."""
+    from almanac.plans.sparse_trend import SINGULAR, places_of
+    from almanac.plans.tuning import candidate_grid
+    cands = candidate_grid(SPARSE_SPACE, CFG.max_evals, "random", CFG.seed)
+    c, order, sweeps = SPARSE["n_changepoints"], SPARSE["order"], SPARSE["sweeps"]
+    p = 2 + c + 2 * order
+    rows = ", ".join(f"({i}, CAST({x['changepoint_prior_scale']} AS DOUBLE), CAST({x['seasonality_prior_scale']} AS DOUBLE), "
+                     f"{int(x['seasonality_mode'] == 'multiplicative')})" for i, x in enumerate(cands))
+    tau = "(CASE WHEN t1 > t0 THEN (t - t0) / (t1 - t0) ELSE 0.0 END)"
+    level = "(CASE WHEN mode = 1 THEN icpt + line * t ELSE 1.0 END)"
+    x = ["CAST(1.0 AS DOUBLE)", tau, *[f"(CASE WHEN n >= 3 THEN greatest({tau} - CAST({v!r} AS DOUBLE), 0) ELSE 0 END)" for v in places_of(c)],
+         *[f"{level} * {fn}(CAST({2 * math.pi * k / 12!r} AS DOUBLE) * m)" for k in range(1, order + 1) for fn in ("sin", "cos")]]
+    steps = [f"f AS ({SQL_FEATURES_RAW})", f"""r AS (SELECT store_id, year, month AS mon, sales AS y, CAST(month AS DOUBLE) AS m,
+    CAST((year - {CFG.base_year}) * 12 + month - 1 AS DOUBLE) AS t, train_test_val_indicator AS ind FROM f WHERE sales IS NOT NULL)""",
+             f"ca AS (SELECT * FROM (VALUES {rows}) v(id, cps, sps, mode))", "mo AS (SELECT DISTINCT mode FROM ca)"]
+    for ph, fit, source in (("a", "ind = 0", "ca"), ("b", "ind <= 1", "ch")):
+        if ph == "b":  # the candidate of least loss, else the first
+            steps.append("ch AS (SELECT s.store_id, ca.* FROM st_b s LEFT JOIN wi ON s.store_id = wi.store_id JOIN ca ON ca.id = coalesce(wi.id, 0))")
+        at = f"SELECT r.store_id, mode, [{', '.join(x)}, y] AS z FROM r JOIN st_{ph} USING (store_id) CROSS JOIN mo WHERE {fit}"
+        own = " AND s.store_id = g.store_id" if ph == "b" else ""
+        if ph == "b":
+            steps.insert(len(steps) - 1, f"""st_b AS (SELECT store_id, count(*) AS n, min(t) AS t0, max(t) AS t1, CASE WHEN max(t) > min(t) THEN
+    regr_intercept(y, t) ELSE avg(y) END AS icpt, CASE WHEN max(t) > min(t) THEN regr_slope(y, t) ELSE 0 END AS line FROM r WHERE {fit}
+    GROUP BY 1 HAVING count(*) >= 2)""")
+        else:
+            steps.append(f"""st_a AS (SELECT store_id, count(*) AS n, min(t) AS t0, max(t) AS t1, CASE WHEN max(t) > min(t) THEN
+    regr_intercept(y, t) ELSE avg(y) END AS icpt, CASE WHEN max(t) > min(t) THEN regr_slope(y, t) ELSE 0 END AS line FROM r WHERE {fit}
+    GROUP BY 1 HAVING count(*) >= 2)""")
+        steps.append(f"""z_{ph} AS ({at}),
+g_{ph} AS (SELECT store_id, mode, i, j, sum(z[i] * z[j]) AS v FROM z_{ph} CROSS JOIN (SELECT unnest(range(1, {p + 1})) AS i) a
+    CROSS JOIN (SELECT unnest(range(1, {p + 2})) AS j) b GROUP BY ALL),
+w_{ph} AS (SELECT g.store_id, s.id, g.mode, cps, i, list(v + CASE WHEN i = j AND i > {2 + c} THEN 1 / greatest(sps * sps, 1e-12) ELSE 0 END
+    ORDER BY j) AS row FROM g_{ph} g JOIN {source} s ON s.mode = g.mode{own} GROUP BY ALL),
+s_{ph}0 AS (SELECT store_id, id, mode, cps, list(row ORDER BY i) AS M, list(row ORDER BY i) AS A FROM w_{ph} GROUP BY ALL)""")
+        pivots = [1, 2, *range(3 + c, p + 1)]
+        for n, q in enumerate(pivots):
+            steps.append(f"""s_{ph}{n + 1} AS (SELECT * REPLACE (CASE WHEN A[{q}][{q}] > {SINGULAR!r} * M[{q}][{q}] THEN
+    list_transform(A, lambda row, i: CASE WHEN i = {q} THEN list_transform(row, lambda v: v / A[{q}][{q}])
+        ELSE list_transform(row, lambda v, j: v - row[{q}] / A[{q}][{q}] * A[{q}][j]) END)
+    ELSE list_transform(A, lambda row, i: CASE WHEN i = {q} THEN list_transform(row, lambda v: CAST(0 AS DOUBLE)) ELSE row END) END AS A) FROM s_{ph}{n})""")
+        last = f"s_{ph}{len(pivots)}"
+        # one step of the descent: the coordinate whose turn it is
+        diag = " ".join(f"WHEN {j} THEN A[{2 + j}][{2 + j}]" for j in range(1, c + 1))
+        first = " ".join(f"WHEN {j} THEN M[{2 + j}][{2 + j}]" for j in range(1, c + 1))
+        rho = " ".join(f"WHEN {j} THEN A[{2 + j}][{p + 1}] - (" + " + ".join(
+            f"A[{2 + j}][{2 + i}] * d[{i}]" for i in range(1, c + 1) if i != j) + ")" for j in range(1, c + 1))
+        steps.append(f"""d_{ph} AS (SELECT store_id, id, M, A, cps, 0 AS s, list_transform(range({c}), lambda v: CAST(0 AS DOUBLE)) AS d FROM {last}
+    UNION ALL SELECT store_id, id, M, A, cps, s + 1, list_transform(d, lambda v, j: CASE WHEN j <> k THEN v
+        WHEN own <= {SINGULAR!r} * base THEN 0 ELSE sign(rho) * greatest(abs(rho) - 1 / cps, 0) / own + 0 END)
+    FROM (SELECT *, s % {c} + 1 AS k, CASE s % {c} + 1 {diag} END AS own, CASE s % {c} + 1 {first} END AS base,
+                 CASE s % {c} + 1 {rho} END AS rho FROM d_{ph} WHERE s < {sweeps * c}) o),
+be_{ph} AS (SELECT store_id, id, [{', '.join(f'd[{i - 2}]' if 2 < i <= 2 + c else f'A[{i}][{p + 1}] - (' + ' + '.join(f'A[{i}][{2 + j}] * d[{j}]' for j in range(1, c + 1)) + ')' for i in range(1, p + 1))}] AS beta
+    FROM d_{ph} WHERE s = {sweeps * c})""")
+        if ph == "a":
+            steps.append(f"""pr AS (SELECT store_id, id, y, list_sum(list_transform(range(1, {p + 1}), lambda i: xs[i] * beta[i])) AS p FROM (
+    SELECT r.store_id, ca.id, y, [{', '.join(x)}] AS xs, beta FROM r JOIN st_a USING (store_id) JOIN be_a USING (store_id) JOIN ca ON ca.id = be_a.id WHERE ind = 1) u),
+lo AS (SELECT store_id, id, round(100 * avg(abs((y - p) / nullif(y, 0))), {PLACES}) AS loss FROM pr GROUP BY ALL),
+wi AS (SELECT store_id, id, loss FROM lo WHERE loss IS NOT NULL QUALIFY row_number() OVER (PARTITION BY store_id ORDER BY loss, id) = 1)""")
+    def each(e):
+        return f"[{', '.join(e(i) for i in range(1, c + 1))}]"
+    steps.append(f"""model AS (SELECT g.store_id, coalesce(wi.id, -1) AS cand_id, round(wi.loss, 6) AS validation_loss,
+    CASE WHEN t1 > t0 THEN beta[1] - beta[2] * t0 / (t1 - t0) ELSE beta[1] END AS intercept,
+    CASE WHEN t1 > t0 THEN beta[2] / (t1 - t0) ELSE beta[2] * 0 END AS slope,
+    CASE WHEN beta IS NOT NULL THEN [{', '.join(f't0 + CAST({v!r} AS DOUBLE) * (t1 - t0)' for v in places_of(c))}] END AS changepoints,
+    CASE WHEN beta IS NOT NULL THEN {each(lambda i: f'CASE WHEN t1 > t0 THEN beta[{2 + i}] / (t1 - t0) ELSE 0 END')} END AS deltas,
+    beta[{3 + c}:{p}] AS seasonal, CASE WHEN beta IS NULL THEN NULL WHEN ca.mode = 1 THEN [icpt, line] ELSE [CAST(1 AS DOUBLE), CAST(0 AS DOUBLE)] END AS season_level
+    FROM (SELECT DISTINCT store_id FROM f) g LEFT JOIN wi USING (store_id) LEFT JOIN st_b USING (store_id) LEFT JOIN be_b USING (store_id)
+    LEFT JOIN ca ON ca.id = be_b.id)""")
+    return ",\n".join(steps)
+
 
+SPARSE_ARRAYS = ("changepoints", "deltas", "seasonal", "season_level")
 
-@register("group_forecast_fourier")
+
+def _fit_sparse(spark, sf_dir):
+    from almanac.plans.sparse_trend import fit_sparse
+    feats = _model_features(spark, sf_dir)
+    return feats, fit_sparse(feats, CFG, space=SPARSE_SPACE, **SPARSE)
+
+
+@register("group_fit_fourier", f"""WITH RECURSIVE {_sparse_ctes()}
+SELECT store_id, cand_id, validation_loss, round(intercept, 5) AS intercept, round(slope, 6) AS slope,
+       {', '.join(f'list_transform({c}, lambda v: round(v, 5)) AS {c}' for c in SPARSE_ARRAYS)} FROM model""")
+def q_group_fit_fourier(spark, sf_dir):
+    """The sparse piecewise trend and Fourier model: one row of coefficients per store."""
+    model = _fit_sparse(spark, sf_dir)[1]
+    return model.withColumns({"validation_loss": F.round("validation_loss", 6), "intercept": F.round("intercept", 5),
+                              "slope": F.round("slope", 6),
+                              **{c: F.transform(c, lambda v: F.round(v, 5)) for c in SPARSE_ARRAYS}})
+
+
+@register("group_forecast_fourier", f"""WITH RECURSIVE {_sparse_ctes()}
+SELECT store_id, year, month, train_test_val_indicator, round(sales, 6) AS sales,
+       round(intercept + slope * t + list_sum(list_transform(range(1, {SPARSE['n_changepoints'] + 1}), lambda i: deltas[i] * greatest(t - changepoints[i], 0)))
+           + (season_level[1] + season_level[2] * t) * list_sum(list_transform(range(1, {2 * SPARSE['order'] + 1}), lambda i: seasonal[i] *
+             CASE WHEN i % 2 = 1 THEN sin({2 * math.pi / 12!r} * month * ((i + 1) // 2)) ELSE cos({2 * math.pi / 12!r} * month * (i // 2)) END)), 6) AS FOURIER_prediction
+FROM (SELECT *, CAST((year - {CFG.base_year}) * 12 + month - 1 AS DOUBLE) AS t FROM f) f LEFT JOIN model USING (store_id)""")
 def q_group_forecast_fourier(spark, sf_dir):
     """Every month of every store scored with the fitted model."""
-    from almanac.plans.fourier import fourier_forecast
-    return rounded(fourier_forecast(_model_features(spark, sf_dir), CFG))
+    from almanac.plans.fourier import score_fourier
+    feats, model = _fit_sparse(spark, sf_dir)
+    out = score_fourier(feats.select("store_id", "year", "month", "train_test_val_indicator", "sales"), model, CFG)
+    return rounded(out, 6)
 
 
 @register("fourier_trend_only", f"""WITH {_group_sql_ctes()}

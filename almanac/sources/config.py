@@ -55,7 +55,7 @@ class RunConfig:
         "seasonality_prior_scale": ["choice", 0.25, 0.5, 1.0, 2.0, 4.0, 8.0],
     })
     hp_space_fourier: dict = field(default_factory=lambda: {
-        "changepoint_prior_scale": ["choice", 0.02, 0.05, 0.1, 0.2, 0.4],
+        "changepoint_prior_scale": ["choice", 0.1, 0.5, 2.0, 10.0],
         "seasonality_prior_scale": ["choice", 0.25, 0.5, 1.0, 2.0, 4.0, 8.0],
         "seasonality_mode": ["choice", "additive", "multiplicative"],
     })
