@@ -15,7 +15,7 @@ document every text is ``und``; ties between languages go to the alphabetically
 
 from __future__ import annotations
 
-import re
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +27,11 @@ from pyspark.sql import functions as F
 from almanac.llm.util import slices, small_batches
 
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether a text has a letter; number signs such as one half or a Roman numeral's are none."""
+    return any(map(str.isalpha, text))
 
 
 @dataclass
@@ -208,7 +212,7 @@ def predict(model: GruModel | None, texts: list[str | None], tile: int = 2048) -
         waiting = 0
 
     for i, text in enumerate(texts):
-        if not isinstance(text, str) or not _LETTER.search(text):
+        if not isinstance(text, str) or not has_letter(text):
             continue
         data = np.frombuffer(text.lower().encode("utf-8", "replace"), dtype=np.uint8)
         for at in range(0, len(data), width * tile):  # a very long text goes in pieces of bounded size
@@ -242,16 +246,26 @@ def fit(docs: DataFrame, usable: Column, *, key: str = "doc_id", text: str = "te
     labelled = docs.filter(usable & F.col(lang).isNotNull() & F.col(key).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("whole"), pick.alias("pick"), start.alias("start"))
     # the smallest hashes of each language are found without the texts; only rows that have them are then read
-    known = [r["lang"] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()]
+    known = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
     if not known:
         return None
+
+    def among(bounds: dict[str, int]) -> Column:
+        hits = [(F.col("lang") == name) & (F.col("pick") <= F.lit(bound)) for name, bound in bounds.items()]
+        return functools.reduce(lambda a, b: a | b, hits)
+
+    # hashes are uniform: a bound that about eight times the sample's rows are under leaves few rows of any language to rank
+    few = {r["lang"]: min(2 ** 63 - 1, -2 ** 63 + int(2 ** 64 * min(1.0, 8 * per_lang / r["count"]))) for r in known}
     place = F.row_number().over(Window.partitionBy("lang").orderBy("pick"))
-    last = labelled.select("lang", "pick").filter(F.col("lang").isin(known)).withColumn("place", place).filter(
-        F.col("place") <= per_lang).groupBy("lang").agg(F.max("pick").alias("last")).collect()
-    chosen = None
-    for r in last:
-        hit = (F.col("lang") == r["lang"]) & (F.col("pick") <= r["last"])
-        chosen = hit if chosen is None else chosen | hit
+
+    def least(bounds: dict[str, int]) -> list:
+        return labelled.select("lang", "pick").filter(among(bounds)).withColumn("place", place).filter(
+            F.col("place") <= per_lang).groupBy("lang").agg(F.max("pick").alias("last"), F.count("*").alias("n")).collect()
+
+    last, sizes = least(few), {r["lang"]: r["count"] for r in known}
+    if sum(r["n"] for r in last) < sum(min(per_lang, n) for n in sizes.values()):  # ids that repeat often share their hash
+        last = least(dict.fromkeys(sizes, 2 ** 63 - 1))
+    chosen = among({r["lang"]: r["last"] for r in last})
     rows = labelled.filter(chosen).filter(F.col("whole").rlike(r"\p{L}"))
     sample = rows.select("lang", F.col("pick").alias("rank"),
                          F.substring("whole", F.col("start"), F.lit(span)).alias("text")).collect()

@@ -61,3 +61,21 @@ def test_edge_rows(spark):
     assert langid.fit(df.limit(0), F.lit(True)) is None
     assert {r["lang_pred"] for r in langid.identify(df, None).collect()} == {"und"}
     assert langid.identify(df.limit(0), model).collect() == []
+
+
+def test_number_signs_are_no_letters(spark):
+    """A text of digits, fractions, superscripts or Roman numeral signs has no language."""
+    rows = [(i, t, None) for i, t in enumerate(["½", "² 3", "Ⅷ", "٣٤", "1_2", "½ a", "ǅ", "ª"])]
+    rows += [(10 + i, t, x) for i, (t, x) in enumerate([("le la les", "fr"), ("the of and", "en")] * 20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in langid.identify(df, langid.fit(df, F.lit(True), steps=10)).collect()}
+    assert [got[i]["lang_pred"] == "und" for i in range(8)] == [True] * 5 + [False] * 3
+    assert [got[i]["score"] for i in range(5)] == [0.0] * 5
+
+
+def test_ids_that_repeat_are_sampled(spark):
+    """Every row of a language under one id has the same hash: the bound on hashes must not lose the language."""
+    rows = [(i, "the of and to", "en") for i in range(300)] + [(k, "le la les des", "fr") for k in (1, 2) for _ in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df, F.lit(True), per_lang=3, steps=5)
+    assert sorted(model.langs) == ["en", "fr"]
