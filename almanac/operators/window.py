@@ -23,6 +23,42 @@ def lag_features(df: DataFrame, input_col: str, part_cols: list[str], order_cols
     return df.select("*", *cols)
 
 
+def lag_features_ranged(df: DataFrame, input_col: str, part_cols: list[str], order_cols: list[str], lags,
+                        ranges: int) -> DataFrame:
+    """:func:`lag_features` where one key may hold very many rows: the same columns, in ``ranges`` tasks per key.
+
+    Rows are range-partitioned by (key, order) and written once, so every range knows its number. Each range hands
+    its last ``max(lags)`` rows to the ranges after it, as far as these need them, and the window runs per (range,
+    key). What is handed over is ``ranges * max(lags)`` rows, whatever the number of rows; only the number of rows
+    handed on by each range, one number a range, reaches the driver. Rows of equal key and order stay in one range;
+    their order among each other is left open, as in :func:`lag_features`.
+    """
+    from almanac.session import cut_lineage  # local import: session depends on nothing here
+    reach = max(int(k) for k in lags)
+    key, order = [F.col(c) for c in part_cols], [F.col(c) for c in order_cols]
+    placed = cut_lineage(df.repartitionByRange(max(1, ranges), *key, *order).withColumn("_range", F.spark_partition_id()))
+    last = Window.partitionBy("_range").orderBy(*[F.desc(c) for c in (*part_cols, *order_cols)])
+    tails = placed.withColumn("_back", F.row_number().over(last)).filter(F.col("_back") <= reach)
+    tails = cut_lineage(tails.select(*df.columns, "_range", "_back"))
+    handed = {r["_range"]: r["n"] for r in tails.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # a range's tail goes to the next ranges until they have been handed as many rows as the longest lag needs
+    targets, numbers = [], sorted(handed)
+    for i, r in enumerate(numbers):
+        between = 0  # rows that ranges in between hand on
+        for later in numbers[i + 1:]:
+            if between >= reach:
+                break
+            targets.append((r, later, reach - between))
+            between += handed[later]
+    goes = df.sparkSession.createDataFrame(targets, "_range int, _to int, _most int")
+    halo = tails.join(F.broadcast(goes), "_range").filter(F.col("_back") <= F.col("_most")).select(
+        *df.columns, F.col("_to").alias("_range"), F.lit(False).alias("_own"))
+    rows = placed.withColumn("_own", F.lit(True)).unionByName(halo)
+    w = Window.partitionBy("_range", *part_cols).orderBy(*order_cols)
+    out = rows.select("*", *[F.lag(F.col(input_col), int(k)).over(w).alias(n) for k, n in zip(lags, lag_names(input_col, lags))])
+    return out.filter("_own").drop("_own", "_range")
+
+
 def fill_month_gaps(df: DataFrame, keys: list[str], year_col: str = "year",
                     month_col: str = "month") -> DataFrame:
     """Add the missing calendar months of each group's span (other columns null), so that

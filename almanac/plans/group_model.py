@@ -21,7 +21,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from almanac.functions.scalar import ape, month_index
-from almanac.plans.tuning import candidate_grid
+from almanac.plans import parzen
+from almanac.plans.tuning import _axis, candidate_grid
+from almanac.session import cut_lineage
 from almanac.sources.config import RunConfig
 
 LABEL = "train_test_val_indicator"
@@ -96,6 +98,43 @@ def tune_group_losses(features: DataFrame, cands: list[dict], keys: list[str] =
             .agg(F.round(F.avg(ape(F.col("y"), pred)) * 100.0, PLACES).alias("loss")))
 
 
+def tune_group_search(features: DataFrame, cfg: RunConfig = RunConfig(), keys: list[str] = ("store_id",), trials: int | None = None,
+                      batch: int | None = None, draws: int = 24, path: str | None = None) -> DataFrame:
+    """``keys, trial, loss, at``: every group searches its own prior scale, round by round.
+
+    A round proposes a batch of candidates for each group from that group's losses so far (see
+    :mod:`almanac.plans.parzen`) and scores all of them in one job. With ``path`` every whole round is kept there
+    and a tuning that was stopped goes on after the last one. ``at`` holds places on the axes of
+    ``cfg.hp_space_group``; a group without training rows has null losses.
+    """
+    keys = list(keys)
+    s = fit_columns(series(features, keys, cfg), keys, F.col("ind") == 0)
+    valid = cut_lineage(s.filter((F.col("ind") == 1) & (F.col("n_fit") > 0)).select(
+        *keys, "y", "t", "intercept", "slope", "rsum", "n"))
+
+    def evaluate(asked: DataFrame) -> DataFrame:
+        v = valid.join(asked.select(*keys, "trial", search_scale(cfg).alias("scale")), keys)
+        pred = (F.col("intercept") + F.col("slope") * F.col("t")
+                + F.coalesce(F.col("rsum") / (F.col("n") + _lam(F.col("scale"))), F.lit(0.0)))
+        return v.groupBy(*keys, "trial").agg(F.round(F.avg(ape(F.col("y"), pred)) * 100.0, PLACES).alias("loss"))
+
+    return parzen.search(features, cfg.hp_space_group, evaluate, keys, trials or cfg.max_evals, batch or cfg.search_batch, cfg.seed,
+                         draws=draws, path=path)
+
+
+def search_scale(cfg: RunConfig = RunConfig()) -> Column:
+    """The prior scale of a searched candidate, from its places ``at``."""
+    names = list(cfg.hp_space_group)
+    scales = F.array(*[F.lit(float(v)) for v in _axis(cfg.hp_space_group["seasonality_prior_scale"])])
+    return F.element_at(scales, F.element_at("at", names.index("seasonality_prior_scale") + 1) + 1)
+
+
+def search_winners(table: DataFrame, keys: list[str] = ("store_id",), cfg: RunConfig = RunConfig()) -> DataFrame:
+    """``keys, cand_id, seasonality_prior_scale, loss``: every group's best trial, as :func:`group_argmin` has it."""
+    best = parzen.best_so_far(table, list(keys))
+    return best.select(*keys, F.col("trial").alias("cand_id"), search_scale(cfg).alias("seasonality_prior_scale"), "loss")
+
+
 def tune_mean_loss(losses: DataFrame) -> DataFrame:
     """Tuning objective per candidate: mean of the per-group losses."""
     return (losses.groupBy("cand_id", "seasonality_prior_scale")
@@ -156,10 +195,16 @@ def group_forecast(features: DataFrame, model: DataFrame, keys: list[str] = ("st
     return out.withColumn(prediction_col, pred).drop("_a", "_b", "_e")
 
 
+def tuned_winners(features: DataFrame, cfg: RunConfig = RunConfig(), keys=("store_id",)) -> DataFrame:
+    """Every group's parameters by the search that ``cfg.search`` names."""
+    if cfg.search == "parzen":
+        candidates(cfg)  # the space must be the model's own
+        return search_winners(tune_group_search(features, cfg, keys), keys, cfg)
+    return group_argmin(tune_group_losses(features, candidates(cfg), keys, cfg), keys)
+
+
 def tune_fit_forecast(features: DataFrame, cfg: RunConfig = RunConfig(), keys=("store_id",),
                       prediction_col: str = "TS_prediction") -> DataFrame:
     """Tune, refit on train + validation, and score every row."""
-    losses = tune_group_losses(features, candidates(cfg), keys, cfg)
-    winners = group_argmin(losses, keys)
-    model = fit_group_model(features, winners, keys, cfg)
+    model = fit_group_model(features, tuned_winners(features, cfg, keys), keys, cfg)
     return group_forecast(features, model, keys, prediction_col, cfg)

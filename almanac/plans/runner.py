@@ -33,9 +33,7 @@ def naive_scorer(name: str, lag_col: str):
 
 def fit_group_scorer(features: DataFrame, cfg: RunConfig, name: str = "TS"):
     keys = list(cfg.keys)
-    losses = group_model.tune_group_losses(features, group_model.candidates(cfg), keys, cfg)
-    winners = group_model.group_argmin(losses, keys)
-    model = group_model.fit_group_model(features, winners, keys, cfg)
+    model = group_model.fit_group_model(features, group_model.tuned_winners(features, cfg, keys), keys, cfg)
     return name, lambda df: group_model.group_forecast(df, model, keys, f"{name}_prediction", cfg)
 
 

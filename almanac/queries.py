@@ -370,6 +370,22 @@ def q_lag_features(spark, sf_dir):
                                 ["year", "month"], LAGS))
 
 
+EVENT_LAGS = (1, 2, 7, 30)
+
+
+@register("lag_features_ranged", f"""
+SELECT event_id, event_type, value, {', '.join(f'lag(value, {k}) OVER w AS lag_value_{k}' for k in EVENT_LAGS)} FROM events
+WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)
+""")
+def q_lag_features_ranged(spark, sf_dir):
+    """Few keys with very many rows: each key's series is cut into ranges that hand their last rows on."""
+    from almanac.operators import lag_features_ranged
+    (ev,) = _tables(spark, sf_dir, "events")
+    out = lag_features_ranged(ev.select("event_id", "event_type", "ts", "value"), "value", ["event_type"], ["ts", "event_id"],
+                              EVENT_LAGS, max(16, spark.sparkContext.defaultParallelism))
+    return out.drop("ts")
+
+
 @register("log_cols", f"""
 SELECT store_id, year, month, round(sales, {PLACES}) AS sales,
        round(CASE WHEN sales > 0 THEN ln(sales) END, {PLACES}) AS log_sales
@@ -629,6 +645,30 @@ def q_parzen_proposals(spark, sf_dir):
     return rounded(found.select("store_id", "rank", scale, "score"), 6)
 
 
+SEARCH_SPACE = {"seasonality_prior_scale": ["quniform", "float", 0.5, 4.0, 0.5]}
+
+
+def _search_cands():
+    from almanac.plans.tuning import full_grid
+    return full_grid(SEARCH_SPACE)
+
+
+@register("tune_group_search", f"""WITH {_group_sql_ctes(cands=_search_cands())}
+SELECT store_id, count(*) AS trials, min(loss) AS loss, CAST(min(seasonality_prior_scale) FILTER (loss = least) AS DOUBLE) AS seasonality_prior_scale
+FROM (SELECT *, min(loss) OVER (PARTITION BY store_id) AS least FROM losses) x GROUP BY store_id""")
+def q_tune_group_search(spark, sf_dir):
+    """Every store searches its own prior scale in rounds of three; with as many trials as the axis has values the
+    best must be the least loss of all."""
+    from dataclasses import replace
+    from almanac.plans.group_model import search_scale, tune_group_search
+    cfg = replace(CFG, hp_space_group=SEARCH_SPACE)
+    table = tune_group_search(_model_features(spark, sf_dir), cfg, ["store_id"], trials=8, batch=3, draws=400)
+    # stores whose losses tie are compared at their least scale
+    scaled = table.select("store_id", "loss", search_scale(cfg).alias("scale"))
+    return scaled.groupBy("store_id").agg(F.count(F.lit(1)).alias("trials"), F.min("loss").alias("loss"),
+                                          F.min(F.struct("loss", "scale"))["scale"].alias("seasonality_prior_scale"))
+
+
 def _group_fit(spark, sf_dir):
     from almanac.plans.group_model import fit_group_model, group_argmin
     feats = _model_features(spark, sf_dir)

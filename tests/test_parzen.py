@@ -103,3 +103,27 @@ def test_trees_are_tuned_by_it(spark):
     assert losses[best][2] == min(v for _, _, v in losses) and model.getNumTrees == losses[best][1]["numTrees"]
     with pytest.raises(ValueError):
         trees.tune_tree(frame, "RF", replace(cfg, search="other"))
+
+
+def test_every_store_searches_on_its_own(spark, tmp_path):
+    """Losses are those of the same scales in one job; a tuning that was stopped ends with the same table."""
+    from almanac.plans import group_model
+    rows = [(f"s{i}", 1999 + t // 12, 1 + t % 12, 4 + 0.01 * t + (t % 12) * i / 20 + ((t * 7 + i) % 5) / 10, 0 if t < 30 else 1 if t < 42 else 2)
+            for i in range(3) for t in range(48)] + [("late", 2002, 1, 3.0, 1)]
+    feats = spark.createDataFrame(rows, "store_id string, year int, month int, sales double, train_test_val_indicator int")
+    cfg = replace(RunConfig(), search="parzen", search_batch=2, hp_space_group={"seasonality_prior_scale": ["quniform", "float", 0.25, 8, 0.25]})
+    whole = group_model.tune_group_search(feats, cfg, trials=6)
+    scaled = whole.withColumn("scale", group_model.search_scale(cfg)).collect()
+    every = [{"seasonality_prior_scale": s} for s in sorted({r["scale"] for r in scaled})]
+    known = {(r["store_id"], r["seasonality_prior_scale"]): r["loss"] for r in group_model.tune_group_losses(feats, every).collect()}
+    assert len(scaled) == 4 * 6
+    assert all(r["loss"] == known.get((r["store_id"], r["scale"])) for r in scaled)
+    assert {r["loss"] for r in scaled if r["store_id"] == "late"} == {None}
+    group_model.tune_group_search(feats, cfg, trials=4, path=str(tmp_path))
+    resumed = group_model.tune_group_search(feats, cfg, trials=6, path=str(tmp_path))
+    assert sorted(map(str, resumed.collect())) == sorted(map(str, whole.collect()))
+    winners = {r["store_id"]: r for r in group_model.search_winners(whole, cfg=cfg).collect()}
+    for store in ("s0", "s1", "s2"):
+        assert winners[store]["loss"] == min(r["loss"] for r in scaled if r["store_id"] == store)
+    out = group_model.tune_fit_forecast(feats, replace(cfg, max_evals=4))
+    assert out.filter("TS_prediction IS NULL AND store_id <> 'late'").count() == 0 < out.count() == len(rows)
