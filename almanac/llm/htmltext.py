@@ -11,7 +11,7 @@ reader comments ...) only count towards that threshold: they cannot be the core
 contribute text.
 
 A page is parsed in one linear pass; pages are independent, so the operator is a map over the
-partitions of the table: no shuffle, no collected state, memory bounded by one Arrow batch.
+partitions of the table: no shuffle, no collected state, and a few MB of pages at a time.
 
 Defined results: null or empty html gives an empty text of 0 characters; a page without any
 article text gives an empty text; broken markup is closed as browsers do; extra columns are kept
@@ -25,10 +25,12 @@ import math
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from almanac.llm.util import slices
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)"
@@ -60,6 +62,13 @@ NOISE_WORDS = frozenset(
     "pager pagination paywall popup promo promoted promotion rail recommended recommendations related replies respond "
     "responses search share sharing sidebar sidebars signin signup skip social sponsor sponsored subscribe taboola toast "
     "toolbar topbar trending widget widgets".split())
+#: Words that may stand beside one of those in a compound name (``site-footer``, ``sidebar-left``, ``related-posts``).
+#: With any other word beside it the name says something else: ``no-sidebar``, ``comments-open``, ``search-algorithms``.
+LAYOUT_WORDS = frozenset(
+    "a and area articles aside bar blog body bottom bottomright box btn button buttons center col column container content "
+    "desktop fixed form global group heading holder icon icons inline inner input item items left link links list main "
+    "mobile module outer page panel post posts primary right row secondary section site slot small sticky stories story "
+    "tag tags text the tile title toggle top unit wrap wrapper zone".split())
 NEVER_NOISE = frozenset("html body main article".split())
 _WORD = re.compile(r"[a-z]+")
 #: Of the blocks beside the core, headings are kept whatever their density.
@@ -69,6 +78,13 @@ MENU_TAGS = frozenset("ul ol dl div section table tbody tr td".split())
 LISTS = frozenset("ul ol dl table tbody thead tfoot tr".split())
 
 
+def _names_noise(token: str, in_article: bool) -> bool:
+    """Whether one class name, id or role as a whole names boilerplate: a noise word, alone or with layout words."""
+    words = _WORD.findall(token)
+    return any(w in NOISE_WORDS and not (w == "header" and in_article) for w in words) and all(
+        w in NOISE_WORDS or w in LAYOUT_WORDS for w in words)
+
+
 def _is_noise(tag: str, attrs: str, in_article: bool) -> bool:
     if tag in NOISE_TAGS:
         return True
@@ -79,8 +95,7 @@ def _is_noise(tag: str, attrs: str, in_article: bool) -> bool:
     for m in _ATTR.finditer(attrs):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id", "role"):
-            words = _WORD.findall(value.lower())
-            if any(w in NOISE_WORDS for w in words if not (w == "header" and in_article)):
+            if any(_names_noise(token, in_article) for token in value.lower().split()):
                 return True
         elif name == "aria-hidden" and value == "true":
             return True
@@ -275,10 +290,12 @@ def extract_main_text(pages: DataFrame, html: str = "html", keep: tuple[str, ...
     fields = {f.name: f for f in pages.schema.fields}
     schema = ", ".join(f"`{c}` {fields[c].dataType.simpleString()}" for c in keep) + ", text string, n_chars long"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            texts = [extract(s) if isinstance(s, str) else "" for s in pdf["__html"]]
-            yield pdf[list(keep)].assign(text=texts, n_chars=[len(t) for t in texts])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in slices(whole)):
+            texts = [extract(s) for s in batch.column(len(keep)).to_pylist()]
+            columns = [batch.column(i) for i in range(len(keep))] + [pa.array(texts, pa.string()),
+                                                                     pa.array([len(t) for t in texts], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "text", "n_chars"])
 
     source = pages.select(*[F.col(c) for c in keep], F.col(html).alias("__html"))
-    return source.mapInPandas(run, schema)
+    return source.mapInArrow(run, schema)

@@ -72,3 +72,22 @@ def test_only_hidden_elements_are_left_out():
     for unseen in ("hidden", "id=x hidden", 'hidden="" id=x', 'hidden="hidden"', "HIDDEN", 'style="color:red; Display : none"',
                    'style="visibility:hidden"', 'aria-hidden="true"'):
         assert extract(f"<body><div>{text}</div><div {unseen}>{text}</div></body>") == want, unseen
+
+
+@pytest.mark.parametrize("opening", [
+    '<div class="no-sidebar">', '<div class="post type-post comments-open">', '<div class="layout has-sidebar">',
+    '<div id="notice-board-history">', '<div class="search-algorithms">', '<section id="related-work-1">'])
+def test_names_that_only_contain_a_noise_word_are_kept(opening):
+    end = f"</{opening[1:].split()[0]}>"
+    foot = "<div class='site-footer'>The foot of the page, with a few words more</div>"
+    assert extract(f"<body>{opening}{ARTICLE}{end}{foot}</body>") == TEXT
+    # inside an article too
+    assert extract(f"<body><article><h1>Top</h1><p>The opening of it all.</p>{opening}{ARTICLE}{end}</article>{foot}</body>") == \
+        "Top\nThe opening of it all.\n" + TEXT
+
+
+@pytest.mark.parametrize("name", ["sidebar", "sidebar-left", "main-nav", "site_footer", "related-posts", "ad-slot", "adSlot2 ad-slot-2",
+                                  "cookie-notice", "x comments-area", "share-buttons", "widget widget_text", "newsletter-form"])
+def test_compound_names_of_boilerplate_go(name):
+    aside = f"<div class='{name}'><p>Words that are not part of the article, quite a few of them, in one paragraph.</p></div>"
+    assert extract(f"<body><div id=content>{ARTICLE}</div>{aside}</body>") == TEXT
