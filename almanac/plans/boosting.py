@@ -22,7 +22,6 @@ from __future__ import annotations
 import hashlib
 import json
 import math
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
 from pyspark.ml.feature import Bucketizer
@@ -30,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.functions.metrics import mape
-from almanac.session import cut_lineage
+from almanac.session import cut_lineage, side_by_side
 
 LABEL = "train_test_val_indicator"
 PLACES = 8
@@ -299,8 +298,7 @@ def tune_boosted(frame: DataFrame, features: list[str], keys: list[str], candida
         model = fit_boosted(train[params.max_bins], features, label_col, keys, params)
         return i, candidates[i], mape(model.transform(valid, "_prediction"), label_col, "_prediction")
 
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(candidates)))) as pool:
-        losses = list(pool.map(loss, range(len(candidates))))
+    losses = side_by_side(frame.sparkSession, loss, list(range(len(candidates))), parallelism)
     best = min(losses, key=lambda x: (x[2] is None, x[2] if x[2] is not None else 0.0, x[0]))[0]
     params = replace(base, **candidates[best])
     return fit_boosted(frame.filter(F.col(LABEL) <= refit_max_label), features, label_col, keys, params), losses, best

@@ -8,16 +8,14 @@ forces the large scan again.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanac.operators.filters import month_split
-from almanac.plans import group_model, selection, trees
+from almanac.plans import group_model, scorers, selection, trees
 from almanac.plans.features import load_monthly_features
 from almanac.plans.tuning import candidate_grid
-from almanac.session import cut_lineage
+from almanac.session import cut_lineage, side_by_side
 from almanac.sources.config import RunConfig
 from almanac.sources.sinks import write_forecasts
 
@@ -28,27 +26,26 @@ ALL_MODELS = ("RF", "GBT", "TS", "FOURIER")
 
 def naive_scorer(name: str, lag_col: str):
     """Baseline forecaster: the lagged actual value (last month / same month last year)."""
-    return name, lambda df: df.withColumn(f"{name}_prediction", F.col(lag_col))
+    return name, scorers.Lagged(name, lag_col)
 
 
 def fit_group_scorer(features: DataFrame, cfg: RunConfig, name: str = "TS"):
     keys = list(cfg.keys)
-    model = group_model.fit_group_model(features, group_model.tuned_winners(features, cfg, keys), keys, cfg)
-    return name, lambda df: group_model.group_forecast(df, model, keys, f"{name}_prediction", cfg)
+    # fitted once: one row per group is written, and every scoring reads it
+    model = cut_lineage(group_model.fit_group_model(features, group_model.tuned_winners(features, cfg, keys), keys, cfg))
+    return name, scorers.TrendAndMonths(name, model, cfg)
 
 
 def fit_fourier_scorer(features: DataFrame, cfg: RunConfig, name: str = "FOURIER"):
     """Piecewise trend with sparse changes and Fourier terms: one row of coefficients per group, joined onto any
     rows to score them."""
-    from almanac.plans.fourier import score_fourier
     from almanac.plans.sparse_trend import fit_sparse
-    model = fit_sparse(features, cfg)
-    return name, lambda df: score_fourier(df, model, cfg, prediction_col=f"{name}_prediction")
+    return name, scorers.PiecewiseFourier(name, cut_lineage(fit_sparse(features, cfg)), cfg)
 
 
 def fit_tree_scorer(frame: DataFrame, kind: str, cfg: RunConfig):
     model, _, _ = trees.tune_tree(frame, kind, cfg)
-    return kind, trees.scorer(model, f"{kind}_prediction")
+    return kind, scorers.Forest(kind, model)
 
 
 def fit_boost_scorer(frame: DataFrame, cfg: RunConfig, name: str = "BOOST"):
@@ -58,12 +55,14 @@ def fit_boost_scorer(frame: DataFrame, cfg: RunConfig, name: str = "BOOST"):
     candidates = candidate_grid(cfg.hp_space_boost, cfg.max_evals, "random", cfg.seed)
     model, _, _ = tune_boosted(frame, trees.feature_cols(cfg), [*cfg.keys, "year", "month"], candidates,
                                BoostParams(seed=cfg.seed))
-    return name, lambda df: model.transform(df, f"{name}_prediction")
+    return name, scorers.Boosted(name, model)
 
 
 def fit_all(frame: DataFrame, models=ALL_MODELS, cfg: RunConfig = RunConfig(),
             concurrent: bool = True, cutoff: dict | None = None) -> list[tuple[str, object]]:
-    """Fit every requested model (M7); each fit submits its own Spark jobs, run side by side.
+    """Fit every requested model (M7); each fit submits its own Spark jobs, run side by side. The jobs of a model,
+    those of its tuning threads included, are in a scheduler pool named ``fit-<model>``: under
+    ``spark.scheduler.mode=FAIR`` a learner of many small jobs does not wait behind one of long stages.
 
     Learners only ever fit on labels 0-1. ``cutoff={"year": y, "month": m}`` additionally
     hides every row after that month from fitting (the scorers still apply to all rows)."""
@@ -88,8 +87,13 @@ def fit_all(frame: DataFrame, models=ALL_MODELS, cfg: RunConfig = RunConfig(),
 
     if not concurrent:
         return [fit(m) for m in models]
-    with ThreadPoolExecutor(max_workers=len(models)) as pool:
-        return list(pool.map(fit, models))
+    context = frame.sparkSession.sparkContext
+
+    def in_pool(name):
+        context.setLocalProperty("spark.scheduler.pool", f"fit-{name}")
+        return fit(name)
+
+    return side_by_side(frame.sparkSession, in_pool, list(models), len(models))
 
 
 def needs_vectors(models) -> bool:
@@ -119,11 +123,11 @@ def run(spark: SparkSession, sf_dir: str | None, cfg: RunConfig = RunConfig(), m
     ``allow_unscored``; such rows are then exported with a null forecast."""
     frame = prepare(spark, sf_dir, cfg, vectors=needs_vectors(models)) if features is None else \
         prepare_features(features, cfg, vectors=needs_vectors(models))
-    scorers = fit_all(frame, models, cfg)
-    names = [n for n, _ in scorers]
+    fitted = fit_all(frame, models, cfg)
+    names = [n for n, _ in fitted]
     # one materialisation of every prediction: the loss table, the winner, the export and the
     # report all read it, so no model (e.g. the grouped-map fit) runs more than once
-    scored = cut_lineage(selection.score_all(frame, scorers))
+    scored = cut_lineage(selection.score_all(frame, fitted))
     keys = [*cfg.keys, "year", "month"]
     losses = cut_lineage(selection.model_losses(scored, names))
     best = selection.best_model(losses, select_on)

@@ -8,8 +8,6 @@ run at once; only one scalar loss per candidate returns to the driver.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +17,7 @@ from almanac.operators.encode import assemble, category_index, nominal_sizes
 from almanac.operators.window import lag_names
 from almanac.plans.parzen import search_one
 from almanac.plans.tuning import _axis, candidate_grid
-from almanac.session import ensure_checkpoint_dir
+from almanac.session import ensure_checkpoint_dir, side_by_side
 from almanac.sources.config import RunConfig
 
 LABEL = "train_test_val_indicator"
@@ -151,14 +149,11 @@ def tune_tree(frame: DataFrame, kind: str = "RF", cfg: RunConfig = RunConfig(),
     def loss_of(cand):
         return mape(est.copy(params_of(cand)).fit(train).transform(valid), label_col, pred)
 
-    def side_by_side(fn, items):
-        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(items)))) as pool:
-            return list(pool.map(fn, items))
-
+    spark = frame.sparkSession
     try:
         models = {}
         if cfg.search == "parzen":
-            losses = search_one(frame.sparkSession, space_for(kind, cfg), lambda cands: side_by_side(loss_of, cands),
+            losses = search_one(spark, space_for(kind, cfg), lambda cands: side_by_side(spark, loss_of, cands, parallelism),
                                 cfg.max_evals, cfg.search_batch, cfg.seed)
         else:
             grid = candidate_grid(space_for(kind, cfg), cfg.max_evals, "random", cfg.seed)
@@ -166,7 +161,7 @@ def tune_tree(frame: DataFrame, kind: str = "RF", cfg: RunConfig = RunConfig(),
             if refit == "speculative":
                 full = full.persist()
                 jobs += [(lambda c: est.copy(params_of(c)).fit(full), c) for c in grid]
-            done = side_by_side(lambda job: job[0](job[1]), jobs)
+            done = side_by_side(spark, lambda job: job[0](job[1]), jobs, parallelism)
             losses = [(i, c, done[i]) for i, c in enumerate(grid)]
             models = dict(enumerate(done[len(grid):]))
         best = min(losses, key=lambda x: (x[2] is None, x[2] if x[2] is not None else 0.0, x[0]))[0]

@@ -8,8 +8,12 @@ is always respected.
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.util import inheritable_thread_target
 
 # SQL defaults that hold from local[8] up to a large cluster: AQE re-plans joins from runtime
 # sizes, coalesces small shuffle partitions and splits skewed ones. Applied only where the
@@ -43,6 +47,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config("spark.driver.memory", driver_memory)
     for key, value in _STATIC.items():
         builder = builder.config(key, value)
+    if SparkConf().get("spark.scheduler.mode", None) is None:
+        builder = builder.config("spark.scheduler.mode", "FAIR")  # learners that are fitted side by side share the cores
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
@@ -80,3 +86,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def side_by_side(spark: SparkSession, fn: Callable, items: list, parallelism: int) -> list:
+    """``[fn(x) for x in items]`` with up to ``parallelism`` calls at a time, each in a thread that submits its own
+    Spark jobs. Every call starts with a copy of the caller's local properties (its scheduler pool, say) of its own."""
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(items)))) as pool:
+        # wrapped once per call: the copy is made when a function is wrapped
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(fn), x) for x in items]]
