@@ -27,12 +27,14 @@ HEADLINE = [
     "forecast_export",       # all SQL-expressible models scored, selected and exported
     "rf_forecast",           # random forest, time-ordered tuning of 5 candidates
     "gbt_forecast",          # boosted trees, the same tuning
-    "group_fit_fourier",     # grouped pandas map, one row of coefficients per store
+    "group_fit_fourier",     # sparse piecewise trend from Gram aggregates, one row of coefficients per store
     "category_index",        # label index over the checkpointed feature frame
     "month_spine",           # month gaps filled, then calendar lags
+    "boost_two_trees",       # second-order boosting: one aggregate a level
+    "parzen_proposals",      # every store's next candidates from its trial losses
 ]
 # Run once before the clock starts: JVM start-up, code generation and Python workers.
-WARM_UP = ["group_avg", "group_fit_fourier"]
+WARM_UP = ["group_avg", "fourier_trend_only"]
 
 
 def main() -> None:

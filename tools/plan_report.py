@@ -25,7 +25,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 from almanac.queries import REGISTRY  # noqa: E402
 from almanac.session import get_session  # noqa: E402
 
-SKIP = {"rf_forecast", "gbt_forecast", "score_all_models", "best_model_all"}  # MLlib job chains
+SKIP = {"rf_forecast", "gbt_forecast", "boost_forecast", "score_all_models", "best_model_all"}  # MLlib job chains
 
 
 def final_plan(df) -> str:
